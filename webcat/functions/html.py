@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webcat.functions.text import decode_entities, strip
+from webcat.functions.text import decode_entities, let, strip
 from webcat.functions.vocab import VOID_TAGS
 
 # One match per token. Scripts, styles and comments are one token each; a tag may hold '>' inside
@@ -105,11 +105,14 @@ def has_attribute(attrs: Column, name: str) -> Column:
 
 def attribute_map(attrs: Column) -> Column:
     """attrs -> map<string,string>; the last one counts when a name is repeated."""
-    names = F.array_distinct(F.transform(attrs, lambda a: a["name"]))
-    return F.map_from_arrays(
-        names,
-        F.transform(names, lambda n: F.element_at(F.filter(attrs, lambda a: a["name"] == n), -1)["value"]),
-    )
+    def build(bound: Column) -> Column:
+        names = F.array_distinct(F.transform(bound, lambda a: a["name"]))
+        return F.map_from_arrays(
+            names,
+            F.transform(names, lambda n: F.element_at(F.filter(bound, lambda a: a["name"] == n), -1)["value"]),
+        )
+
+    return let(attrs, build)
 
 
 def text_pieces(toks: Column) -> Column:
@@ -132,7 +135,7 @@ def script_body(token: Column) -> Column:
 
 
 def element_spans(toks: Column) -> Column:
-    """Element spans of a page: array<struct<pos, end_pos, tag>> ordered by pos.
+    """Element spans of a page: array<struct<pos, end_pos, tag>> ordered by pos; ``toks`` must be bound.
 
     A fold over the tag tokens that keeps the open elements on a stack: a closing tag ends the innermost
     open element of its name and everything opened inside it, a closing tag without an open element is
@@ -151,14 +154,16 @@ def element_spans(toks: Column) -> Column:
             .alias("event"),
         ),
     )
+    return let(events, lambda bound: _spans_of_events(bound, F.size(toks)))
+
+
+def _spans_of_events(events: Column, n_tokens: Column) -> Column:
     singles = F.transform(
         F.filter(events, lambda e: e["event"] == "single"),
         lambda e: F.struct(e["pos"].alias("pos"), e["pos"].alias("end_pos"), e["tag"].alias("tag")),
     )
-    paired = F.filter(
-        events,
-        lambda e: (e["event"] == "open") | ((e["event"] == "close") & ~e["tag"].isin(VOID_TAGS)),
-    )
+    # a closing void tag never finds an open one on the stack
+    paired = F.filter(events, lambda e: e["event"].isin("open", "close"))
 
     no_text = F.array().cast("array<string>")
     no_pos = F.array().cast("array<int>")
@@ -168,9 +173,7 @@ def element_spans(toks: Column) -> Column:
     )
 
     def step(acc: Column, e: Column) -> Column:
-        # the acting element sits in a one-item array so that `popped` is worked out once per event
-        def apply(s: Column) -> Column:
-            n = s["popped"]
+        def apply(n: Column) -> Column:
             keep = F.size(acc["open_tag"]) - n
             pushed = F.struct(
                 F.array_append(acc["open_tag"], e["tag"]).alias("open_tag"),
@@ -189,7 +192,7 @@ def element_spans(toks: Column) -> Column:
         popped = F.when(
             e["event"] == "close", F.array_position(F.reverse(acc["open_tag"]), e["tag"])
         ).otherwise(0).cast("int")
-        return F.element_at(F.transform(F.array(F.struct(popped.alias("popped"))), apply), 1)
+        return let(popped, apply)
 
     def finish(acc: Column) -> Column:
         left = F.size(acc["open_tag"])
@@ -205,8 +208,38 @@ def element_spans(toks: Column) -> Column:
         F.reduce(paired, start, step, finish),
         lambda z: F.struct(
             z["pos"].alias("pos"),
-            F.when(z["end_pos"] < 0, F.size(toks)).otherwise(z["end_pos"]).alias("end_pos"),
+            F.when(z["end_pos"] < 0, n_tokens).otherwise(z["end_pos"]).alias("end_pos"),
             z["tag"].alias("tag"),
         ),
     )
     return F.array_sort(F.concat(walked, singles))
+
+
+def page(html: Column, *, attrs: bool = False) -> Column:
+    """A page taken apart: struct<toks, spans, texts, pieces[, elements]>.
+
+    ``toks`` are its tokens, ``spans`` its elements, ``texts`` the decoded text per token position and
+    ``pieces`` the same stripped; with ``attrs`` the ``elements`` are the spans with their attributes. Bind
+    it with ``let``: the arrays are read many times over.
+    """
+    def with_spans(toks: Column) -> Column:
+        return let(
+            F.struct(element_spans(toks).alias("spans"), text_pieces(toks).alias("texts")),
+            lambda p: F.struct(
+                toks.alias("toks"), p["spans"].alias("spans"), p["texts"].alias("texts"),
+                stripped_pieces(p["texts"]).alias("pieces"),
+                *([_with_attributes(p["spans"], toks).alias("elements")] if attrs else []),
+            ),
+        )
+
+    return let(classified(tokens(html)), with_spans)
+
+
+def _with_attributes(spans: Column, toks: Column) -> Column:
+    return F.transform(
+        spans,
+        lambda s: F.struct(
+            s["pos"].alias("pos"), s["end_pos"].alias("end_pos"), s["tag"].alias("tag"),
+            attributes(F.get(toks, s["pos"])["token"]).alias("attrs"),
+        ),
+    )

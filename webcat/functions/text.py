@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 from html.entities import html5
 
@@ -28,21 +29,29 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
 
-def any_of(conditions: list[Column]) -> Column:
-    """OR of the given predicates."""
-    return reduce(lambda a, b: a | b, conditions)
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, as a lambda variable over a one-item array.
+
+    A column that is used inside a lambda, or several times below a filter, is otherwise substituted at
+    every use by the optimizer and worked out again each time, per element of the array in the worst case.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _alternatives(words: list[str]) -> str:
+    return "(?:" + "|".join(re.escape(w) for w in words) + ")"
 
 
 def contains_any(col: Column, words: list[str]) -> Column:
-    return any_of([F.contains(col, F.lit(w)) for w in words])
+    return F.regexp_like(col, F.lit(_alternatives(words)))
 
 
 def starts_with_any(col: Column, prefixes: list[str]) -> Column:
-    return any_of([F.startswith(col, F.lit(p)) for p in prefixes])
+    return F.regexp_like(col, F.lit("^" + _alternatives(prefixes)))
 
 
 def ends_with_any(col: Column, suffixes: list[str]) -> Column:
-    return any_of([F.endswith(col, F.lit(s)) for s in suffixes])
+    return F.regexp_like(col, F.lit(_alternatives(suffixes) + r"\z"))
 
 
 def occurrences(col: Column, needle: Column) -> Column:
@@ -79,6 +88,11 @@ def decode_entities(col: Column) -> Column:
          ("&copy;", "\u00a9"), ("&middot;", "\u00b7")],
         col,
     )
+    decoded = let(common, _decode_rest)
+    return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
+
+
+def _decode_rest(common: Column) -> Column:
     # what is left besides &amp; is rare, so the table lookup runs only where a reference remains
     names = F.filter(
         F.array_distinct(F.regexp_extract_all(common, F.lit("&([A-Za-z][A-Za-z0-9]*);"), F.lit(1))),
@@ -94,7 +108,7 @@ def decode_entities(col: Column) -> Column:
         ),
     )
     numbers = F.array_distinct(
-        F.regexp_extract_all(named, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(1))
+        F.regexp_extract_all(common, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(1))
     )
 
     def as_number(n: Column) -> Column:
@@ -110,5 +124,4 @@ def decode_entities(col: Column) -> Column:
 
     numeric = F.reduce(numbers, named, put)
     left_over = F.regexp_like(common, F.lit("&(?:(?!amp;)[A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});"))
-    decoded = F.replace(F.when(left_over, numeric).otherwise(common), F.lit("&amp;"), F.lit("&"))
-    return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
+    return F.replace(F.when(left_over, numeric).otherwise(common), F.lit("&amp;"), F.lit("&"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webcat.functions.text import any_of, contains_any, ends_with_any, occurrences, starts_with_any, strip
+from webcat.functions.text import contains_any, ends_with_any, let, occurrences, starts_with_any, strip
 from webcat.functions.vocab import (
     BLOCKED_EXTENSIONS,
     CSS_ASSET_EXTENSIONS,
@@ -79,19 +79,13 @@ def sorted_query(q: Column) -> Column:
             _decoded(F.regexp_extract(p, r"(?s)^[^=]*=(.*)$", 1)).alias("value"),
         ),
     )
-    ordered = F.array_sort(pairs)
-    firsts = F.filter(
-        F.transform(
-            ordered,
-            lambda p, i: F.struct(
-                p["key"].alias("key"),
-                p["value"].alias("value"),
-                ((i == 0) | (F.try_element_at(ordered, i)["key"] != p["key"])).alias("first"),
-            ),
-        ),
-        lambda p: p["first"],
-    )
-    return F.array_join(F.transform(firsts, lambda p: F.concat(p["key"], F.lit("="), p["value"])), "&")
+    def firsts(ordered: Column) -> Column:
+        marked = F.filter(
+            ordered, lambda p, i: (i == 0) | (F.get(ordered, i - 1)["key"] != p["key"])
+        )
+        return F.array_join(F.transform(marked, lambda p: F.concat(p["key"], F.lit("="), p["value"])), "&")
+
+    return let(F.array_sort(pairs), firsts)
 
 
 def normalize_url(url: Column) -> Column:
@@ -160,7 +154,10 @@ def resolve_url(href: Column, base: Column) -> Column:
     Cases in order: absolute; ``//x``; domain without scheme; base domain repeated or embedded (kept from
     its last occurrence); fragment or query only (they replace the base's own); relative.
     """
-    u = strip(href)
+    return let(strip(href), lambda u: _resolve(u, base))
+
+
+def _resolve(u: Column, base: Column) -> Column:
     origin = F.concat(base["scheme"], F.lit("://"), base["host"])
     has_base = (base["host"] != "") & F.contains(u, base["host"])
     from_last_base = F.concat(origin, F.call_function("substring_index", u, base["host"], F.lit(-1)))
@@ -221,14 +218,17 @@ def is_valid_url(
 
 def is_valid_js_url(found: Column, base_host: Column) -> Column:
     """Does a string found in a script look like an address and not like code?"""
-    u = F.btrim(found, F.lit("'\""))
+    return let(F.btrim(found, F.lit("'\"")), lambda u: _looks_like_address(u, base_host))
+
+
+def _looks_like_address(u: Column, base_host: Column) -> Column:
     parts = F.filter(F.split(u, "/"), lambda p: p != "")
     short_word = F.regexp_like(F.translate(u, "/-_.", ""), F.lit("^[a-zA-Z0-9]+$")) & (F.length(u) < 5)
     structured = F.contains(u, F.lit("/")) | F.contains(u, F.lit("."))
     return F.coalesce(
         F.regexp_like(u, F.lit(JS_ALLOWED_SHAPE))
         & ~starts_with_any(u, JS_BAD_PREFIXES)
-        & ~any_of([F.regexp_like(u, F.lit(p)) for p in JS_BAD_PATTERNS])
+        & ~F.regexp_like(u, F.lit("|".join(JS_BAD_PATTERNS)))
         & (occurrences(u, base_host) <= 1)
         & (F.size(F.array_distinct(parts)) == F.size(parts))
         & (F.length(u) >= 2)
@@ -240,7 +240,10 @@ def is_valid_js_url(found: Column, base_host: Column) -> Column:
 
 def is_valid_css_url(found: Column) -> Column:
     """Is a ``url(...)`` of a style sheet an address a reader could visit?"""
-    u = F.btrim(found, F.lit("'\""))
+    return let(F.btrim(found, F.lit("'\"")), _is_page_in_style)
+
+
+def _is_page_in_style(u: Column) -> Column:
     lowered = F.lower(u)
     last = F.substring_index(u, "/", -1)
     other_file = (

@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webcat.functions import html as H
-from webcat.functions.text import contains_any, decode_entities, squeeze_text, strip
+from webcat.functions.text import contains_any, decode_entities, let, squeeze_text, strip
 from webcat.functions.vocab import (
     CLEAN_TEXT_DROPPED,
     DESCRIPTION_WORDS,
     EXTRACTION_TEXT_LIMIT,
     FULL_PAGE_HEADING,
 )
-from webcat.operators.tokens import parsed_elements, parsed_pages
 
 
 def page_title(html: Column) -> Column:
@@ -28,57 +27,66 @@ def titles(pages: DataFrame) -> DataFrame:
 
 
 def text_outside(texts: Column, spans: Column, tags: list[str]) -> Column:
-    """Page text without the given elements, fragments glued without a separator."""
-    dropped = F.filter(spans, lambda s: s["tag"].isin(tags))
-    numbered = F.filter(
-        F.transform(texts, lambda t, i: F.struct(i.alias("pos"), t.alias("text"))), lambda x: x["text"] != ""
-    )
-    kept = F.filter(
-        numbered, lambda x: ~F.exists(dropped, lambda d: (d["pos"] < x["pos"]) & (x["pos"] < d["end_pos"]))
-    )
-    return F.array_join(F.transform(kept, lambda x: x["text"]), "")
+    """Page text without the given elements, fragments glued without a separator; ``texts`` must be bound."""
+    def glued(dropped: Column) -> Column:
+        numbered = F.filter(
+            F.transform(texts, lambda t, i: F.struct(i.alias("pos"), t.alias("text"))), lambda x: x["text"] != ""
+        )
+        kept = F.filter(
+            numbered, lambda x: ~F.exists(dropped, lambda d: (d["pos"] < x["pos"]) & (x["pos"] < d["end_pos"]))
+        )
+        return F.array_join(F.transform(kept, lambda x: x["text"]), "")
 
+    return let(F.filter(spans, lambda s: s["tag"].isin(tags)), glued)
 
-def clean_text(pages: DataFrame, *keep: str) -> DataFrame:
-    """Readable text without script, style, nav, footer and header parts: (page_id, clean_text)."""
-    outside = text_outside(F.col("texts"), F.col("spans"), CLEAN_TEXT_DROPPED)
-    return parsed_pages(pages, *keep).select("page_id", *keep, squeeze_text(outside).alias("clean_text"))
 
+def clean_text_of(html: Column) -> Column:
+    """Readable text without script, style, nav, footer and header parts."""
+    return let(H.page(html), lambda p: squeeze_text(text_outside(p["texts"], p["spans"], CLEAN_TEXT_DROPPED)))
 
-def full_text(pages: DataFrame, *keep: str) -> DataFrame:
-    """Text of the whole page, navigation included: (page_id, full_text). Needs no element spans."""
-    toks = pages.select("page_id", *keep, H.classified(H.tokens(F.col("html"))).alias("toks"))
-    return toks.select(
-        "page_id", *keep, squeeze_text(F.array_join(H.text_pieces(F.col("toks")), "")).alias("full_text")
-    )
+
+def full_text_of(html: Column) -> Column:
+    """Text of the whole page, navigation included. Needs no element spans."""
+    return squeeze_text(F.array_join(H.text_pieces(H.classified(H.tokens(html))), ""))
+
+
+def clean_text(pages: DataFrame) -> DataFrame:
+    """(page_id, clean_text)."""
+    return pages.select("page_id", clean_text_of(F.col("html")).alias("clean_text"))
+
+
+def full_text(pages: DataFrame) -> DataFrame:
+    """(page_id, full_text)."""
+    return pages.select("page_id", full_text_of(F.col("html")).alias("full_text"))
 
 
 def has_class_part(e: Column, part: str) -> Column:
     return F.coalesce(F.contains(H.attribute(e["attrs"], "class"), F.lit(part)), F.lit(False))
 
 
-def _description_selectors(elements: Column) -> list[Column]:
-    """Elements that usually hold a product description, in priority order."""
-    prose = F.filter(
-        elements,
-        lambda e: F.array_contains(F.split(F.coalesce(H.attribute(e["attrs"], "class"), F.lit("")), r"\s+"), "prose"),
-    )
-    return [
+def _described_elements(elements: Column) -> Column:
+    """Elements that usually hold a product description, selector by selector, each in document order."""
+    def has_class(e: Column, name: str) -> Column:
+        return F.array_contains(F.split(F.coalesce(H.attribute(e["attrs"], "class"), F.lit("")), r"\s+"), name)
+
+    def has_id_part(e: Column, part: str) -> Column:
+        return F.coalesce(F.contains(H.attribute(e["attrs"], "id"), F.lit(part)), F.lit(False))
+
+    def paragraphs(prose: Column) -> Column:
+        return F.filter(
+            elements,
+            lambda e: (e["tag"] == "p") & F.exists(prose, lambda p: (p["pos"] < e["pos"]) & (e["pos"] < p["end_pos"])),
+        )
+
+    return F.concat(
         F.filter(elements, lambda e: has_class_part(e, "description")),
         F.filter(elements, lambda e: has_class_part(e, "product-description")),
         F.filter(elements, lambda e: has_class_part(e, "product-details")),
         F.filter(elements, lambda e: has_class_part(e, "product-info")),
-        F.filter(
-            elements,
-            lambda e: F.coalesce(F.contains(H.attribute(e["attrs"], "id"), F.lit("description")), F.lit(False)),
-        ),
-        F.filter(
-            elements,
-            lambda e: (e["tag"] == "p")
-            & F.exists(prose, lambda p: (p["pos"] < e["pos"]) & (e["pos"] < p["end_pos"])),
-        ),
+        F.filter(elements, lambda e: has_id_part(e, "description")),
+        let(F.filter(elements, lambda e: has_class(e, "prose")), paragraphs),
         F.filter(elements, lambda e: H.has_attribute(e["attrs"], "data-product-description")),
-    ]
+    )
 
 
 def first_meta_content(elements: Column, key: str, name: str) -> Column:
@@ -87,13 +95,8 @@ def first_meta_content(elements: Column, key: str, name: str) -> Column:
     return F.nullif(H.attribute(F.get(metas, F.lit(0))["attrs"], "content"), F.lit(""))
 
 
-def _with_sections(pages: DataFrame, *keep: str) -> DataFrame:
-    """(page_id, texts, sections array<struct<kind, text>>) in reading priority."""
-    parsed = parsed_elements(pages, *keep).select(
-        "page_id", *keep, "elements", "texts", H.stripped_pieces(F.col("texts")).alias("pieces")
-    )
-    elements = F.col("elements")
-
+def _sections(elements: Column, pieces: Column) -> Column:
+    """array<struct<kind, text>> in reading priority."""
     def line(label: str, key: str, name: str) -> Column:
         return F.struct(F.lit(label).alias("kind"), first_meta_content(elements, key, name).alias("text"))
 
@@ -105,20 +108,16 @@ def _with_sections(pages: DataFrame, *keep: str) -> DataFrame:
         ),
         lambda s: s["text"].isNotNull(),
     )
-    blocks = [
-        F.transform(
-            found,
-            lambda e: F.struct(
-                F.lit("PRODUCT DESCRIPTION").alias("kind"),
-                H.text_between(F.col("pieces"), e["pos"], e["end_pos"]).alias("text"),
-            ),
-        )
-        for found in _description_selectors(elements)
-    ]
+    blocks = F.transform(
+        _described_elements(elements),
+        lambda e: F.struct(
+            F.lit("PRODUCT DESCRIPTION").alias("kind"), H.text_between(pieces, e["pos"], e["end_pos"]).alias("text")
+        ),
+    )
     described = F.filter(
-        F.concat(*blocks), lambda s: (F.length(s["text"]) > 50) & contains_any(F.lower(s["text"]), DESCRIPTION_WORDS)
+        blocks, lambda s: (F.length(s["text"]) > 50) & contains_any(F.lower(s["text"]), DESCRIPTION_WORDS)
     )
-    return parsed.select("page_id", *keep, "texts", F.concat(metas, described).alias("sections"))
+    return F.concat(metas, described)
 
 
 def description_sections(pages: DataFrame) -> DataFrame:
@@ -126,33 +125,42 @@ def description_sections(pages: DataFrame) -> DataFrame:
 
     An element matched by several selectors appears once per selector.
     """
-    return _with_sections(pages).select("page_id", F.posexplode("sections").alias("section", "s")).select(
+    sections = let(H.page(F.col("html"), attrs=True), lambda p: _sections(p["elements"], p["pieces"]))
+    return pages.select("page_id", F.posexplode(sections).alias("section", "s")).select(
         "page_id", "section", "s.kind", "s.text"
     )
 
 
-def extraction_text(pages: DataFrame, *keep: str, limit: int = EXTRACTION_TEXT_LIMIT) -> DataFrame:
-    """What an extractor reads: sections, heading, page text; (page_id, text).
+def extraction_text_of(html: Column, limit: int = EXTRACTION_TEXT_LIMIT) -> Column:
+    """What an extractor reads: description sections, a heading, then the page text.
 
     Over the limit the sections stay whole and the page text is cut, with ``...`` as the mark of the cut.
     """
-    staged = _with_sections(pages, *keep).select(
-        "page_id", *keep,
-        F.array_join(
-            F.transform("sections", lambda s: F.concat(s["kind"], F.lit(": "), s["text"])), "\n\n"
-        ).alias("sections"),
-        squeeze_text(F.array_join("texts", "")).alias("body"),
-    )
     heading = F.lit(FULL_PAGE_HEADING)
-    whole = F.concat("sections", heading, F.col("body"))
-    room = F.lit(limit) - F.length("sections") - 100
-    return staged.select(
-        "page_id", *keep,
-        F.when(F.length(whole) <= limit, whole)
-        .when(room > 0, F.concat(F.col("sections"), heading, F.substr(F.col("body"), F.lit(1), room), F.lit("...")))
-        .otherwise(F.concat(F.col("sections"), F.lit("...")))
-        .alias("text"),
-    )
+
+    def parts(p: Column) -> Column:
+        lines = F.transform(
+            _sections(p["elements"], p["pieces"]), lambda s: F.concat(s["kind"], F.lit(": "), s["text"])
+        )
+        return F.struct(
+            F.array_join(lines, "\n\n").alias("sections"), squeeze_text(F.array_join(p["texts"], "")).alias("body")
+        )
+
+    def whole(p: Column) -> Column:
+        room = F.lit(limit) - F.length(p["sections"]) - 100
+        size = F.length(p["sections"]) + len(FULL_PAGE_HEADING) + F.length(p["body"])
+        return (
+            F.when(size <= limit, F.concat(p["sections"], heading, p["body"]))
+            .when(room > 0, F.concat(p["sections"], heading, F.substr(p["body"], F.lit(1), room), F.lit("...")))
+            .otherwise(F.concat(p["sections"], F.lit("...")))
+        )
+
+    return let(let(H.page(html, attrs=True), parts), whole)
+
+
+def extraction_text(pages: DataFrame) -> DataFrame:
+    """(page_id, text)."""
+    return pages.select("page_id", extraction_text_of(F.col("html")).alias("text"))
 
 
 def is_empty_text(text: Column) -> Column:
@@ -162,33 +170,32 @@ def is_empty_text(text: Column) -> Column:
 
 def empty_text_pages(pages: DataFrame) -> DataFrame:
     """Pages without any text: (page_id, error)."""
-    return full_text(pages).filter(is_empty_text(F.col("full_text"))).select(
-        "page_id", F.lit("No text content extracted").alias("error")
-    )
+    empty = F.when(is_empty_text(full_text_of(F.col("html"))), F.array(F.lit("No text content extracted")))
+    return pages.select("page_id", F.explode(empty).alias("error"))
 
 
 def pages_with_keywords(pages: DataFrame, keywords: list[str]) -> DataFrame:
-    """Pages whose clean text or title holds any keyword, whatever its case: (page_id, url, title)."""
-    staged = clean_text(
-        pages.select("page_id", "url", "html", page_title(F.col("html")).alias("title")), "url", "title"
-    )
+    """Pages whose clean text or title holds any keyword, whatever its case: (page_id, url, title).
+
+    Rows are kept by a generator: a filter would be pushed below a shuffle of its input and run there.
+    """
     words = [k.lower() for k in keywords]
-    hit = contains_any(F.lower("clean_text"), words) | contains_any(F.lower("title"), words)
-    return staged.filter(hit).select("page_id", "url", "title")
+
+    def kept(title: Column) -> Column:
+        searched = F.lower(F.concat(clean_text_of(F.col("html")), F.lit("\n"), title))
+        return F.when(contains_any(searched, words), F.array(title))
+
+    return pages.select("page_id", "url", F.explode(let(page_title(F.col("html")), kept)).alias("title"))
 
 
 def content_ratio(pages: DataFrame) -> DataFrame:
     """Text length over markup length, both without script, style, meta and link: (page_id, ratio)."""
-    toks = pages.select("page_id", H.classified(H.tokens(F.col("html"))).alias("toks"))
-    kept = F.filter(
-        "toks", lambda t: ~t["kind"].isin("script", "style") & ~F.coalesce(t["tag"].isin("meta", "link"), F.lit(False))
-    )
-    sizes = toks.select(
-        "page_id",
-        F.length(strip(F.array_join(H.text_pieces(F.col("toks")), ""))).alias("text_length"),
-        F.reduce(kept, F.lit(0).cast("long"), lambda n, t: n + F.length(t["token"])).alias("html_length"),
-    )
-    return sizes.select(
-        "page_id",
-        F.when(F.col("html_length") > 0, F.col("text_length") / F.col("html_length")).otherwise(0.0).alias("ratio"),
-    )
+    def ratio(toks: Column) -> Column:
+        kept = F.filter(
+            toks, lambda t: ~t["kind"].isin("script", "style") & ~F.coalesce(t["tag"].isin("meta", "link"), F.lit(False))
+        )
+        size = F.reduce(kept, F.lit(0).cast("long"), lambda n, t: n + F.length(t["token"]))
+        text = F.length(strip(F.array_join(H.text_pieces(toks), "")))
+        return let(size, lambda n: F.when(n > 0, text / n).otherwise(0.0))
+
+    return pages.select("page_id", let(H.classified(H.tokens(F.col("html"))), ratio).alias("ratio"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webcat.functions import html as H
-from webcat.functions.text import WORD_BREAK, contains_any, strip
+from webcat.functions.text import WORD_BREAK, contains_any, let, strip
 from webcat.functions.vocab import (
     FRAMEWORK_CODE_MARKS,
     FRAMEWORK_SCRIPT_NAMES,
@@ -21,7 +21,6 @@ from webcat.functions.vocab import (
     NOSCRIPT_PHRASES,
     STATIC_WEIGHTS,
 )
-from webcat.operators.tokens import parsed_elements
 
 FEATURES = [*JS_WEIGHTS, *STATIC_WEIGHTS]
 
@@ -40,69 +39,82 @@ def _children(elements: Column, e: Column) -> Column:
 
 def js_features(pages: DataFrame) -> DataFrame:
     """(page_id, one boolean per feature). The static signs are the last four."""
-    parsed = parsed_elements(pages).withColumn("pieces", H.stripped_pieces(F.col("texts")))
+    found = let(let(H.page(F.col("html"), attrs=True), _page_facts), _features)
+    return pages.select("page_id", F.explode(F.array(found)).alias("f")).select("page_id", "f.*")
+
+
+def _page_facts(p: Column) -> Column:
+    """What several features read, worked out once per page."""
     scripts = F.transform(
-        F.filter("toks", lambda t: t["kind"] == "script"),
+        F.filter(p["toks"], lambda t: t["kind"] == "script"),
         lambda t: F.struct(
             F.lower(F.coalesce(H.attribute(H.attributes(t["token"]), "src"), F.lit(""))).alias("src"),
             H.script_body(t["token"]).alias("body"),
         ),
     )
-    bodies = F.filter("elements", lambda e: e["tag"] == "body")
-    staged = parsed.select("*", scripts.alias("scripts"), F.get(bodies, F.lit(0)).alias("body"))
+    hidden = F.filter(p["spans"], lambda s: s["tag"].isin("title", "noscript"))
 
-    elements, texts, pieces, body = F.col("elements"), F.col("texts"), F.col("pieces"), F.col("body")
-
-    def text_of(e: Column) -> Column:
-        return H.text_between(pieces, e["pos"], e["end_pos"])
+    def with_body(q: Column) -> Column:
+        body = q["body"]
+        # text and markup of the body without the elements that show nothing
+        seen = F.transform(
+            p["pieces"], lambda x, i: F.when(F.exists(q["hidden"], lambda h: _inside(h, i)), "").otherwise(x)
+        )
+        markup = F.filter(
+            F.transform(
+                F.slice(p["toks"], body["pos"] + 1, F.greatest(body["end_pos"] - body["pos"] + 1, F.lit(0))),
+                lambda t, i: F.struct((i + body["pos"]).alias("pos"), t["kind"].alias("kind"), t["tag"].alias("tag"),
+                                      F.length(t["token"]).alias("n")),
+            ),
+            lambda t: ~t["kind"].isin("script", "style")
+            & ~F.coalesce(t["tag"].isin("meta", "link"), F.lit(False))
+            & ~F.exists(q["hidden"], lambda h: (h["pos"] <= t["pos"]) & (t["pos"] <= h["end_pos"])),
+        )
+        return let(seen, lambda s: F.struct(
+            p["elements"].alias("elements"), p["texts"].alias("texts"), p["pieces"].alias("pieces"), s.alias("seen"),
+            body.alias("body"), q["scripts"].alias("scripts"),
+            F.filter(p["elements"], lambda e: e["tag"] == "a").alias("anchors"),
+            F.filter(p["elements"], lambda e: ~e["tag"].isin("meta", "link", "title", "noscript")).alias("shown"),
+            H.text_between(s, body["pos"], body["end_pos"]).alias("body_text"),
+            F.reduce(markup, F.lit(0), lambda n, t: n + t["n"]).alias("body_size"),
+            F.array_join(F.transform(q["scripts"], lambda c: c["body"]), " ").alias("code"),
+            F.size(F.filter(F.split(H.text_between(s, body["pos"], body["end_pos"]), WORD_BREAK), lambda w: w != ""))
+            .alias("words"),
+        ))
 
-    # text and markup of the body without the elements that show nothing
-    hidden = F.filter("spans", lambda s: s["tag"].isin("title", "noscript"))
-    seen = F.transform(
-        pieces, lambda p, i: F.when(F.exists(hidden, lambda h: _inside(h, i)), "").otherwise(p)
+    first_body = F.get(F.filter(p["spans"], lambda e: e["tag"] == "body"), F.lit(0))
+    return let(
+        F.struct(scripts.alias("scripts"), hidden.alias("hidden"), first_body.alias("body")), with_body
     )
-    markup = F.filter(
-        F.transform(
-            F.slice("toks", body["pos"] + 1, F.greatest(body["end_pos"] - body["pos"] + 1, F.lit(0))),
-            lambda t, i: F.struct((i + body["pos"]).alias("pos"), t["kind"].alias("kind"), t["tag"].alias("tag"),
-                                  F.length(t["token"]).alias("n")),
-        ),
-        lambda t: ~t["kind"].isin("script", "style")
-        & ~F.coalesce(t["tag"].isin("meta", "link"), F.lit(False))
-        & ~F.exists(hidden, lambda h: (h["pos"] <= t["pos"]) & (t["pos"] <= h["end_pos"])),
-    )
-    staged = staged.select("*", seen.alias("seen")).select(
-        "*",
-        H.text_between(F.col("seen"), body["pos"], body["end_pos"]).alias("body_text"),
-        F.reduce(markup, F.lit(0), lambda n, t: n + t["n"]).alias("body_size"),
-        F.array_join(
-            F.transform(F.filter("toks", lambda t: t["kind"] == "script"), lambda t: H.script_body(t["token"])), " "
-        ).alias("code"),
-    )
-    staged = staged.withColumn("words", F.size(F.filter(F.split("body_text", WORD_BREAK), lambda w: w != "")))
+
+
+def _features(q: Column) -> Column:
+    elements, texts, body, code, scripts = q["elements"], q["texts"], q["body"], q["code"], q["scripts"]
+
+    def text_of(e: Column) -> Column:
+        return H.text_between(q["pieces"], e["pos"], e["end_pos"])
 
     noscript = F.exists(
         elements,
         lambda e: (e["tag"] == "noscript")
         & contains_any(F.lower(H.text_between(texts, e["pos"], e["end_pos"])), NOSCRIPT_PHRASES),
     )
-    shown = F.filter(elements, lambda e: ~e["tag"].isin("meta", "link", "title", "noscript"))
     empty_container = F.exists(
         elements,
         lambda e: e["tag"].isin("div", "main", "section")
         & _inside(body, e["pos"])
         & F.regexp_like(_attr(e, "class"), F.lit("app|root|container|content"))
-        & (H.text_between(F.col("seen"), e["pos"], e["end_pos"]) == "")
-        & (_children(shown, e) < 3),
+        & (H.text_between(q["seen"], e["pos"], e["end_pos"]) == "")
+        & (_children(q["shown"], e) < 3),
     )
     minimal = (
         body.isNull()
-        | (F.col("words") < 10)
-        | ((F.col("words") < 30) & (F.length("body_text") / F.greatest("body_size", F.lit(1)) < 0.05))
-        | ((F.col("words") < 100) & empty_container)
+        | (q["words"] < 10)
+        | ((q["words"] < 30) & (F.length(q["body_text"]) / F.greatest(q["body_size"], F.lit(1)) < 0.05))
+        | ((q["words"] < 100) & empty_container)
     )
     framework = (
-        F.exists("scripts", lambda s: contains_any(s["src"], FRAMEWORK_SCRIPT_NAMES))
+        F.exists(scripts, lambda s: contains_any(s["src"], FRAMEWORK_SCRIPT_NAMES))
         | F.exists(
             elements,
             lambda e: (e["tag"] == "meta")
@@ -111,7 +123,7 @@ def js_features(pages: DataFrame) -> DataFrame:
                 | ((_attr(e, "name") == "generator") & F.contains(F.lower(_attr(e, "content")), F.lit("gatsby")))
             ),
         )
-        | contains_any(F.col("code"), FRAMEWORK_CODE_MARKS)
+        | contains_any(code, FRAMEWORK_CODE_MARKS)
     )
 
     def hollow(e: Column) -> Column:
@@ -137,20 +149,19 @@ def js_features(pages: DataFrame) -> DataFrame:
         | F.exists(
             elements, lambda e: H.has_attribute(e["attrs"], "data-router") | H.has_attribute(e["attrs"], "data-route")
         )
-        | F.contains("code", F.lit("pushState"))
+        | F.contains(code, F.lit("pushState"))
     )
-    inline = F.filter("scripts", lambda s: (s["src"] == "") & (s["body"] != ""))
+    inline = F.filter(scripts, lambda s: (s["src"] == "") & (s["body"] != ""))
     inline_size = F.reduce(inline, F.lit(0), lambda n, s: n + F.length(s["body"]))
     heavy = (
-        (F.size(F.filter("scripts", lambda s: s["src"] != "")) > 10)
+        (F.size(F.filter(scripts, lambda s: s["src"] != "")) > 10)
         | (inline_size > 50000)
         | ((F.size(inline) > 5) & (inline_size > 10000))
     )
     rich = F.exists(elements, lambda e: e["tag"].isin("article", "main", "section") & (F.length(text_of(e)) > 200))
-    anchors = F.filter(elements, lambda e: e["tag"] == "a")
     navigation = F.exists(
         elements,
-        lambda e: e["tag"].isin("nav", "ul", "ol") & (F.size(F.filter(anchors, lambda a: _inside(e, a["pos"]))) > 3),
+        lambda e: e["tag"].isin("nav", "ul", "ol") & (F.size(F.filter(q["anchors"], lambda a: _inside(e, a["pos"]))) > 3),
     )
     form = F.exists(elements, lambda e: e["tag"] == "form")
     first_description = F.get(
@@ -158,9 +169,8 @@ def js_features(pages: DataFrame) -> DataFrame:
     )
     described = F.length(_attr(first_description, "content")) > 50
 
-    columns = dict(zip(FEATURES, [noscript, minimal, framework, root, loading, routing, heavy, rich, navigation, form,
-                                  described]))
-    return staged.select("page_id", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in columns.items()])
+    values = [noscript, minimal, framework, root, loading, routing, heavy, rich, navigation, form, described]
+    return F.struct(*[F.coalesce(v, F.lit(False)).alias(n) for n, v in zip(FEATURES, values, strict=True)])
 
 
 def js_scores(features: DataFrame, *, strict: bool = False, min_score: int = JS_MIN_SCORE,

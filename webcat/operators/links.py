@@ -127,8 +127,10 @@ def _js_events(attrs: Column) -> Column:
 
 
 def _js_script(token: Column, base_host: Column) -> Column:
-    body = H.script_body(token)
-    found = F.flatten(F.array(*[_find_all(body, "(?i)" + p, 1) for p in JS_URL_PATTERNS]))
+    # the body sits in a one-item array so that it is cut out of its tag once, not once per pattern
+    found = F.flatten(F.transform(
+        F.array(H.script_body(token)), lambda b: F.concat(*[_find_all(b, "(?i)" + p, 1) for p in JS_URL_PATTERNS])
+    ))
     return F.filter(F.array_distinct(found), lambda u: U.is_valid_js_url(u, base_host))
 
 
@@ -218,30 +220,24 @@ def _candidates(methods: list[str]) -> Column:
 
 def _header_candidates(pages: DataFrame) -> DataFrame:
     """References of the HTTP ``Link`` header; reads only the header column."""
-    header = F.coalesce(F.col("response_headers")["Link"], F.col("response_headers")["link"])
-    wanted = _find_all(header, HEADER_LINK_PATTERN, 0)
-    refs = F.filter(
-        F.transform(
-            wanted,
-            lambda m: F.struct(
-                F.regexp_extract(m, HEADER_LINK_PATTERN, 2).alias("rel"),
-                F.regexp_extract(m, HEADER_LINK_PATTERN, 1).alias("raw"),
-            ),
-        ),
-        lambda m: m["rel"].isin(HEADER_RELATIONS),
+    header = F.coalesce(F.col("response_headers")["Link"], F.col("response_headers")["link"], F.lit(""))
+    rank = DISCOVERY_METHODS.index("http_header")
+    wanted = F.filter(
+        _find_all(header, HEADER_LINK_PATTERN, 0),
+        lambda m: F.regexp_extract(m, HEADER_LINK_PATTERN, 2).isin(HEADER_RELATIONS),
     )
-    rows = pages.select(
-        "page_id", F.col("url").alias("source_page"), U.base_parts(F.col("url")).alias("base"),
-        F.posexplode(F.coalesce(refs, F.array().cast("array<struct<rel:string,raw:string>>"))).alias("pos", "ref"),
+    refs = F.transform(
+        wanted,
+        lambda m: F.struct(F.lit(rank).alias("rank"), F.regexp_extract(m, HEADER_LINK_PATTERN, 1).alias("raw")),
     )
-    return rows.select(
-        "page_id", "source_page", "base", "pos",
-        F.lit(DISCOVERY_METHODS.index("http_header")).alias("rank"), F.col("ref.raw").alias("raw"),
+    return pages.select(
+        "page_id", F.col("url").alias("source_page"), U.base_parts(F.col("url")).alias("base"), F.lit(0).alias("pos"),
+        refs.alias("refs"),
     )
 
 
 def candidate_links(pages: DataFrame, methods: list[str]) -> DataFrame:
-    """Every reference found, before resolution: (page_id, source_page, base, pos, rank, raw)."""
+    """References found per token, before resolution: (page_id, source_page, base, pos, refs array<rank, raw>)."""
     toks = pages.select(
         "page_id",
         F.col("url").alias("source_page"),
@@ -255,9 +251,7 @@ def candidate_links(pages: DataFrame, methods: list[str]) -> DataFrame:
     toks = toks.withColumn("tag", H.token_tag(F.col("token"), F.col("kind"))).withColumn(
         "attrs", F.when(F.col("kind").isin("open", "script"), H.attributes(F.col("token")))
     )
-    found = toks.select(
-        "page_id", "source_page", "base", "pos", F.explode(_candidates(methods)).alias("c")
-    ).select("page_id", "source_page", "base", "pos", "c.rank", "c.raw")
+    found = toks.select("page_id", "source_page", "base", "pos", _candidates(methods).alias("refs"))
     if "http_header" in methods and "response_headers" in pages.columns:
         found = found.unionByName(_header_candidates(pages))
     return found
@@ -267,22 +261,33 @@ def resolved_candidates(pages: DataFrame, profile: LinkProfile, methods: list[st
     """Valid absolute URLs with their order key: (page_id, source_page, host, url, first_seen).
 
     Stateless, so it serves batch and stream alike. ``first_seen`` packs (method rank, token position)
-    into one long: the smallest is the method and place that find the URL first.
+    into one long: the smallest is the method and place that find the URL first. References are resolved
+    and checked inside the array: a filter on a resolved column would be pushed below the projection and
+    resolve every reference once per use.
     """
-    found = candidate_links(pages, profile.methods() if methods is None else methods)
-    resolved = found.select(
-        "page_id", "source_page", F.col("base.host").alias("host"),
-        (F.shiftleft(F.col("rank").cast("long"), _POS_BITS) + F.col("pos")).alias("first_seen"),
-        U.resolve_url(F.col("raw"), F.col("base")).alias("url"),
-    ).filter(
-        U.is_valid_url(
-            F.col("url"), F.col("host"),
+    base = F.col("base")
+    resolved = F.transform(
+        "refs", lambda r: F.struct(r["rank"].alias("rank"), U.resolve_url(r["raw"], base).alias("url"))
+    )
+    valid = F.filter(
+        resolved,
+        lambda r: U.is_valid_url(
+            r["url"], base["host"],
             follow_external=profile.follow_external, blocked_extensions=list(profile.blocked_extensions),
-        )
+        ),
     )
     if profile.normalize:
-        resolved = resolved.withColumn("url", U.normalize_url(F.col("url")))
-    return resolved
+        valid = F.transform(
+            valid, lambda r: F.struct(r["rank"].alias("rank"), U.normalize_url(r["url"]).alias("url"))
+        )
+    found = candidate_links(pages, profile.methods() if methods is None else methods)
+    rows = found.select(
+        "page_id", "source_page", F.col("base.host").alias("host"), "pos", F.explode(valid).alias("link")
+    )
+    return rows.select(
+        "page_id", "source_page", "host", F.col("link.url").alias("url"),
+        (F.shiftleft(F.col("link.rank").cast("long"), _POS_BITS) + F.col("pos")).alias("first_seen"),
+    )
 
 
 def method_of(first_seen: Column) -> Column:

@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webcat.functions import html as H
-from webcat.functions.text import strip
+from webcat.functions.text import let, strip
 from webcat.operators.content import has_class_part, page_title
-from webcat.operators.tokens import parsed_elements
 
 META_NAMES = ["description", "keywords", "author", "title"]
 _PRODUCT = "struct<name:string,price:double,currency:string,description:string>"
@@ -91,14 +90,16 @@ def _microdata_array(elements: Column, pieces: Column) -> Column:
         ),
         lambda p: F.coalesce(p["value"] != "", F.lit(False)),
     )
-    scopes = F.transform(
-        F.filter(elements, lambda e: H.has_attribute(e["attrs"], "itemscope")),
-        lambda e: F.struct(
-            e["pos"].alias("pos"),
-            F.coalesce(_attr(e, "itemtype"), F.lit("")).alias("type"),
-            F.filter(marked, lambda p: (e["pos"] < p["pos"]) & (p["pos"] < e["end_pos"])).alias("found"),
-        ),
-    )
+
+    def scopes(properties: Column) -> Column:
+        return F.transform(
+            F.filter(elements, lambda e: H.has_attribute(e["attrs"], "itemscope")),
+            lambda e: F.struct(
+                e["pos"].alias("pos"),
+                F.coalesce(_attr(e, "itemtype"), F.lit("")).alias("type"),
+                F.filter(properties, lambda p: (e["pos"] < p["pos"]) & (p["pos"] < e["end_pos"])).alias("found"),
+            ),
+        )
 
     def grouped(s: Column) -> Column:
         names = F.array_distinct(F.transform(s["found"], lambda p: p["name"]))
@@ -114,19 +115,18 @@ def _microdata_array(elements: Column, pieces: Column) -> Column:
             ).alias("properties"),
         )
 
-    return F.filter(F.transform(scopes, grouped), lambda s: F.size(s["properties"]) > 0)
+    return F.filter(F.transform(let(marked, scopes), grouped), lambda s: F.size(s["properties"]) > 0)
 
 
-def _with_elements(pages: DataFrame, *keep: str) -> DataFrame:
-    return parsed_elements(pages, *keep).select(
-        "page_id", *keep, "elements", H.stripped_pieces(F.col("texts")).alias("pieces")
-    )
+def _from_elements(html: Column, pick) -> Column:
+    """``pick(elements, pieces)`` on a page that is taken apart once."""
+    return let(H.page(html, attrs=True), lambda p: pick(p["elements"], p["pieces"]))
 
 
 def microdata_items(pages: DataFrame) -> DataFrame:
     """One row per item property: (page_id, item_no, type, prop, values in document order)."""
-    items = _with_elements(pages).select(
-        "page_id", F.posexplode(_microdata_array(F.col("elements"), F.col("pieces"))).alias("item_no", "i")
+    items = pages.select(
+        "page_id", F.posexplode(_from_elements(F.col("html"), _microdata_array)).alias("item_no", "i")
     )
     return items.select("page_id", "item_no", "i.type", F.explode("i.properties").alias("p")).select(
         "page_id", "item_no", "type", F.col("p.name").alias("prop"), F.col("p.values").alias("values")
@@ -165,24 +165,29 @@ def _opengraph_array(metas: Column) -> Column:
         F.transform(
             metas,
             lambda m: F.struct(
-                H.attribute(m, "property").alias("property"), F.coalesce(H.attribute(m, "content"), F.lit("")).alias("content")
+                H.attribute(m, "property").alias("property"),
+                F.coalesce(H.attribute(m, "content"), F.lit("")).alias("content"),
             ),
         ),
         lambda m: F.coalesce(F.startswith(m["property"], F.lit("og:")), F.lit(False)) & (m["content"] != ""),
     )
-    names = F.array_distinct(F.transform(og, lambda m: m["property"]))
-    return F.transform(
-        names,
-        lambda n: F.struct(
-            F.substr(n, F.lit(4)).alias("name"),
-            F.element_at(F.filter(og, lambda m: m["property"] == n), -1)["content"].alias("content"),
-        ),
-    )
+
+    def last_of_each(found: Column) -> Column:
+        names = F.array_distinct(F.transform(found, lambda m: m["property"]))
+        return F.transform(
+            names,
+            lambda n: F.struct(
+                F.substr(n, F.lit(4)).alias("name"),
+                F.element_at(F.filter(found, lambda m: m["property"] == n), -1)["content"].alias("content"),
+            ),
+        )
+
+    return let(og, last_of_each)
 
 
 def _meta_rows(pages: DataFrame, pick) -> DataFrame:
-    staged = pages.select("page_id", _open_tags(F.col("html"), "meta").alias("metas"))
-    return staged.select("page_id", F.explode(pick(F.col("metas"))).alias("m")).select("page_id", "m.name", "m.content")
+    rows = let(_open_tags(F.col("html"), "meta"), pick)
+    return pages.select("page_id", F.explode(rows).alias("m")).select("page_id", "m.name", "m.content")
 
 
 def meta_tags(pages: DataFrame) -> DataFrame:
@@ -277,9 +282,7 @@ def fallback_products(pages: DataFrame) -> DataFrame:
 
     An element that several selectors match gives one row per selector; blocks without a name give none.
     """
-    rows = _with_elements(pages).select(
-        "page_id", F.explode(_product_array(F.col("elements"), F.col("pieces"))).alias("p")
-    )
+    rows = pages.select("page_id", F.explode(_from_elements(F.col("html"), _product_array)).alias("p"))
     return rows.select("page_id", "p.selector", "p.pos", "p.product.*")
 
 
@@ -309,23 +312,22 @@ def _organization(title: Column, elements: Column, pieces: Column) -> Column:
         tagged("phone", texts_of(lambda e: _attr_is(e, "itemprop", "telephone"))),
     )
 
-    def last(field: str) -> Column:
+    def last(values: Column, field: str) -> Column:
         return F.try_element_at(
-            F.filter(found, lambda f: F.coalesce(f["field"] == field, F.lit(False))), F.lit(-1)
+            F.filter(values, lambda f: F.coalesce(f["field"] == field, F.lit(False))), F.lit(-1)
         )["text"]
 
-    return F.struct(title.alias("name"), last("telephone").alias("telephone"), last("address").alias("address"))
+    return let(found, lambda v: F.struct(
+        title.alias("name"), last(v, "telephone").alias("telephone"), last(v, "address").alias("address")
+    ))
 
 
 def organization_info(pages: DataFrame) -> DataFrame:
     """(page_id, name, telephone, address) of every page that shows any of them."""
-    staged = _with_elements(
-        pages.select("page_id", "html", F.nullif(page_title(F.col("html")), F.lit("")).alias("title")), "title"
-    )
-    found = staged.select("page_id", _organization(F.col("title"), F.col("elements"), F.col("pieces")).alias("o"))
-    return found.select("page_id", "o.*").filter(
-        F.coalesce("name", "telephone", "address").isNotNull()
-    )
+    title = F.nullif(page_title(F.col("html")), F.lit(""))
+    found = _from_elements(F.col("html"), lambda elements, pieces: _organization(title, elements, pieces))
+    shown = let(found, lambda o: F.when(F.coalesce(o["name"], o["telephone"], o["address"]).isNotNull(), F.array(o)))
+    return pages.select("page_id", F.explode(shown).alias("o")).select("page_id", "o.*")
 
 
 # --- all of it ---------------------------------------------------------------------------------
@@ -341,34 +343,38 @@ def structured_data(pages: DataFrame) -> DataFrame:
         if "intercepted_json_ld" in pages.columns
         else F.array().cast("array<string>")
     )
-    prepared = pages.select(
-        "page_id", "html",
-        intercepted.alias("intercepted"),
-        F.transform(_json_ld_array(F.col("html")), lambda i: i["item"]).alias("own"),
-        F.nullif(page_title(F.col("html")), F.lit("")).alias("title"),
-        _open_tags(F.col("html"), "meta").alias("metas"),
-    )
-    staged = _with_elements(prepared, "intercepted", "own", "title", "metas")
-    parts = staged.select(
-        "page_id", "intercepted", "own",
-        _microdata_array(F.col("elements"), F.col("pieces")).alias("microdata"),
-        F.map_from_entries(_meta_array(F.col("metas"))).alias("meta_tags"),
-        F.map_from_entries(_opengraph_array(F.col("metas"))).alias("opengraph"),
-        F.transform(_product_array(F.col("elements"), F.col("pieces")), lambda p: p["product"]).alias("products"),
-        _organization(F.col("title"), F.col("elements"), F.col("pieces")).alias("organization"),
-    )
-    organized = F.coalesce(*[F.col("organization")[f] for f in ("name", "telephone", "address")]).isNotNull()
-    methods = F.array(
-        F.when(F.size("intercepted") > 0, "intercepted_json_ld"),
-        F.when(F.size("own") > 0, "page_json_ld"),
-        F.when(F.size("microdata") > 0, "microdata"),
-        F.when((F.size("meta_tags") > 0) | (F.size("opengraph") > 0), "meta_tags"),
-        F.when((F.size("products") > 0) | organized, "intelligent_fallback"),
-    )
-    return parts.select(
-        "page_id",
-        F.concat("intercepted", "own").alias("json_ld"),
-        "microdata", "meta_tags", "opengraph", "products",
-        F.when(organized, F.col("organization")).alias("organization"),
-        F.filter(methods, lambda m: m.isNotNull()).alias("extraction_methods"),
-    )
+    title = F.nullif(page_title(F.col("html")), F.lit(""))
+
+    def parts(p: Column) -> Column:
+        return F.struct(
+            intercepted.alias("intercepted"),
+            F.transform(_json_ld_array(F.col("html")), lambda i: i["item"]).alias("own"),
+            _microdata_array(p["elements"], p["pieces"]).alias("microdata"),
+            let(_open_tags(F.col("html"), "meta"), lambda m: F.struct(
+                F.map_from_entries(_meta_array(m)).alias("meta"), F.map_from_entries(_opengraph_array(m)).alias("og")
+            )).alias("tags"),
+            F.transform(_product_array(p["elements"], p["pieces"]), lambda x: x["product"]).alias("products"),
+            _organization(title, p["elements"], p["pieces"]).alias("org"),
+        )
+
+    def assembled(x: Column) -> Column:
+        has_org = F.coalesce(x["org"]["name"], x["org"]["telephone"], x["org"]["address"]).isNotNull()
+        methods = F.array(
+            F.when(F.size(x["intercepted"]) > 0, "intercepted_json_ld"),
+            F.when(F.size(x["own"]) > 0, "page_json_ld"),
+            F.when(F.size(x["microdata"]) > 0, "microdata"),
+            F.when((F.size(x["tags"]["meta"]) > 0) | (F.size(x["tags"]["og"]) > 0), "meta_tags"),
+            F.when((F.size(x["products"]) > 0) | has_org, "intelligent_fallback"),
+        )
+        return F.struct(
+            F.concat(x["intercepted"], x["own"]).alias("json_ld"),
+            x["microdata"].alias("microdata"),
+            x["tags"]["meta"].alias("meta_tags"),
+            x["tags"]["og"].alias("opengraph"),
+            x["products"].alias("products"),
+            F.when(has_org, x["org"]).alias("organization"),
+            F.filter(methods, lambda m: m.isNotNull()).alias("extraction_methods"),
+        )
+
+    found = let(let(H.page(F.col("html"), attrs=True), parts), assembled)
+    return pages.select("page_id", F.explode(F.array(found)).alias("s")).select("page_id", "s.*")

@@ -1,4 +1,4 @@
-"""Token and element tables of stored pages."""
+"""Token and element tables of stored pages. A page is taken apart inside its own row: no shuffle."""
 
 from __future__ import annotations
 
@@ -6,42 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcat.functions import html as H
+from webcat.functions.text import let
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """One row per token: (page_id, pos, kind, tag, token). No shuffle."""
+    """One row per token: (page_id, pos, kind, tag, token)."""
     raw = pages.select("page_id", F.posexplode(H.tokens(F.col("html"))).alias("pos", "token"))
     kinds = raw.withColumn("kind", H.token_kind(F.col("token")))
     return kinds.select("page_id", "pos", "kind", H.token_tag(F.col("token"), F.col("kind")).alias("tag"), "token")
 
 
-def parsed_pages(pages: DataFrame, *keep: str) -> DataFrame:
-    """One row per page with ``toks``, ``spans`` and ``texts``; the html itself is not carried on.
-
-    ``keep`` names further page columns to keep. The arrays are as large as the page was, so an operator
-    should read what it needs from them in the next select and drop them.
-    """
-    toks = pages.select("page_id", *keep, H.classified(H.tokens(F.col("html"))).alias("toks"))
-    return toks.select(
-        "*", H.element_spans(F.col("toks")).alias("spans"), H.text_pieces(F.col("toks")).alias("texts")
-    )
-
-
 def page_elements(pages: DataFrame) -> DataFrame:
-    """One row per element: (page_id, pos, end_pos, tag, attrs map). No shuffle."""
-    parsed = parsed_pages(pages)
-    one = parsed.select(
-        "page_id",
-        F.explode(
-            F.transform(
-                "spans",
-                lambda s: F.struct(s["pos"], s["end_pos"], s["tag"], F.get("toks", s["pos"])["token"].alias("token")),
-            )
-        ).alias("e"),
-    )
-    return one.select("page_id", "e.*").select(
-        "page_id", "pos", "end_pos", "tag", H.attribute_map(H.attributes(F.col("token"))).alias("attrs")
-    )
+    """One row per element: (page_id, pos, end_pos, tag, attrs map)."""
+    elements = let(H.page(F.col("html"), attrs=True), lambda p: p["elements"])
+    rows = pages.select("page_id", F.explode(elements).alias("e"))
+    return rows.select("page_id", "e.pos", "e.end_pos", "e.tag", H.attribute_map(F.col("e.attrs")).alias("attrs"))
 
 
 def element_text(pages: DataFrame, tags: list[str] | None = None) -> DataFrame:
@@ -50,35 +29,14 @@ def element_text(pages: DataFrame, tags: list[str] | None = None) -> DataFrame:
     Stripped text fragments glued without a separator. The text of an element is a slice of the page's
     text array, so nested elements cost their own length and no span join is needed.
     """
-    parsed = parsed_pages(pages)
-    wanted = F.col("spans") if tags is None else F.filter("spans", lambda s: s["tag"].isin(tags))
-    pieces = parsed.select("page_id", wanted.alias("spans"), H.stripped_pieces(F.col("texts")).alias("pieces"))
-    return pieces.select(
-        "page_id",
-        F.explode(
-            F.transform(
-                "spans",
-                lambda s: F.struct(
-                    s["pos"].alias("pos"),
-                    s["tag"].alias("tag"),
-                    H.text_between(F.col("pieces"), s["pos"], s["end_pos"]).alias("text"),
-                ),
-            )
-        ).alias("e"),
-    ).select("page_id", "e.*")
-
-
-def parsed_elements(pages: DataFrame, *keep: str) -> DataFrame:
-    """``parsed_pages`` with ``elements``: array<struct<pos, end_pos, tag, attrs array>>."""
-    return parsed_pages(pages, *keep).select(
-        "*",
-        F.transform(
-            "spans",
+    def texts(p):
+        wanted = p["spans"] if tags is None else F.filter(p["spans"], lambda s: s["tag"].isin(tags))
+        return F.transform(
+            wanted,
             lambda s: F.struct(
-                s["pos"].alias("pos"),
-                s["end_pos"].alias("end_pos"),
-                s["tag"].alias("tag"),
-                H.attributes(F.get("toks", s["pos"])["token"]).alias("attrs"),
+                s["pos"].alias("pos"), s["tag"].alias("tag"),
+                H.text_between(p["pieces"], s["pos"], s["end_pos"]).alias("text"),
             ),
-        ).alias("elements"),
-    )
+        )
+
+    return pages.select("page_id", F.explode(let(H.page(F.col("html")), texts)).alias("e")).select("page_id", "e.*")

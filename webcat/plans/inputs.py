@@ -14,10 +14,27 @@ from pyspark.sql import functions as F
 from webcat.schemas import conform
 
 
+SMALL_INPUT = 1 << 30
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Share a small input among all cores before work that is heavy per row.
+
+    A file of one row group is read by one task however many cores there are. Only inputs below a checked
+    size are shuffled; a large one has splits enough and stays as it is read.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if size < SMALL_INPUT else df
+
+
+def given_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
 def _fill(template: str, values: dict[str, Column]) -> Column:
     """Template with [name] slots -> one concatenated string column."""
     pieces = re.split(r"\[([a-z]+)\]", template)
@@ -36,7 +53,9 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every seventh page is an empty shell that needs JavaScript; the others show the product.
     """
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    part = spread(
+        table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"), "p_partkey"
+    )
     k = F.col("p_partkey")
     cents = F.round(F.col("p_retailprice") * 100).cast("long")
     whole, fraction = (cents / 100).cast("long"), F.lpad((cents % 100).cast("string"), 2, "0")

@@ -18,8 +18,8 @@ def strip(expr: str) -> str:
 def decoded(expr: str) -> str:
     """The entities the given pages use."""
     return (
-        f"replace(replace(replace(replace(replace({expr}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), "
-        f"'&gt;', '>'), '&amp;', '&')"
+        f"replace(replace(replace(replace(replace(replace(replace({expr}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), "
+        f"'&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')"
     )
 
 
