@@ -56,17 +56,16 @@ MENU_REQUIRED = ["name", "category"]
 def check_domain(rows: DataFrame, domains: dict[str, str], keys: list[str]) -> DataFrame:
     """One row per value outside its enum: (keys.., column, value). Arrays are checked per item."""
     types = {f.name: f.dataType for f in rows.schema.fields}
-    checks = []
-    for column, enum in domains.items():
+
+    def outside(column: str, enum: str) -> Column:
         values = F.col(column) if isinstance(types[column], T.ArrayType) else F.array(F.col(column))
-        outside = F.filter(
-            F.coalesce(values, F.array().cast("array<string>")),
-            lambda v, enum=enum: v.isNotNull() & ~v.isin(ENUMS[enum]),
+        bad = F.filter(
+            F.coalesce(values, F.array().cast("array<string>")), lambda v: v.isNotNull() & ~v.isin(ENUMS[enum])
         )
-        checks.append(F.transform(
-            outside, lambda v, column=column: F.struct(F.lit(column).alias("column"), v.alias("value"))
-        ))
-    return rows.select(*keys, F.explode(F.concat(*checks)).alias("v")).select(*keys, "v.column", "v.value")
+        return F.transform(bad, lambda v: F.struct(F.lit(column).alias("column"), v.alias("value")))
+
+    found = F.concat(*[outside(column, enum) for column, enum in domains.items()])
+    return rows.select(*keys, F.explode(found).alias("v")).select(*keys, "v.column", "v.value")
 
 
 def check_required(rows: DataFrame, required: list[str], keys: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["url_queries", "page_queries"]
+MODULES = ["url_queries", "page_queries", "product_queries", "catalog_queries", "storage_queries"]
 
 
 def _collect(attribute: str) -> dict:

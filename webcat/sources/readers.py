@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcat.schemas import LINKS_DOCUMENT, PROCESSED_DOCUMENT, SITE_SUMMARY
+from webcat.schemas import CATALOG, LINKS_DOCUMENT, PROCESSED_DOCUMENT, SITE_SUMMARY
 
 
 def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
@@ -25,9 +25,9 @@ def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataF
     )
 
 
-def read_links(spark: SparkSession, path: str) -> DataFrame:
-    """Discovery documents (one JSON object per file): one row per link with its site's metadata."""
-    docs = spark.read.schema(LINKS_DOCUMENT).json(path, multiLine=True)
+def read_links(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Discovery documents, one JSON object per file or per line: one row per link with its site's metadata."""
+    docs = spark.read.schema(LINKS_DOCUMENT).json(path, multiLine=multiline)
     m = "discovery_metadata"
     return docs.select(
         F.col(f"{m}.base_url").alias("base_url"), F.col(f"{m}.base_domain").alias("base_domain"),
@@ -53,9 +53,14 @@ def read_processed(spark: SparkSession, path: str, multiline: bool = True) -> Da
     ).select("source_file", "processed_at", "error", "beans_found", "idx", "bean.*")
 
 
-def read_summaries(spark: SparkSession, path: str) -> DataFrame:
+def read_summaries(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Site summaries of both shapes, one row per site."""
-    return spark.read.schema(SITE_SUMMARY).json(path, multiLine=True)
+    return spark.read.schema(SITE_SUMMARY).json(path, multiLine=multiline)
+
+
+def read_catalog(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The catalog tables stored below one path."""
+    return {name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in CATALOG.items()}
 
 
 def html_only(pages: DataFrame) -> DataFrame:
