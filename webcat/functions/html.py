@@ -13,15 +13,15 @@ from webcat.functions.text import decode_entities, let, strip
 from webcat.functions.vocab import VOID_TAGS
 
 # One match per token. Scripts, styles and comments are one token each; a tag may hold '>' inside
-# quotes; '<' before anything but a letter, '/', '!' or '?' is text. The loops are unrolled and there
-# is no look-around, so the pattern is linear and means the same in Java and RE2.
+# quotes; '<' before anything but a letter, '/', '!' or '?' is text. The loops are unrolled and possessive:
+# linear, and without the recursion that overflows the stack on thousands of repetitions.
 TOKEN = (
     r"""(?is)<!--.*?-->"""
     r"""|<script\b[^>]*>.*?(?:</script\s*>|\z)"""
     r"""|<style\b[^>]*>.*?(?:</style\s*>|\z)"""
-    r"""|</?[a-z][^'">]*(?:"[^"]*"[^'">]*|'[^']*'[^'">]*)*>"""
+    r"""|</?[a-z][^'">]*(?:"[^"]*"[^'">]*|'[^']*'[^'">]*)*+>"""
     r"""|<[a-z/!?][^>]*>"""
-    r"""|<?[^<]+(?:<[^a-z/!?<][^<]*)*"""
+    r"""|<?[^<]+(?:<[^a-z/!?<][^<]*)*+"""
 )
 ATTRIBUTE = r"""[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
 # html.parser never treats these as containers here: their content is a single token
@@ -70,7 +70,7 @@ def classified(token_array: Column) -> Column:
 
 def attributes(token: Column) -> Column:
     """Attributes of an open or script token: array<struct<name, value>>, names in lower case."""
-    body = F.regexp_replace(F.regexp_extract(token, r"""^(<[a-zA-Z][^'">]*(?:"[^"]*"[^'">]*|'[^']*'[^'">]*)*)""", 1),
+    body = F.regexp_replace(F.regexp_extract(token, r"""^(<[a-zA-Z][^'">]*(?:"[^"]*"[^'">]*|'[^']*'[^'">]*)*+)""", 1),
                             r"^<[a-zA-Z][^\s/>]*", "")
     parts = F.regexp_extract_all(body, F.lit(ATTRIBUTE), F.lit(0))
     raw = F.transform(

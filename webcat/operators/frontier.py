@@ -8,23 +8,47 @@ from pyspark.sql import functions as F
 from webcat.session import checkpointed
 
 
-def frontier(edges: DataFrame, seeds: DataFrame, max_pages: int, max_depth: int = 50) -> DataFrame:
+HUB_EDGES = 1_000_000
+
+
+def _prepared_edges(edges: DataFrame, hub_edges: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct edges, hash-partitioned once by (src, part), and the hubs: (src, parts).
+
+    A source with more than ``hub_edges`` targets is cut into parts by its targets' hash, so no partition
+    holds more of one source. There is at most one hub per ``hub_edges`` edges.
+    """
+    distinct = edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
+    hubs = checkpointed(
+        distinct.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > hub_edges)
+        .select("src", F.ceil(F.col("n") / hub_edges).cast("int").alias("parts"))
+    )
+    part = F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1))).cast("int")
+    placed = distinct.join(hubs, "src", "left").select("src", part.alias("part"), "dst")
+    return checkpointed(placed.repartition("src", "part")), hubs
+
+
+def frontier(
+    edges: DataFrame, seeds: DataFrame, max_pages: int, max_depth: int = 50, hub_edges: int = HUB_EDGES
+) -> DataFrame:
     """Pages a crawl would visit: (url, depth), the first ``max_pages`` in (depth, url) order.
 
     ``edges`` is (src, dst), ``seeds`` is (url). Level by level: the new pages of a level are joined with
-    the edges, reduced to distinct targets before the shuffle, and cut against everything visited. Each
-    level is checkpointed, so the plan stays short and a lost executor costs one level; the driver sees
-    one count per level. The walk stops when a level is empty, when the budget is full (later levels can
-    only rank behind) or after ``max_depth`` levels. A hub page with very many out-links is a skewed join
-    key of the edge side, which adaptive execution splits.
+    the edges, reduced to distinct targets before the shuffle, and cut against everything visited. The
+    edges are partitioned and checkpointed once, so a level shuffles only its own pages. Each level is
+    checkpointed too: the plan stays short and a lost executor costs one level. The driver sees one count
+    per level. The walk stops when a level is empty, when the budget is full (later levels can only rank
+    behind) or after ``max_depth`` levels.
     """
-    edges = edges.select("src", "dst").filter(F.col("src") != F.col("dst")).distinct()
+    placed, hubs = _prepared_edges(edges, hub_edges)
     level = checkpointed(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
-    levels, visited, total, depth = [level], level, level.count(), 0
+    visited, total, depth = level, level.count(), 0
     while total < max_pages and depth < max_depth:
         depth += 1
+        starts = level.select(F.col("url").alias("src")).join(hubs, "src", "left").select(
+            "src", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+        )
         reached = (
-            level.join(edges, level["url"] == edges["src"])
+            starts.join(placed, ["src", "part"])
             .select(F.col("dst").alias("url"))
             .distinct()
             .join(visited.select("url"), "url", "left_anti")
@@ -35,7 +59,6 @@ def frontier(edges: DataFrame, seeds: DataFrame, max_pages: int, max_depth: int
         if not found:
             break
         total += found
-        levels.append(level)
         visited = visited.unionByName(level)
     return visited.orderBy("depth", "url").limit(max_pages)
 

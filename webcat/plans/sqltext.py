@@ -46,7 +46,7 @@ def site(expr: str) -> str:
 TOKENS = f"""
 tok0 AS (
   SELECT page_id, unnest(range(len(t))) AS pos, unnest(t) AS token
-  FROM (SELECT page_id, regexp_extract_all(html, {quoted(TOKEN)}) AS t FROM pages)
+  FROM (SELECT page_id, regexp_extract_all(html, {quoted(TOKEN.replace('*+', '*'))}) AS t FROM pages)
 ),
 tok1 AS (
   SELECT *, CASE
