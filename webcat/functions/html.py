@@ -35,16 +35,18 @@ def tokens(html: Column) -> Column:
 
 def token_kind(token: Column) -> Column:
     """comment, script, style, open, close, decl (doctype and the like) or text."""
+    second = F.lower(F.substring(token, 2, 1))
     head = F.lower(F.substring(token, 1, 8))
-    closed = F.endswith(token, F.lit(">"))
+    tagged = F.when(second == "/", F.when(F.lower(F.substring(token, 3, 1)).between("a", "z"), "close").otherwise("decl"))
     return (
         F.when(~F.startswith(token, F.lit("<")), "text")
         .when(F.startswith(token, F.lit("<!--")), "comment")
-        .when(F.regexp_like(head, F.lit(r"^<script\b")), "script")
-        .when(F.regexp_like(head, F.lit(r"^<style\b")), "style")
-        .when(closed & F.regexp_like(head, F.lit("^</[a-z]")), "close")
-        .when(closed & F.regexp_like(head, F.lit("^<[a-z]")), "open")
-        .when(closed & F.regexp_like(head, F.lit("^<[/!?]")), "decl")
+        .when((second == "s") & F.regexp_like(head, F.lit(r"^<script\b")), "script")
+        .when((second == "s") & F.regexp_like(head, F.lit(r"^<style\b")), "style")
+        .when(~F.endswith(token, F.lit(">")), "text")
+        .when(second.between("a", "z"), "open")
+        .when(second == "/", tagged)
+        .when(second.isin("!", "?"), "decl")
         .otherwise("text")
     )
 
@@ -69,7 +71,10 @@ def classified(token_array: Column) -> Column:
 
 
 def attributes(token: Column) -> Column:
-    """Attributes of an open or script token: array<struct<name, value>>, names in lower case."""
+    """Attributes of an open or script token: array<struct<name, value>>, names in lower case.
+
+    Of a repeated attribute only the last one stays.
+    """
     body = F.regexp_replace(F.regexp_extract(token, r"""^(<[a-zA-Z][^'">]*(?:"[^"]*"[^'">]*|'[^']*'[^'">]*)*+)""", 1),
                             r"^<[a-zA-Z][^\s/>]*", "")
     parts = F.regexp_extract_all(body, F.lit(ATTRIBUTE), F.lit(0))
@@ -81,7 +86,7 @@ def attributes(token: Column) -> Column:
         ),
     )
     return F.transform(
-        raw,
+        let(raw, _last_of_each_name),
         lambda a: F.struct(
             a["name"].alias("name"),
             decode_entities(
@@ -94,9 +99,19 @@ def attributes(token: Column) -> Column:
     )
 
 
+def _last_of_each_name(attrs: Column) -> Column:
+    def kept(names: Column) -> Column:
+        last = F.filter(
+            attrs, lambda a, i: i == F.size(names) - F.array_position(F.reverse(names), a["name"])
+        )
+        return F.when(F.size(F.array_distinct(names)) < F.size(names), last).otherwise(attrs)
+
+    return let(F.transform(attrs, lambda a: a["name"]), kept)
+
+
 def attribute(attrs: Column, name: str) -> Column:
-    """Value of an attribute, NULL when absent; the last one counts when it is repeated."""
-    return F.try_element_at(F.filter(attrs, lambda a: a["name"] == name), F.lit(-1))["value"]
+    """Value of an attribute, NULL when absent."""
+    return F.get(F.filter(attrs, lambda a: a["name"] == name), F.lit(0))["value"]
 
 
 def has_attribute(attrs: Column, name: str) -> Column:
@@ -104,15 +119,8 @@ def has_attribute(attrs: Column, name: str) -> Column:
 
 
 def attribute_map(attrs: Column) -> Column:
-    """attrs -> map<string,string>; the last one counts when a name is repeated."""
-    def build(bound: Column) -> Column:
-        names = F.array_distinct(F.transform(bound, lambda a: a["name"]))
-        return F.map_from_arrays(
-            names,
-            F.transform(names, lambda n: F.element_at(F.filter(bound, lambda a: a["name"] == n), -1)["value"]),
-        )
-
-    return let(attrs, build)
+    """attrs -> map<string,string>."""
+    return F.map_from_entries(attrs)
 
 
 def text_pieces(toks: Column) -> Column:

@@ -82,10 +82,6 @@ def _unless_prefixed(value: Column, *prefixes: str) -> Column:
     )
 
 
-def _on_tag(tag: Column, names: list[str], values: Column) -> Column:
-    return F.when(tag.isin(names), values).otherwise(_no_strings())
-
-
 def _rooted(values: Column) -> Column:
     return F.filter(values, lambda v: F.regexp_like(v, F.lit("^(?:https?://|/)")))
 
@@ -94,36 +90,24 @@ def _find_all(text: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def _named_values(attrs: Column, names: list[str]) -> Column:
-    return F.transform(F.filter(attrs, lambda a: a["name"].isin(names)), lambda a: a["value"])
-
-
-def _anchor(tag: Column, attrs: Column) -> Column:
-    hrefs = _on_tag(tag, ["a"], _unless_prefixed(H.attribute(attrs, "href"), "#", "mailto:", "tel:"))
-    labels = _on_tag(
-        tag,
-        ["a", "button", "div"],
-        F.coalesce(_find_all(H.attribute(attrs, "aria-label"), ABSOLUTE_URL_PATTERN, 0), _no_strings()),
-    )
-    return F.concat(hrefs, labels)
-
-
-def _area(tag: Column, attrs: Column) -> Column:
-    return _on_tag(tag, ["area"], _unless_prefixed(H.attribute(attrs, "href"), "#", "mailto:", "tel:"))
-
-
-def _form(tag: Column, attrs: Column) -> Column:
-    return _on_tag(tag, ["form"], _unless_prefixed(H.attribute(attrs, "action"), "#", "mailto:"))
-
-
-def _data_attribute(attrs: Column) -> Column:
-    values = F.transform(_named_values(attrs, DATA_LINK_ATTRIBUTES), strip)
-    return F.filter(values, lambda v: (v != "") & ~F.regexp_like(v, F.lit("^(?:#|javascript:)")))
-
-
-def _js_events(attrs: Column) -> Column:
-    code = _named_values(attrs, EVENT_ATTRIBUTES)
-    return F.flatten(F.transform(code, lambda c: _find_all(c, EVENT_URL_PATTERN, 1)))
+def _of_attribute(tag: Column, a: Column, methods: list[str]) -> Column:
+    """References one attribute holds by itself: array<struct<rank, raw>>."""
+    name, value = a["name"], a["value"]
+    href = _unless_prefixed(value, "#", "mailto:", "tel:")
+    cases = [
+        ("anchor", (name == "href") & (tag == "a"), href),
+        ("area", (name == "href") & (tag == "area"), href),
+        ("form", (name == "action") & (tag == "form"), _unless_prefixed(value, "#", "mailto:")),
+        ("anchor", (name == "aria-label") & tag.isin("a", "button", "div"), _find_all(value, ABSOLUTE_URL_PATTERN, 0)),
+        ("data_attribute", name.isin(DATA_LINK_ATTRIBUTES), _unless_prefixed(value, "#", "javascript:")),
+        ("javascript", name.isin(EVENT_ATTRIBUTES), _find_all(value, EVENT_URL_PATTERN, 1)),
+        ("css", name == "style", _css_text(value)),
+        ("microdata", name.isin("itemid", "itemtype"), _rooted(F.array(value))),
+    ]
+    chosen = _no_refs()
+    for method, condition, values in reversed([c for c in cases if c[0] in methods]):
+        chosen = F.when(condition, _ranked(method, values)).otherwise(chosen)
+    return chosen
 
 
 def _js_script(token: Column, base_host: Column) -> Column:
@@ -138,11 +122,8 @@ def _css_text(text: Column) -> Column:
     return F.filter(_find_all(text, CSS_URL_PATTERN, 1), U.is_valid_css_url)
 
 
-def _css_attribute(attrs: Column) -> Column:
-    return F.flatten(F.transform(_named_values(attrs, ["style"]), _css_text))
-
-
 def _meta(tag: Column, attrs: Column) -> Column:
+    """Refresh target of a meta tag or address of a link tag with a followed relation."""
     refresh = F.when(
         F.lower(H.attribute(attrs, "http-equiv")) == "refresh",
         F.btrim(F.regexp_extract(H.attribute(attrs, "content"), META_REFRESH_PATTERN, 1), F.lit("'\"")),
@@ -151,15 +132,15 @@ def _meta(tag: Column, attrs: Column) -> Column:
     linked = F.when(
         F.arrays_overlap(relations, F.array(*[F.lit(r) for r in LINK_TAG_RELATIONS])), H.attribute(attrs, "href")
     )
-    return F.concat(_on_tag(tag, ["meta"], _present(F.array(refresh))), _on_tag(tag, ["link"], _present(F.array(linked))))
+    return _present(F.array(F.when(tag == "meta", refresh).when(tag == "link", linked)))
 
 
-def _microdata(attrs: Column) -> Column:
-    identifiers = _named_values(attrs, ["itemid", "itemtype"])
-    properties = F.when(
-        H.attribute(attrs, "itemprop").isin(URL_PROPERTIES), _named_values(attrs, ["href", "src", "content"])
+def _url_properties(attrs: Column) -> Column:
+    """Addresses of an element whose itemprop names an address."""
+    holders = F.filter(attrs, lambda a: a["name"].isin("href", "src", "content"))
+    return F.when(
+        H.attribute(attrs, "itemprop").isin(URL_PROPERTIES), _rooted(F.transform(holders, lambda a: a["value"]))
     ).otherwise(_no_strings())
-    return _rooted(F.concat(identifiers, properties))
 
 
 def _json_ld(token: Column, attrs: Column) -> Column:
@@ -174,35 +155,35 @@ def _json_ld(token: Column, attrs: Column) -> Column:
     return F.when(is_json_ld & F.try_parse_json(body).isNotNull(), _rooted(_present(values))).otherwise(_no_strings())
 
 
-# only tags that can hold a reference have their attributes parsed
-_TAG_OF_INTEREST = (
-    r"(?i)^<(?:a|area|form|meta|link|button)[\s>/]|[\s\"'](?:data-|style\s*=|item(?:id|type|prop)|aria-label|"
-    + "|".join(EVENT_ATTRIBUTES) + ")"
+# only tokens that can hold a reference are looked at: comments, scripts, styles, these tags, these attributes
+_TOKEN_OF_INTEREST = r"(?i)^<(?:!--|(?:script|style|a|area|form|meta|link|button)[\s/>])"
+_ATTRIBUTE_OF_INTEREST = (
+    r"(?i)[\s\"'](?:data-|style\s*=|item(?:id|type|prop)|aria-label|" + "|".join(EVENT_ATTRIBUTES) + ")"
 )
 
 
+def _no_refs() -> Column:
+    return F.array().cast("array<struct<rank:int,raw:string>>")
+
+
+def _ranked(method: str, values: Column) -> Column:
+    rank = DISCOVERY_METHODS.index(method)
+    return F.transform(values, lambda v: F.struct(F.lit(rank).alias("rank"), v.alias("raw")))
+
+
 def _candidates(methods: list[str]) -> Column:
     """array<struct<rank, raw>> of the token in columns kind, tag, token, attrs, base."""
     kind, tag, token, attrs = F.col("kind"), F.col("tag"), F.col("token"), F.col("attrs")
 
-    def ranked(method: str, values: Column) -> Column:
-        rank = DISCOVERY_METHODS.index(method)
-        return F.transform(values, lambda v: F.struct(F.lit(rank).alias("rank"), v.alias("raw")))
-
     def together(parts: dict[str, Column]) -> Column:
-        chosen = [ranked(m, v) for m, v in parts.items() if m in methods]
-        return F.concat(*chosen) if chosen else F.array().cast("array<struct<rank:int,raw:string>>")
-
-    of_open = together({
-        "anchor": _anchor(tag, attrs),
-        "area": _area(tag, attrs),
-        "javascript": _js_events(attrs),
-        "meta": _meta(tag, attrs),
-        "form": _form(tag, attrs),
-        "data_attribute": _data_attribute(attrs),
-        "css": _css_attribute(attrs),
-        "microdata": _microdata(attrs),
-    })
+        chosen = [_ranked(m, v) for m, v in parts.items() if m in methods]
+        return F.concat(*chosen) if chosen else _no_refs()
+
+    of_tag = F.flatten(F.transform(attrs, lambda a: _of_attribute(tag, a, methods)))
+    if "meta" in methods:
+        of_tag = F.concat(of_tag, F.when(tag.isin("meta", "link"), _ranked("meta", _meta(tag, attrs))).otherwise(_no_refs()))
+    if "microdata" in methods:
+        of_tag = F.concat(of_tag, _ranked("microdata", _url_properties(attrs)))
     of_script = together({
         "javascript": _js_script(token, F.col("base")["host"]),
         "json_ld": _json_ld(token, attrs),
@@ -211,7 +192,7 @@ def _candidates(methods: list[str]) -> Column:
     comment_text = F.regexp_replace(token, r"(?s)^<!--|-->$", "")
     of_comment = together({"comment": _find_all(comment_text, COMMENT_URL_PATTERN, 0)})
     return (
-        F.when(kind == "open", of_open)
+        F.when(kind == "open", of_tag)
         .when(kind == "script", of_script)
         .when(kind == "style", of_style)
         .when(kind == "comment", of_comment)
@@ -244,10 +225,12 @@ def candidate_links(pages: DataFrame, methods: list[str]) -> DataFrame:
         U.base_parts(F.col("url")).alias("base"),
         F.posexplode(H.tokens(F.col("html"))).alias("pos", "token"),
     )
-    toks = toks.withColumn("kind", H.token_kind(F.col("token"))).filter(
-        F.col("kind").isin("script", "style", "comment")
-        | ((F.col("kind") == "open") & F.regexp_like("token", F.lit(_TAG_OF_INTEREST)))
-    )
+    second = F.substring("token", 2, 1)
+    toks = toks.filter(
+        F.startswith("token", F.lit("<"))
+        & (second != "/")
+        & (F.regexp_like("token", F.lit(_TOKEN_OF_INTEREST)) | F.regexp_like("token", F.lit(_ATTRIBUTE_OF_INTEREST)))
+    ).withColumn("kind", H.token_kind(F.col("token")))
     toks = toks.withColumn("tag", H.token_tag(F.col("token"), F.col("kind"))).withColumn(
         "attrs", F.when(F.col("kind").isin("open", "script"), H.attributes(F.col("token")))
     )
