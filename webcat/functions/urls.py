@@ -171,6 +171,8 @@ def _resolve(u: Column, base: Column) -> Column:
         F.when(u == "", F.lit(None).cast("string"))
         .when(starts_with_any(u, ["http://", "https://"]), u)
         .when(F.startswith(u, F.lit("//")), F.concat(base["scheme"], F.lit(":"), u))
+        # the common case ahead of the rare ones, none of which applies to it
+        .when(F.startswith(u, F.lit("/")) & ~has_base & ~F.contains(u, F.lit("/.")), F.concat(origin, u))
         .when(
             looks_like_domain(u, base["host"])
             & (occurrences(u, base["host"]) <= 1)
@@ -186,13 +188,16 @@ def _resolve(u: Column, base: Column) -> Column:
 
 
 def is_malformed_url(url: Column) -> Column:
-    domain, p = host(url), path(url)
+    def broken_path(p: Column) -> Column:
+        domain = host(url)
+        repeated = (domain != "") & F.contains(p, domain) & (occurrences(url, domain) > 2)
+        return (F.contains(p, F.lit("//")) & (p != "//")) | repeated
+
     return (
-        (occurrences(url, F.lit("://")) > 1)
-        | ((domain != "") & F.contains(p, domain) & (occurrences(url, domain) > 2))
-        | (F.contains(p, F.lit("//")) & (p != "//"))
+        F.regexp_like(url, F.lit(MALFORMED_CHARACTERS))
         | (F.length(url) > MAX_URL_LENGTH)
-        | F.regexp_like(url, F.lit(MALFORMED_CHARACTERS))
+        | F.regexp_like(url, F.lit("(?s)://.*://"))
+        | let(path(url), broken_path)
     )
 
 
