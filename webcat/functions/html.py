@@ -171,56 +171,80 @@ def _spans_of_events(events: Column, n_tokens: Column) -> Column:
         lambda e: F.struct(e["pos"].alias("pos"), e["pos"].alias("end_pos"), e["tag"].alias("tag")),
     )
     # a closing void tag never finds an open one on the stack
-    paired = F.filter(events, lambda e: e["event"].isin("open", "close"))
+    walked = let(
+        F.filter(events, lambda e: e["event"].isin("open", "close")), lambda paired: _walk(paired, n_tokens)
+    )
+    return F.array_sort(F.concat(walked, singles))
+
+
+# events per block of the walk: finished spans are appended per block, so a page costs (tags x block), not tags squared
+_BLOCK = 256
+
 
+def _walk(paired: Column, n_tokens: Column) -> Column:
+    """Spans of the opening and closing tags of a page, in closing order."""
     no_text = F.array().cast("array<string>")
     no_pos = F.array().cast("array<int>")
+    blocks = F.when(
+        F.size(paired) > 0,
+        F.transform(
+            F.sequence(F.lit(0), F.size(paired) - 1, F.lit(_BLOCK)), lambda i: F.slice(paired, i + 1, F.lit(_BLOCK))
+        ),
+    ).otherwise(F.array().cast("array<array<struct<pos:int,tag:string,event:string>>>"))
     start = F.struct(
         no_text.alias("open_tag"), no_pos.alias("open_pos"),
-        no_text.alias("tag"), no_pos.alias("pos"), no_pos.alias("end_pos"),
+        F.array().cast("array<array<struct<pos:int,end_pos:int,tag:string>>>").alias("done"),
     )
 
-    def step(acc: Column, e: Column) -> Column:
-        def apply(n: Column) -> Column:
-            keep = F.size(acc["open_tag"]) - n
-            pushed = F.struct(
-                F.array_append(acc["open_tag"], e["tag"]).alias("open_tag"),
-                F.array_append(acc["open_pos"], e["pos"]).alias("open_pos"),
-                acc["tag"].alias("tag"), acc["pos"].alias("pos"), acc["end_pos"].alias("end_pos"),
-            )
-            ended = F.struct(
-                F.slice(acc["open_tag"], F.lit(1), keep).alias("open_tag"),
-                F.slice(acc["open_pos"], F.lit(1), keep).alias("open_pos"),
-                F.concat(acc["tag"], F.slice(acc["open_tag"], keep + 1, n)).alias("tag"),
-                F.concat(acc["pos"], F.slice(acc["open_pos"], keep + 1, n)).alias("pos"),
-                F.concat(acc["end_pos"], F.array_repeat(e["pos"], n)).alias("end_pos"),
-            )
-            return F.when(e["event"] == "open", pushed).when(n > 0, ended).otherwise(acc)
-
-        popped = F.when(
-            e["event"] == "close", F.array_position(F.reverse(acc["open_tag"]), e["tag"])
-        ).otherwise(0).cast("int")
-        return let(popped, apply)
+    def next_block(acc: Column, block: Column) -> Column:
+        fresh = F.struct(
+            acc["open_tag"].alias("open_tag"), acc["open_pos"].alias("open_pos"),
+            no_text.alias("tag"), no_pos.alias("pos"), no_pos.alias("end_pos"),
+        )
+        return let(F.reduce(block, fresh, _next_event), lambda r: F.struct(
+            r["open_tag"].alias("open_tag"), r["open_pos"].alias("open_pos"),
+            F.array_append(acc["done"], _zipped(r["pos"], r["end_pos"], r["tag"])).alias("done"),
+        ))
 
     def finish(acc: Column) -> Column:
-        left = F.size(acc["open_tag"])
-        tags = F.concat(acc["tag"], acc["open_tag"])
-        positions = F.concat(acc["pos"], acc["open_pos"])
-        ends = F.concat(acc["end_pos"], F.array_repeat(F.lit(-1), left))
-        return F.transform(
-            F.arrays_zip(positions.alias("pos"), ends.alias("end_pos"), tags.alias("tag")),
-            lambda z: F.struct(z["pos"].alias("pos"), z["end_pos"].alias("end_pos"), z["tag"].alias("tag")),
+        left = F.transform(
+            F.arrays_zip(acc["open_pos"].alias("pos"), acc["open_tag"].alias("tag")),
+            lambda o: F.struct(o["pos"].alias("pos"), n_tokens.alias("end_pos"), o["tag"].alias("tag")),
         )
+        return F.concat(F.flatten(acc["done"]), left)
 
-    walked = F.transform(
-        F.reduce(paired, start, step, finish),
-        lambda z: F.struct(
-            z["pos"].alias("pos"),
-            F.when(z["end_pos"] < 0, n_tokens).otherwise(z["end_pos"]).alias("end_pos"),
-            z["tag"].alias("tag"),
-        ),
+    return F.reduce(blocks, start, next_block, finish)
+
+
+def _zipped(pos: Column, end_pos: Column, tag: Column) -> Column:
+    return F.transform(
+        F.arrays_zip(pos.alias("pos"), end_pos.alias("end_pos"), tag.alias("tag")),
+        lambda z: F.struct(z["pos"].alias("pos"), z["end_pos"].alias("end_pos"), z["tag"].alias("tag")),
     )
-    return F.array_sort(F.concat(walked, singles))
+
+
+def _next_event(acc: Column, e: Column) -> Column:
+    """One opening or closing tag against the stack of open elements."""
+    def apply(n: Column) -> Column:
+        keep = F.size(acc["open_tag"]) - n
+        pushed = F.struct(
+            F.array_append(acc["open_tag"], e["tag"]).alias("open_tag"),
+            F.array_append(acc["open_pos"], e["pos"]).alias("open_pos"),
+            acc["tag"].alias("tag"), acc["pos"].alias("pos"), acc["end_pos"].alias("end_pos"),
+        )
+        ended = F.struct(
+            F.slice(acc["open_tag"], F.lit(1), keep).alias("open_tag"),
+            F.slice(acc["open_pos"], F.lit(1), keep).alias("open_pos"),
+            F.concat(acc["tag"], F.slice(acc["open_tag"], keep + 1, n)).alias("tag"),
+            F.concat(acc["pos"], F.slice(acc["open_pos"], keep + 1, n)).alias("pos"),
+            F.concat(acc["end_pos"], F.array_repeat(e["pos"], n)).alias("end_pos"),
+        )
+        return F.when(e["event"] == "open", pushed).when(n > 0, ended).otherwise(acc)
+
+    popped = F.when(
+        e["event"] == "close", F.array_position(F.reverse(acc["open_tag"]), e["tag"])
+    ).otherwise(0).cast("int")
+    return let(popped, apply)
 
 
 def page(html: Column, *, attrs: bool = False) -> Column:

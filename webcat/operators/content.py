@@ -28,16 +28,11 @@ def titles(pages: DataFrame) -> DataFrame:
 
 def text_outside(texts: Column, spans: Column, tags: list[str]) -> Column:
     """Page text without the given elements, fragments glued without a separator; ``texts`` must be bound."""
-    def glued(dropped: Column) -> Column:
-        numbered = F.filter(
-            F.transform(texts, lambda t, i: F.struct(i.alias("pos"), t.alias("text"))), lambda x: x["text"] != ""
-        )
-        kept = F.filter(
-            numbered, lambda x: ~F.exists(dropped, lambda d: (d["pos"] < x["pos"]) & (x["pos"] < d["end_pos"]))
-        )
-        return F.array_join(F.transform(kept, lambda x: x["text"]), "")
-
-    return let(F.filter(spans, lambda s: s["tag"].isin(tags)), glued)
+    dropped = F.flatten(
+        F.transform(F.filter(spans, lambda s: s["tag"].isin(tags)), lambda s: F.sequence(s["pos"], s["end_pos"]))
+    )
+    kept = F.array_except(F.sequence(F.lit(0), F.size(texts) - 1), dropped)
+    return F.when(F.size(texts) > 0, F.array_join(F.transform(kept, lambda i: F.get(texts, i)), "")).otherwise("")
 
 
 def clean_text_of(html: Column) -> Column:

@@ -132,7 +132,7 @@ def _features(q: Column) -> Column:
 
     def first_is_hollow(tag: str, wanted) -> Column:
         first = F.get(F.filter(elements, lambda e: (e["tag"] == tag) & wanted(e)), F.lit(0))
-        return F.coalesce(hollow(first), F.lit(False))
+        return F.coalesce(let(first, hollow), F.lit(False))
 
     root = (
         first_is_hollow("div", lambda e: F.regexp_like(_attr(e, "id"), F.lit("^(app|root|spa-root|react-root|__next)$")))

@@ -17,10 +17,6 @@ META_NAMES = ["description", "keywords", "author", "title"]
 _PRODUCT = "struct<name:string,price:double,currency:string,description:string>"
 
 
-def _within(outer: Column, e: Column) -> Column:
-    return (outer["pos"] < e["pos"]) & (e["pos"] < outer["end_pos"])
-
-
 def _attr(e: Column, name: str) -> Column:
     return H.attribute(e["attrs"], name)
 
@@ -208,6 +204,10 @@ def parse_price(text: Column) -> Column:
     return F.regexp_extract(plain, r"\$?([0-9]+\.?[0-9]*)", 1).try_cast("double")
 
 
+def _matching(rows: Column, condition) -> Column:
+    return F.filter(rows, lambda r: condition(r["e"]))
+
+
 def _first(elements: Column, condition) -> Column:
     return F.get(F.filter(elements, condition), F.lit(0))
 
@@ -245,35 +245,43 @@ def _product_array(elements: Column, pieces: Column) -> Column:
     def product(s: Column) -> Column:
         inside = s["inside"]
         # coalesce stops at the first selector that matches anything
-        name = text_of(F.coalesce(*[_first(inside, c) for c in names]))
-        price = parse_price(text_of(F.coalesce(*[_first(inside, c) for c in prices])))
-        description = F.coalesce(
-            *[F.when(F.length(text_of(_first(inside, c))) > 20, text_of(_first(inside, c))) for c in descriptions]
-        )
-        return F.struct(
+        name = let(F.coalesce(*[_first(inside, c) for c in names]), text_of)
+        price = parse_price(let(F.coalesce(*[_first(inside, c) for c in prices]), text_of))
+        description = F.coalesce(*[
+            let(let(_first(inside, c), text_of), lambda text: F.when(F.length(text) > 20, text)) for c in descriptions
+        ])
+        return let(price, lambda p: F.struct(
             s["pos"].alias("pos"),
             s["selector"].alias("selector"),
             F.struct(
                 name.alias("name"),
-                price.alias("price"),
-                F.when(price.isNotNull(), "USD").alias("currency"),
+                p.alias("price"),
+                F.when(p.isNotNull(), "USD").alias("currency"),
                 description.alias("description"),
             ).cast(_PRODUCT).alias("product"),
-        )
+        ))
+
+    numbered = F.transform(elements, lambda e, i: F.struct(i.alias("i"), e.alias("e")))
+
+    def candidates(rows: Column) -> Column:
+        # elements are in document order: those inside one follow it, at most one per token position
+        return F.concat(*[
+            F.transform(
+                _matching(rows, condition),
+                lambda r: F.struct(
+                    r["e"]["pos"].alias("pos"),
+                    F.lit(rank).alias("selector"),
+                    F.filter(
+                        F.slice(elements, r["i"] + 2, r["e"]["end_pos"] - r["e"]["pos"]),
+                        lambda c: c["pos"] < r["e"]["end_pos"],
+                    ).alias("inside"),
+                ),
+            )
+            for rank, condition in enumerate(selectors)
+        ])
 
-    candidates = F.concat(*[
-        F.transform(
-            F.filter(elements, condition),
-            lambda e: F.struct(
-                e["pos"].alias("pos"),
-                F.lit(rank).alias("selector"),
-                F.filter(elements, lambda c: _within(e, c)).alias("inside"),
-            ),
-        )
-        for rank, condition in enumerate(selectors)
-    ])
     return F.filter(
-        F.transform(candidates, product), lambda p: F.coalesce(p["product"]["name"] != "", F.lit(False))
+        F.transform(let(numbered, candidates), product), lambda p: F.coalesce(p["product"]["name"] != "", F.lit(False))
     )
 
 
