@@ -5,8 +5,10 @@ import os
 import oracle
 import pytest
 
+from webcat.plans import registry
+
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-NAMES = list(oracle.spark_entry.queries())
+NAMES = list(registry.queries())
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"]
 
 
@@ -24,7 +26,7 @@ def test_plan(spark, name):
 
 
 def test_every_query_has_check_sql():
-    assert set(oracle.spark_entry.oracle_sql()) == set(NAMES)
+    assert set(registry.oracle_sql()) == set(NAMES)
 
 
 def test_entry(spark):
