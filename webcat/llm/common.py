@@ -37,3 +37,16 @@ def text_or_empty(name: str) -> Column:
 
 def parallelism(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def slices(batches, column: int = 1, limit: int = 2 << 20):
+    """Arrow batches cut into runs of whole rows whose column holds about ``limit`` bytes, so a task's memory is bounded."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // limit
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1)) if len(part) else np.array([], int)
+        for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(int(a), int(b - a))

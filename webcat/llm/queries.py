@@ -5,8 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcat.llm import lines, simhash
+import public_tokenizers
+
+from webcat.llm import langid, lines, mixing, order_minhash, pieces, quality, simhash, topk, toxicity, warc
 from webcat.llm.common import table
+from webcat.session import scratch_dir
+
+MODEL_FILE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.classify(docs.select("doc_id", "text", "lang"), labels, may_learn=~held_out)
+    return scored.select(
+        F.col("id").alias("doc_id"), (F.crc32(F.col("id").cast("string")) % 5 == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold", "flagged",
+    )
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), copy_cols=("copy", "shuffle_key"))
+    return mixed.select("doc_id", "source", "copy", "shuffle_key", "text")
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode(table(spark, sf_dir, "documents"), MODEL_FILE, keep=["doc_id"])
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page by all evidence; every document by its text and its source as host (its language is what is learnt)."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = langid.fit(docs, "doc_id", "text", "lang")
+    nothing = F.lit(None).cast("string")
+    of_pages = langid.identify(pages, model, "page_id", "html", markup=True, **langid.page_evidence())
+    of_docs = langid.identify(docs, model, "doc_id", "text", host=F.col("source"), address=nothing, declared=nothing, markup=False)
+    columns = ["language", "confidence", "text_language", "declared", "addressed"]
+    missing = F.lit(None).cast("long")
+    return of_docs.select(F.col("id").alias("doc_id"), missing.alias("page_id"), *columns).union(
+        of_pages.select(missing.alias("doc_id"), F.col("id").alias("page_id"), *columns))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +65,61 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", "dropped_lines")
 
 
-QUERIES = {"op4_simhash": op4_simhash, "op6_line_dedup": op6_line_dedup}
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), out)
+    return warc.read_archives(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.fingerprint_with_next(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("vec").alias("vec_id"), "score")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score(docs, labels, "score", "accepted", keep=["doc_id"])
+
+
+QUERIES = {
+    "op1_toxicity": op1_toxicity, "op2_source_mixing": op2_source_mixing, "op3_sentencepiece": op3_sentencepiece,
+    "op4_simhash": op4_simhash, "op5_language_id": op5_language_id, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc,
+    "op8_order_minhash": op8_order_minhash, "op9_topk": op9_topk, "op10_quality": op10_quality,
+}
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_source_mixing": """
+WITH sizes AS (SELECT source, sum(length(coalesce(text, '')))::DOUBLE AS chars FROM documents GROUP BY source),
+     total AS (SELECT sum(chars) AS chars, sum(sqrt(chars)) AS weight FROM sizes WHERE chars > 0),
+     rates AS (SELECT s.source, CASE WHEN s.chars = 0 THEN 1.0 ELSE sqrt(s.chars) / t.weight * t.chars / s.chars END AS rate FROM sizes s, total t),
+     drawn AS (SELECT d.doc_id, d.source, d.text, r.rate,
+                      (('0x' || substr(md5('mix:0:' || d.doc_id), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
+               FROM documents d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source),
+     counted AS (SELECT *, len(list_filter(range(0, 100), lambda k: u > list_sum(list_transform(range(0, k + 1),
+                      lambda i: exp(i * ln(rate) - rate - lgamma(i + 1)))))) AS n FROM drawn),
+     copies AS (SELECT doc_id, source, text, unnest(range(1, n + 1))::INTEGER AS copy FROM counted)
+SELECT doc_id, source, copy, md5('mix:order:' || doc_id || ':' || copy) AS shuffle_key, text FROM copies""",
+    "op7_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+     g AS (SELECT html, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY html)
+SELECT p.page_id, p.n AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN g.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.first <> p.page_id THEN g.first END AS refers_to
+FROM p LEFT JOIN g ON p.n >= 1000 AND p.html = g.html""",
+    "op9_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id,
+                  list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+     r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
