@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from webcat.llm.common import slices, text_or_empty
 
-HASHED = 1024  # dimensions of words, and as many of shapes
+HASHED = 512  # dimensions of words, and as many of shapes
 EXTRA = 3
-LABELLED, POOL = 5000, 3000
+LABELLED, POOL = 3000, 2000
 ROUNDS = 3
 SURE = 0.95
 SHARE = 0.2  # of the pool that a view may label in a round
