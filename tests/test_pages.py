@@ -287,3 +287,14 @@ def test_structured_data_methods(page):
     df = page("<p>nothing</p>", intercepted_json_ld=['{"a":1}'])
     r = structured.structured_data(df).first()
     assert (r.json_ld, r.extraction_methods, r.organization) == (['{"a":1}'], ["intercepted_json_ld"], None)
+
+
+def test_entities_are_decoded_once(value):
+    from pyspark.sql import functions as F
+
+    from webcat.functions.text import decode_entities
+
+    cases = {"&#38;amp;": "&amp;", "&#38;#60; &#60;": "&#60; <", "&#146;&#x80;": "\u2019\u20ac", "&amp;lt;": "&lt;",
+             "&eacute;&nope; & x;": "\u00e9&nope; & x;", "&#0;&#1114112;": "&#0;&#1114112;", "a&b": "a&b"}
+    for text, want in cases.items():
+        assert value(decode_entities(F.col("t")), t=text) == want

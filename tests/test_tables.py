@@ -73,6 +73,23 @@ def test_frontier(spark, budget, expected, hub_edges):
     assert len(got) <= budget
 
 
+def test_frontier_has_no_depth_cap(spark):
+    chain = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(61)]
+    edges = spark.createDataFrame(chain, "src string, dst string")
+    seeds = spark.createDataFrame([("n000",)], "url string")
+    assert frontier.frontier(edges, seeds, 100).count() == 62
+
+
+def test_payload_items_are_parsed_one_by_one(spark):
+    rows = spark.createDataFrame([
+        ("a", '[{"name":"A","price":1,"name":"B"}]'), ("b", '[1,{"name":"A","price":2}]'),
+        ("c", '[{"name":"A","price":"$1,023.50","altitude":1850.5}]'), ("d", '[{"name": "cut'), ("e", '{"name":"A"}'),
+    ], "source_file string, payload string")
+    got = {(r["source_file"], r["idx"]): (r["name"], r["price"], r["altitude"]) for r in payload.parse_bean_payload(rows).collect()}
+    assert got == {("a", 0): ("B", 1.0, None), ("b", 0): (None, None, None), ("b", 1): ("A", 2.0, None),
+                   ("c", 0): ("A", 1023.5, 1850), ("d", None): (None, None, None), ("e", None): (None, None, None)}
+
+
 def test_frontier_against_brute_force(spark):
     n = 300
     pairs = [(str(i), str(i * 7 % n)) for i in range(n)] + [("0", str(i)) for i in range(0, n, 3)]

@@ -77,51 +77,35 @@ def _code_point(number: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
 
 
+#: Numbers 128 to 159 stand for the characters of this code page, as in every HTML reader.
+_LATIN = {i: bytes([i]).decode("cp1252", "ignore") for i in range(128, 160)}
+_PIECE = r"&[^;&\s]{1,40};|[^&]+|&"
+
+
 def decode_entities(col: Column) -> Column:
-    """Decode named, decimal and hexadecimal character references in one logical pass.
+    """Decode named, decimal and hexadecimal character references in one pass.
 
-    ``&amp;`` goes last, so ``&amp;lt;`` becomes ``&lt;`` and not ``<``. Unknown names stay as they are.
+    The text is cut into references and what lies between them, and each reference is replaced once, so ``&amp;lt;`` becomes
+    ``&lt;`` and ``&#38;amp;`` becomes ``&amp;``. Unknown names and numbers stay as they are.
     """
-    common = reduce(
-        lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])),
-        [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", "\u00a0"),
-         ("&copy;", "\u00a9"), ("&middot;", "\u00b7")],
-        col,
-    )
-    decoded = let(common, _decode_rest)
+    pieces = F.regexp_extract_all(col, F.lit(_PIECE), F.lit(0))
+    decoded = F.array_join(F.transform(pieces, _decode_piece), "")
     return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
 
 
-def _decode_rest(common: Column) -> Column:
-    # what is left besides &amp; is rare, so the table lookup runs only where a reference remains
-    names = F.filter(
-        F.array_distinct(F.regexp_extract_all(common, F.lit("&([A-Za-z][A-Za-z0-9]*);"), F.lit(1))),
-        lambda n: n != "amp",
-    )
-    named = F.reduce(
-        names,
-        common,
-        lambda text, n: F.replace(
-            text,
-            F.concat(F.lit("&"), n, F.lit(";")),
-            F.coalesce(F.element_at(_named_entities(), n), F.concat(F.lit("&"), n, F.lit(";"))),
-        ),
-    )
-    numbers = F.array_distinct(
-        F.regexp_extract_all(common, F.lit("&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(1))
-    )
-
-    def as_number(n: Column) -> Column:
-        hexadecimal = F.conv(F.substring(n, 2, 10), 16, 10)
-        return F.when(F.lower(n).startswith("x"), hexadecimal).otherwise(n).cast("long")
-
-    def put(text: Column, n: Column) -> Column:
-        value = as_number(n)
-        valid = value.between(1, 0x10FFFF) & ~value.between(0xD800, 0xDFFF)
-        return F.when(
-            valid, F.replace(text, F.concat(F.lit("&#"), n, F.lit(";")), _code_point(value))
-        ).otherwise(text)
-
-    numeric = F.reduce(numbers, named, put)
-    left_over = F.regexp_like(common, F.lit("&(?:(?!amp;)[A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6});"))
-    return F.replace(F.when(left_over, numeric).otherwise(common), F.lit("&amp;"), F.lit("&"))
+def _decode_piece(piece: Column) -> Column:
+    name = F.substring(piece, F.lit(2), F.length(piece) - 2)
+    decimal = F.regexp_extract(name, "^#([0-9]{1,7})$", 1)
+    hexadecimal = F.regexp_extract(name, "^#[xX]([0-9a-fA-F]{1,6})$", 1)
+    number = F.when(decimal != "", decimal).when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).cast("long")
+
+    def character(n: Column) -> Column:
+        mapped = F.element_at(F.array(*[F.lit(_LATIN[i] or chr(i)) for i in sorted(_LATIN)]), (n - 127).cast("int"))
+        valid = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        return F.when(n.between(128, 159), mapped).when(valid, _code_point(n)).otherwise(piece)
+
+    common = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9", "middot": "\u00b7", "amp": "&"}
+    named = reduce(lambda c, pair: c.when(name == pair[0], F.lit(pair[1])), list(common.items())[1:], F.when(name == "lt", F.lit("<")))
+    named = named.otherwise(F.coalesce(F.element_at(_named_entities(), name), piece))
+    reference = F.startswith(piece, F.lit("&")) & F.endswith(piece, F.lit(";"))
+    return F.when(~reference, piece).when(F.startswith(name, F.lit("#")), F.coalesce(let(number, character), piece)).otherwise(named)

@@ -28,21 +28,22 @@ def _prepared_edges(edges: DataFrame, hub_edges: int) -> tuple[DataFrame, DataFr
 
 
 def frontier(
-    edges: DataFrame, seeds: DataFrame, max_pages: int, max_depth: int = 50, hub_edges: int = HUB_EDGES
+    edges: DataFrame, seeds: DataFrame, max_pages: int, max_depth: int | None = None, hub_edges: int = HUB_EDGES
 ) -> DataFrame:
     """Pages a crawl would visit: (url, depth), the first ``max_pages`` in (depth, url) order.
 
     ``edges`` is (src, dst), ``seeds`` is (url). Level by level: the new pages of a level are joined with
     the edges, reduced to distinct targets before the shuffle, and cut against everything visited. The
-    edges are partitioned and checkpointed once, so a level shuffles only its own pages. Each level is
+    edges are partitioned and checkpointed once; a level shuffles its own pages and, to leave out those already
+    visited, the visited addresses. Each level is
     checkpointed too: the plan stays short and a lost executor costs one level. The driver sees one count
     per level. The walk stops when a level is empty, when the budget is full (later levels can only rank
-    behind) or after ``max_depth`` levels.
+    behind). There is no bound on the depth unless ``max_depth`` asks for one.
     """
     placed, hubs = _prepared_edges(edges, hub_edges)
     level = checkpointed(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
     visited, total, depth = level, level.count(), 0
-    while total < max_pages and depth < max_depth:
+    while total < max_pages and (max_depth is None or depth < max_depth):
         depth += 1
         starts = level.select(F.col("url").alias("src")).join(hubs, "src", "left").select(
             "src", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")

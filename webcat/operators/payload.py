@@ -12,15 +12,29 @@ from webcat.functions.vocab import ENUMS, MISSING_DESCRIPTION, SHORT_DESCRIPTION
 from webcat.schemas import BEAN, MENU_ENTRY, conform
 
 
-def _entries(payload: Column, entry: T.StructType) -> Column:
-    """Array of entries; NULL for broken JSON and for anything that is not a list."""
-    is_list = F.startswith(strip(payload), F.lit("[")) & F.try_parse_json(payload).isNotNull()
-    return F.when(is_list, F.from_json(payload, T.ArrayType(entry), {"mode": "PERMISSIVE"}))
+def _entries(payload: Column) -> Column:
+    """The texts of a list's items; NULL for broken JSON and for anything that is not a list."""
+    return F.when(F.json_array_length(payload).isNotNull(), F.from_json(payload, "array<string>"))
+
+
+def _as_number(text: Column, kind: T.DataType) -> Column:
+    """Numbers given as numbers or as text, with a currency sign or thousands separators."""
+    plain = F.regexp_extract(F.replace(text, F.lit(","), F.lit("")), r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?", 0)
+    return F.coalesce(text.try_cast("double"), plain.try_cast("double")).try_cast(kind)
 
 
 def _parse(payloads: DataFrame, entry: T.StructType) -> DataFrame:
-    rows = payloads.select("source_file", F.posexplode_outer(_entries(F.col("payload"), entry)).alias("idx", "e"))
-    return rows.select("source_file", "idx", "e.*")
+    """Items are parsed one by one, numbers as text first: an odd item or value does not void the others.
+
+    Of a repeated key the last value counts; an item that is no object is a row without values.
+    """
+    numbers = {f.name: f.dataType for f in entry.fields if isinstance(f.dataType, T.NumericType)}
+    texts = T.StructType([T.StructField(f.name, T.StringType() if f.name in numbers else f.dataType) for f in entry.fields])
+    rows = payloads.select("source_file", F.posexplode_outer(_entries(F.col("payload"))).alias("idx", "item"))
+    rows = rows.select("source_file", "idx", F.from_json("item", texts).alias("e"))
+    return rows.select("source_file", "idx", *[
+        (_as_number(F.col("e")[f.name], numbers[f.name]) if f.name in numbers else F.col("e")[f.name]).alias(f.name) for f in entry.fields
+    ])
 
 
 def parse_bean_payload(payloads: DataFrame) -> DataFrame:

@@ -359,7 +359,7 @@ SELECT id, object_type, object_id, object_name FROM inter LEFT JOIN named USING
 WITH {_LIKES}
 SELECT 'cafe_locations' AS "table", 'cafe_id' AS "column", CAST(s_nationkey + 5000 AS BIGINT) AS value, count(*) AS n_rows
 FROM supplier WHERE s_suppkey % 10 = 0 GROUP BY 3
-UNION ALL SELECT 'user_liked_beans', 'user_id', o_custkey + 2000000, count(DISTINCT l_partkey) FROM likes WHERE l_partkey % 100 = 0 GROUP BY 3""",
+UNION ALL SELECT 'user_liked_beans', 'user_id', -2 * o_custkey - 2, count(DISTINCT l_partkey) FROM likes WHERE l_partkey % 100 = 0 GROUP BY 3""",
     "unique_violations": """
 SELECT 'users' AS "table", 'username' AS columns, c_name AS key, CAST(2 AS BIGINT) AS n_rows FROM customer WHERE c_custkey % 50 = 0""",
     "null_violations": """

@@ -14,21 +14,17 @@ from pyspark.sql import functions as F
 from webcat.schemas import conform
 
 
-SMALL_INPUT = 1 << 30
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Share a small input among all cores before work that is heavy per row.
+    """Deal the rows anew if the session asks for it with ``webcat.input.partitions``; else as they are read.
 
-    A file of one row group is read by one task however many cores there are. Only inputs below a checked
-    size are shuffled; a large one has splits enough and stays as it is read.
+    A file of one row group is read by one task however many cores there are, so benchmarks on small files set it.
     """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if size < SMALL_INPUT else df
+    wanted = df.sparkSession.conf.get("webcat.input.partitions", None)
+    return df.repartition(int(wanted), key) if wanted else df
 
 
 def given_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,17 +286,17 @@ def broken_catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     bad = dict(good)
     bad["cafe_locations"] = good["cafe_locations"].unionByName(conform(
         good["cafe_locations"].filter(c("id") % 5 == 0).select(
-            (c("id") + 1000000).alias("id"), F.when(c("id") % 2 == 0, c("cafe_id") + 5000).alias("cafe_id"), c("address")
+            (-2 * c("id") - 1).alias("id"), F.when(c("id") % 2 == 0, c("cafe_id") + 5000).alias("cafe_id"), c("address")
         ), "cafe_locations"))
     bad["users"] = good["users"].unionByName(conform(
         good["users"].filter(c("id") % 50 == 0).select(
-            (c("id") + 1000000).alias("id"), c("first_name"), c("last_name"), c("username"),
+            (-2 * c("id") - 1).alias("id"), c("first_name"), c("last_name"), c("username"),
             F.concat(F.lit("second."), "email").alias("email"),
         ), "users"))
     bad["beans"] = good["beans"].unionByName(conform(
-        good["beans"].filter(c("id") % 40 == 0).select((c("id") + 1000000).alias("id"), c("price")), "beans"))
+        good["beans"].filter(c("id") % 40 == 0).select((-2 * c("id") - 1).alias("id"), c("price")), "beans"))
     bad["user_liked_beans"] = good["user_liked_beans"].unionByName(conform(
         good["user_liked_beans"].filter(c("bean_id") % 100 == 0).select(
-            (c("user_id") + 2000000).alias("user_id"), c("bean_id")
+            (-2 * c("user_id") - 2).alias("user_id"), c("bean_id")
         ).distinct(), "user_liked_beans"))
     return bad

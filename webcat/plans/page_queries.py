@@ -144,21 +144,13 @@ def scrape_summary(spark, sf_dir):
 # --- frontier ----------------------------------------------------------------------------------
 
 def site_edges(found: DataFrame) -> DataFrame:
-    """Page graph of the stored corpus: (src, dst).
+    """Graph of the stored corpus: (src, dst), each page to its link targets and each target to the pages that name it.
 
-    The given hrefs lead to no stored page, so pages are chained through shared targets instead: among the
-    pages of a site that link to the same lower-cased target, each leads to the next one by page number.
-    A hub target with very many pages would make one long group, so the chain is cut into runs by the
-    page number's block and stays one edge per link.
+    The given links lead to no stored page, so targets stand for pages that link back. One row per link and
+    direction; a target named by very many pages is a hub that the walk itself splits.
     """
-    from pyspark.sql import Window
-
-    target = F.lower("url")
-    rows = found.select(target.alias("target"), "page_id", "source_page", F.floor(F.col("page_id") / 1000000).alias("block")).distinct()
-    order = Window.partitionBy("target", "block").orderBy("page_id")
-    return rows.withColumn("dst", F.lead("source_page").over(order)).filter(F.col("dst").isNotNull()).select(
-        F.col("source_page").alias("src"), "dst"
-    ).distinct()
+    pairs = found.select(F.col("source_page").alias("src"), F.lower("url").alias("dst"))
+    return pairs.union(pairs.select("dst", "src")).distinct()
 
 
 BUDGET = 60
@@ -167,8 +159,8 @@ BUDGET = 60
 def frontier_reach(spark, sf_dir):
     found = _links(spark, sf_dir)
     edges = site_edges(found)
-    seeds = found.groupBy(F.lower("url").alias("target")).agg(F.min("source_page").alias("url"), F.count("*").alias("n"))
-    return frontier.frontier(edges, seeds.filter(F.col("n") > 1).select("url"), BUDGET)
+    seeds = found.groupBy(F.regexp_extract("source_page", "^[a-z]+://([^/?#]*)", 1)).agg(F.min("source_page").alias("url")).select("url")
+    return frontier.frontier(edges, seeds, BUDGET)
 
 
 def redirect_duplicates(spark, sf_dir):
@@ -214,7 +206,7 @@ def empty_text_pages(spark, sf_dir):
     # beside the given pages, the same pages with their markup only
     pages = _pages(spark, sf_dir)
     hollow = pages.select(
-        (F.col("page_id") + 1000000).alias("page_id"), "url",
+        (-F.col("page_id") - 1).alias("page_id"), "url",
         F.regexp_replace("html", r"(?s)<title>.*</article>|<footer>.*", " <br> ").alias("html"),
     )
     return content.empty_text_pages(pages.unionByName(hollow))
@@ -312,19 +304,16 @@ SELECT site_name, count(*) AS total_links, count(*) FILTER (status = 'keep') AS
   count(*) FILTER (status = 'keep' AND url NOT IN (SELECT url FROM visited)) AS failed
 FROM updated GROUP BY site_name""",
     "frontier_reach": Q.with_tokens(Q.ANCHORS, Q.LINKS).replace("WITH ", "WITH RECURSIVE ", 1) + f""",
-chained AS (
-  SELECT source_page AS src, lead(source_page) OVER (PARTITION BY lower(url), page_id // 1000000 ORDER BY page_id) AS dst
-  FROM (SELECT DISTINCT lower(url) AS url, page_id, source_page FROM link)
-),
-edge AS (SELECT DISTINCT src, dst FROM chained WHERE dst IS NOT NULL AND src <> dst),
-seed AS (SELECT DISTINCT min(source_page) AS url FROM link GROUP BY lower(url) HAVING count(*) > 1),
-walk AS (
-  SELECT url, 0 AS depth FROM seed
+pair AS (SELECT DISTINCT source_page AS page, lower(url) AS target FROM link),
+edge AS (SELECT page AS src, target AS dst FROM pair UNION SELECT target, page FROM pair),
+seed AS (SELECT DISTINCT min(source_page) AS url FROM link GROUP BY {Q.host('source_page')}),
+walk(url, depth) USING KEY (url) AS (
+  SELECT url, 0 FROM seed
   UNION
-  SELECT e.dst, w.depth + 1 FROM walk w JOIN edge e ON e.src = w.url WHERE w.depth < 50
-),
-best AS (SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY url)
-SELECT url, depth FROM best ORDER BY depth, url LIMIT {BUDGET}""",
+  SELECT e.dst, min(w.depth) + 1 FROM walk w JOIN edge e ON e.src = w.url
+  WHERE e.dst NOT IN (SELECT url FROM recurring.walk) GROUP BY e.dst
+)
+SELECT url, CAST(depth AS INTEGER) AS depth FROM walk ORDER BY depth, url LIMIT {BUDGET}""",
     "redirect_duplicates": Q.SITE_LINKS + """,
 redirect AS (SELECT source_page AS from_url, min(url) AS to_url FROM ulink GROUP BY source_page)
 SELECT site_name, url, url IN (
@@ -351,7 +340,7 @@ size AS (
   WHERE kind NOT IN ('script', 'style') AND coalesce(tag, '') NOT IN ('meta', 'link') GROUP BY page_id
 )
 SELECT page_id, CAST(length({Q.strip('text')}) AS DOUBLE) / n AS ratio FROM joined JOIN size USING (page_id)""",
-    "empty_text_pages": "SELECT page_id + 1000000 AS page_id, 'No text content extracted' AS error FROM pages",
+    "empty_text_pages": "SELECT -page_id - 1 AS page_id, 'No text content extracted' AS error FROM pages",
     "entity_text": f"""
 SELECT page_id, {Q.decoded("regexp_extract(html, '<footer>(.*?)</footer>', 1, 's')")} AS footer,
   '<p> &lt; éé é € &unknown; ' || chr(CAST(page_id + 200 AS INTEGER)) AS decoded FROM pages""",

@@ -19,7 +19,7 @@ def pages_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "pages")
     pages = given_pages(spark, sf_dir)
     # every page a second time without a body: the index counts it, no file is written for it
-    bare = pages.select((F.col("page_id") + 1000000).alias("page_id"), "url", F.lit("").alias("html"))
+    bare = pages.select((-F.col("page_id") - 1).alias("page_id"), "url", F.lit("").alias("html"))
     writers.write_pages_by_site(pages.unionByName(bare), path)
     return readers.read_pages(spark, path).select(
         "page_id", F.col("site_name").cast("string").alias("site_name"), "idx", "filename", F.length("html").alias("n_chars")
@@ -100,7 +100,7 @@ QUERIES = {f.__name__: f for f in [
 ORACLE = {
     "pages_roundtrip": rf"""
 WITH twice AS (
-  SELECT page_id, url, length(html) AS n FROM pages UNION ALL SELECT page_id + 1000000, url, 0 FROM pages
+  SELECT page_id, url, length(html) AS n FROM pages UNION ALL SELECT -page_id - 1, url, 0 FROM pages
 ),
 n AS (
   SELECT page_id, {Q.site('url')} AS site_name, replace({Q.host('url')}, 'www.', '') AS domain, n,
