@@ -253,18 +253,24 @@ def test_html_directory(spark, tmp_path):
     (tmp_path / "deep" / "c.html").write_text("no")
     got = readers.read_pages(spark, str(tmp_path), "html").collect()
     assert [(r.source_file, r.html) for r in got] == [("b.html", "<p>ü</p>\n<p>2</p>")]
+    (tmp_path / "deep" / "b.html").write_text("no")
+    other = readers.read_pages(spark, str(tmp_path / "deep"), "html").filter("source_file = 'b.html'").first()
+    assert other.page_id != got[0].page_id  # equal names in two folders
 
 
 def test_read_documents(spark, tmp_path):
     (tmp_path / "l").mkdir()
     (tmp_path / "l" / "x.json").write_text(json.dumps({
-        "discovery_metadata": {"base_url": "https://x.com", "site_name": "x_com", "total_pages_scanned": 4},
+        "discovery_metadata": {"base_url": "https://x.com", "site_name": "x_com", "total_pages_scanned": 4, "timestamp": "t", "crawler_config": {"delay": "0.8"}},
         "discovered_links": [{"url": "https://x.com/a", "discovery_method": "anchor", "status": "keep"}, {"url": "https://x.com/b"}],
-        "source_pages": [{"url": "https://x.com", "links_found": 2, "discovery_methods": ["anchor"]}]}, indent=2))
+        "source_pages": [{"url": "https://x.com", "links_found": 2, "discovery_methods": ["anchor"]}], "failed_urls": ["https://x.com/z"]}, indent=2))
     links = readers.read_links(spark, str(tmp_path / "l")).collect()
     assert [(r.site_name, r.seq, r.url, r.status) for r in links] == [
         ("x_com", 0, "https://x.com/a", "keep"), ("x_com", 1, "https://x.com/b", None)]
+    assert {(r.timestamp, r.total_pages_scanned, r.crawler_config["delay"]) for r in links} == {("t", 4, "0.8")}
     assert readers.read_source_pages(spark, str(tmp_path / "l")).first().links_found == 2
+    failed = readers.read_failed_urls(spark, str(tmp_path / "l")).collect()
+    assert [(r.site_name, r.url) for r in failed] == [("x_com", "https://x.com/z")]
 
     (tmp_path / "p").mkdir()
     (tmp_path / "p" / "a.json").write_text(json.dumps({"source_file": "a", "coffee_beans": [{"name": "A", "price": 23.0}], "beans_found": 1}, indent=1))
@@ -308,6 +314,18 @@ def test_stream_gives_each_url_once(spark, files):
     assert len(got) == len(set(got)) and set(got) == batch
 
 
+def test_stream_reads_link_headers(spark):
+    pages = spark.createDataFrame(
+        [(1, "https://x.com/1", "<a href='/a'>", {"Link": '</next>; rel="next"'}, "text/html"), (2, "https://x.com/2", "<a href='/b'>", None, None)],
+        "page_id bigint, url string, html string, response_headers map<string, string>, content_type string")
+    base = scratch_dir(spark, "test-header-stream")
+    pages.write.parquet(f"{base}/in")
+    stream = ingest.read_page_stream(spark, f"{base}/in", headers=True)
+    ingest.start_link_stream(stream, f"{base}/out", f"{base}/state").awaitTermination()
+    got = {r.url: r.discovery_method for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got == {"https://x.com/a": "anchor", "https://x.com/b": "anchor", "https://x.com/next": "http_header"}
+
+
 def test_html_only(spark):
     df = spark.createDataFrame([(1, "<p>", "Text/HTML"), (2, "", "text/html"), (3, "x", "image/png")], "page_id bigint, html string, content_type string")
     assert [r.page_id for r in readers.html_only(df).collect()] == [1]

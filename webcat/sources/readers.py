@@ -7,40 +7,49 @@ from pyspark.sql import functions as F
 
 from webcat.schemas import CATALOG, LINKS_DOCUMENT, PROCESSED_DOCUMENT, SITE_SUMMARY
 
+SITE_METADATA = LINKS_DOCUMENT["discovery_metadata"].dataType.fieldNames()
+
 
 def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
     """A page table; or with format ``html`` the ``*.html`` files of a directory, one row per file.
 
-    A file has no address of its own: ``page_id`` is the hash of its name and ``url`` its name. The
-    directory is not read recursively.
+    A file has no address of its own: ``page_id`` is the hash of its full path, so equal names in two folders
+    stay apart, and ``url`` its name. The directory is not read recursively.
     """
     if format != "html":
         return spark.read.format(format).load(path)
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.html", recursiveFileLookup=False)
     return files.select(
-        F.xxhash64(F.col("_metadata.file_name")).alias("page_id"),
+        F.xxhash64(F.col("_metadata.file_path")).alias("page_id"),
         F.col("_metadata.file_name").alias("url"),
         F.col("value").alias("html"),
         F.col("_metadata.file_name").alias("source_file"),
     )
 
 
+def _discovery_documents(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+    """One row per document: the site's metadata as columns, then the lists."""
+    docs = spark.read.schema(LINKS_DOCUMENT).json(path, multiLine=multiline)
+    return docs.select("discovery_metadata.*", "discovered_links", "source_pages", "failed_urls")
+
+
 def read_links(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Discovery documents, one JSON object per file or per line: one row per link with its site's metadata."""
-    docs = spark.read.schema(LINKS_DOCUMENT).json(path, multiLine=multiline)
-    m = "discovery_metadata"
-    return docs.select(
-        F.col(f"{m}.base_url").alias("base_url"), F.col(f"{m}.base_domain").alias("base_domain"),
-        F.col(f"{m}.site_name").alias("site_name"), F.posexplode("discovered_links").alias("seq", "link"),
-    ).select("base_url", "base_domain", "site_name", "seq", "link.*")
+    docs = _discovery_documents(spark, path, multiline)
+    return docs.select(*SITE_METADATA, F.posexplode("discovered_links").alias("seq", "link")).select(
+        *SITE_METADATA, "seq", "link.*"
+    )
 
 
-def read_source_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_source_pages(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """The source-page records of discovery documents."""
-    docs = spark.read.schema(LINKS_DOCUMENT).json(path, multiLine=True)
-    return docs.select(
-        F.col("discovery_metadata.site_name").alias("site_name"), F.explode("source_pages").alias("page")
-    ).select("site_name", "page.*")
+    docs = _discovery_documents(spark, path, multiline)
+    return docs.select("site_name", F.explode("source_pages").alias("page")).select("site_name", "page.*")
+
+
+def read_failed_urls(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """The addresses that discovery documents list as failed: (site_name, url)."""
+    return _discovery_documents(spark, path, multiline).select("site_name", F.explode("failed_urls").alias("url"))
 
 
 def read_processed(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 from webcat.functions import urls as U
 from webcat.operators.links import PROFILES, LinkProfile, method_of, resolved_candidates
 
+PAGE_SCHEMA = "page_id bigint, url string, html string"
+HEADER_SCHEMA = ", response_headers map<string, string>, content_type string"
+
 
 def new_links(pages: DataFrame, profile: LinkProfile = PROFILES["default"]) -> DataFrame:
     """Links of a page stream, each URL the first time it is seen.
@@ -26,10 +29,16 @@ def new_links(pages: DataFrame, profile: LinkProfile = PROFILES["default"]) -> D
     ).dropDuplicates(["url"])
 
 
-def read_page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000, glob: str = "*.parquet") -> DataFrame:
-    """Page files as they arrive: (page_id, url, html)."""
+def read_page_stream(
+    spark: SparkSession, path: str, files_per_batch: int = 1000, glob: str = "*.parquet", headers: bool = False
+) -> DataFrame:
+    """Page files as they arrive: (page_id, url, html); ``headers`` adds response_headers and content_type.
+
+    Links of the HTTP ``Link`` header are found only with ``headers``; files without these columns give nulls.
+    """
+    schema = PAGE_SCHEMA + HEADER_SCHEMA if headers else PAGE_SCHEMA
     return (
-        spark.readStream.schema("page_id bigint, url string, html string")
+        spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", glob)
         .parquet(path)
