@@ -20,6 +20,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ DECLARED_RIGHT, ADDRESS_RIGHT = 0.9, 0.8
 #: Pages that a coarser level's prior counts for at the next finer one.
 STRENGTH = 5.0
 TABLE = 200_000
+#: Words of a text that are added up at once.
+RUN = 1 << 16
 WORDS = re.compile(r"[^\W\d_]+")
 MARKUP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&\w+;")
 #: Country suffixes whose main language differs in name.
@@ -47,10 +50,21 @@ class Model:
     weights: np.ndarray  # BUCKETS x languages, log likelihoods
 
 
-def parts(word: str) -> list[int]:
+class Grams(dict):
+    """Piece of a word -> its bucket; remembers the pieces met so far."""
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) > TABLE:
+            self.clear()
+        self[gram] = bucket = zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS
+        return bucket
+
+
+def parts(word: str, grams: Grams) -> list[int]:
+    """Buckets of the whole padded word, which is not remembered, and of its pieces of three characters."""
     padded = f"<{word}>"
-    grams = [padded] + [padded[i: i + 3] for i in range(len(padded) - 2)]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
+    whole = zlib.crc32(padded.encode("utf-8", "surrogatepass")) % BUCKETS
+    return [whole] + [grams[padded[i: i + 3]] for i in range(len(padded) - 2)]
 
 
 def fit(texts: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model | None:
@@ -58,29 +72,46 @@ def fit(texts: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model |
     rows = texts.select(F.col(lang_col).cast("string").alias("lang"), text_or_empty(text_col).alias("text"),
                         F.xxhash64(F.col(id_col)).alias("h")).filter(f"lang IS NOT NULL AND length(text) BETWEEN 1 AND {SAMPLE_CHARS}")
     languages = sorted(r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(100).collect())
-    counts = np.full((BUCKETS, len(languages)), 0.5)
+    counts, grams = np.full((BUCKETS, len(languages)), 0.5), Grams()
     for k, lang in enumerate(languages):
         for r in rows.filter(F.col("lang") == lang).orderBy("h", "text").limit(SAMPLE).collect():
             for word in WORDS.findall(r["text"].lower()):
-                np.add.at(counts[:, k], parts(word), 1.0 / len(word))
+                np.add.at(counts[:, k], parts(word, grams), 1.0 / len(word))
     return Model(languages, np.log(counts / counts.sum(axis=0))) if languages else None
 
 
 class Reader:
+    """Log likelihoods of texts; keeps the words met so far, and starts anew when they are more than ``TABLE``.
+
+    A word's row is the mean of its parts' weights, taken from their mean over the languages. The rows of a text's
+    new words are worked out together.
+    """
+
     def __init__(self, model: Model) -> None:
-        self.model, self.table = model, {}
+        self.weights = model.weights - model.weights.mean(axis=1, keepdims=True)
+        self.grams, self.places, self.rows = Grams(), {}, np.empty((0, len(model.languages)))
+
+    def _learn(self, words: list[str]) -> None:
+        found = [parts(w, self.grams) for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = self.weights[np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))]
+        means = np.add.reduceat(flat, np.cumsum(sizes) - sizes) / sizes[:, None]
+        start = len(self.places)
+        while len(self.rows) < start + len(words):
+            self.rows = np.concatenate((self.rows, np.empty((max(1024, len(self.rows)), self.rows.shape[1]))))
+        self.rows[start: start + len(words)] = means
+        self.places.update(zip(words, range(start, start + len(words))))
 
     def log_likelihood(self, text: str) -> np.ndarray:
-        if len(self.table) > TABLE:
-            self.table.clear()
-        total, n = np.zeros(len(self.model.languages)), 0
+        if len(self.places) > TABLE:
+            self.places.clear()
+        total = np.zeros(self.weights.shape[1])
         words = WORDS.findall(text.lower())
-        for w in words:
-            if w not in self.table:
-                own = self.model.weights[parts(w)].mean(axis=0)
-                self.table[w] = own - own.mean()
-        if words:
-            total, n = np.sum([self.table[w] for w in words], axis=0), len(words)
+        for start in range(0, len(words), RUN):
+            run = words[start: start + RUN]
+            if new := list(set(run).difference(self.places)):
+                self._learn(new)
+            total += self.rows[np.fromiter(map(self.places.__getitem__, run), np.int64, len(run))].sum(axis=0)
         total = total * TEXT_WEIGHT
         spread = total.max() - total.min()
         return total * min(1.0, TEXT_BOUND / spread) if spread else total
