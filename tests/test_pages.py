@@ -113,6 +113,14 @@ def test_json_ld_links(page):
         ("https://www.x.com/a", "json_ld"), ("https://www.x.com/c", "json_ld")}
 
 
+def test_json_ld_links_of_repeated_keys_and_nan(page):
+    df = page(
+        '<script type="application/ld+json">{"url":"/old","x":{"logo":"/l1","logo":"/l2"},"image":"/i","url":"/new"}</script>',
+        '<script type="application/ld+json">{"price":NaN,"url":"/n"}</script>')
+    assert urls_of(links.links_by_method(df, "json_ld")) == {
+        (f"https://www.x.com/{x}", "json_ld") for x in ("l2", "i", "new", "n")}
+
+
 def test_script_links_ignore_the_script_tag(page):
     df = page('<script src="/lib/main">location.assign( "/go/1" ); fetch("/api/x"); x = "/a/b/a"</script>'
               "<button onclick=\"open('sub/e.html?x=1')\">")
@@ -244,6 +252,15 @@ def test_json_ld_items(page):
     assert {(r.page_id, r["count"]) for r in found} == {(0, 1), (1, 2)}
 
 
+def test_json_ld_items_of_repeated_keys_and_nan(page):
+    df = page(ld('{"@type":"A","@type":"B","x":{"y":1,"y":2}}'), ld('[{"@type":"C","p":NaN},{"n":-Infinity,"n":3}]'), ld('{"p":NaN'),
+              ld("NaN"), ld("{'@type':'D'}"))
+    found = {(r.page_id, r.item_no): (r.type, r.item) for r in structured.json_ld_items(df).collect()}
+    assert found == {(0, 0): ("B", '{"@type":"B","x":{"y":2}}'), (1, 0): ("C", '{"@type":"C","p":"NaN"}'), (1, 1): (None, '{"n":3}')}
+    rows = {r.page_id: r for r in structured.structured_data(df).collect()}
+    assert [len(rows[i].json_ld) for i in range(5)] == [1, 2, 0, 0, 0]
+
+
 def test_microdata(page):
     df = page("<div itemscope itemtype='T'><span itemprop=n>a <b>b</b></span><meta itemprop=n content=c><time itemprop=d>x</time>"
               "<div itemscope><i itemprop=in>i</i></div></div><div itemscope></div>")

@@ -38,6 +38,19 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def parsed_json(text: Column) -> Column:
+    """The variant of a JSON text, NULL for broken text. NaN and the infinities become texts.
+
+    Of a repeated key the last value counts, in a session that went through ``session.allow_repeated_keys``.
+    """
+    def read(t: Column) -> Column:
+        # the reader of lists knows NaN; it is asked only where the strict one fails
+        plain = F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>", {"allowSingleQuotes": "false"})
+        return F.coalesce(F.try_parse_json(t), let(plain, lambda p: F.when(F.size(p) == 1, F.try_parse_json(F.get(p, F.lit(0))))))
+
+    return let(text, read)
+
+
 def _alternatives(words: list[str]) -> str:
     return "(?:" + "|".join(re.escape(w) for w in words) + ")"
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from webcat.functions import html as H
 from webcat.functions import urls as U
-from webcat.functions.text import strip
+from webcat.functions.text import let, parsed_json, strip
 from webcat.functions.vocab import (
     ABSOLUTE_URL_PATTERN,
     BLOCKED_EXTENSIONS,
@@ -33,6 +33,7 @@ from webcat.functions.vocab import (
     URL_PROPERTIES,
 )
 from webcat.operators.content import page_title
+from webcat.session import allow_repeated_keys
 
 LINK_COLUMNS = ["page_id", "source_page", "url", "discovery_method", "link_type", "status", "notes"]
 _POS_BITS = 32
@@ -147,12 +148,19 @@ def _json_ld(token: Column, attrs: Column) -> Column:
     body = strip(H.script_body(token))
     # inside valid JSON a quoted key followed by a colon is always a key: inner quotes are escaped
     pattern = r'"(?:' + "|".join(URL_PROPERTIES) + r')"\s*:\s*"([^"\\]*(?:\\.[^"\\]*)*)"'
-    escaped = _find_all(body, pattern, 1)
-    values = F.transform(
-        escaped, lambda s: F.get(F.from_json(F.concat(F.lit('["'), s, F.lit('"]')), "array<string>"), F.lit(0))
-    )
+
+    def values(text: Column) -> Column:
+        return F.transform(
+            _find_all(text, pattern, 1),
+            lambda s: F.get(F.from_json(F.concat(F.lit('["'), s, F.lit('"]')), "array<string>"), F.lit(0)),
+        )
+
+    # the parsed object holds no overridden values of repeated keys, the text holds the order
+    counting = let(F.to_json(parsed_json(body)), lambda text: F.when(text.isNotNull(), let(
+        values(text), lambda last: F.filter(values(body), lambda v: F.array_contains(last, v)))))
     is_json_ld = H.attribute(attrs, "type") == "application/ld+json"
-    return F.when(is_json_ld & F.try_parse_json(body).isNotNull(), _rooted(_present(values))).otherwise(_no_strings())
+    found = F.coalesce(counting, _no_strings())
+    return F.when(is_json_ld, _rooted(_present(found))).otherwise(_no_strings())
 
 
 # only tokens that can hold a reference are looked at: comments, scripts, styles, these tags, these attributes
@@ -219,7 +227,7 @@ def _header_candidates(pages: DataFrame) -> DataFrame:
 
 def candidate_links(pages: DataFrame, methods: list[str]) -> DataFrame:
     """References found per token, before resolution: (page_id, source_page, base, pos, refs array<rank, raw>)."""
-    toks = pages.select(
+    toks = allow_repeated_keys(pages).select(
         "page_id",
         F.col("url").alias("source_page"),
         U.base_parts(F.col("url")).alias("base"),

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webcat.functions import html as H
-from webcat.functions.text import let, strip
+from webcat.functions.text import let, parsed_json, strip
 from webcat.operators.content import has_class_part, page_title
+from webcat.session import allow_repeated_keys
 
 META_NAMES = ["description", "keywords", "author", "title"]
 _PRODUCT = "struct<name:string,price:double,currency:string,description:string>"
@@ -28,7 +29,10 @@ def _attr_is(e: Column, name: str, value: str) -> Column:
 # --- JSON-LD -----------------------------------------------------------------------------------
 
 def _json_ld_array(html: Column) -> Column:
-    """array<struct<pos, item (JSON text)>> of the page's JSON-LD items, invalid scripts skipped."""
+    """array<struct<pos, item (JSON text)>> of the page's JSON-LD items, invalid scripts skipped.
+
+    A repeated key (the last value counts) or a NaN (a text then) does not make a script invalid.
+    """
     numbered = F.transform(H.tokens(html), lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
     scripts = F.filter(
         numbered,
@@ -37,7 +41,7 @@ def _json_ld_array(html: Column) -> Column:
     )
     parsed = F.transform(
         scripts,
-        lambda t: F.struct(t["pos"].alias("pos"), F.try_parse_json(strip(H.script_body(t["token"]))).alias("value")),
+        lambda t: F.struct(t["pos"].alias("pos"), parsed_json(strip(H.script_body(t["token"]))).alias("value")),
     )
 
     def items(s: Column) -> Column:
@@ -56,7 +60,7 @@ def _json_ld_array(html: Column) -> Column:
 
 def json_ld_items(pages: DataFrame) -> DataFrame:
     """One row per JSON-LD item: (page_id, item_no, pos, type, item)."""
-    return pages.select("page_id", F.posexplode(_json_ld_array(F.col("html"))).alias("item_no", "i")).select(
+    return allow_repeated_keys(pages).select("page_id", F.posexplode(_json_ld_array(F.col("html"))).alias("item_no", "i")).select(
         "page_id", "item_no", "i.pos", F.get_json_object("i.item", "$.@type").alias("type"), "i.item"
     )
 
@@ -385,4 +389,4 @@ def structured_data(pages: DataFrame) -> DataFrame:
         )
 
     found = let(let(H.page(F.col("html"), attrs=True), parts), assembled)
-    return pages.select("page_id", F.explode(F.array(found)).alias("s")).select("page_id", "s.*")
+    return allow_repeated_keys(pages).select("page_id", F.explode(F.array(found)).alias("s")).select("page_id", "s.*")

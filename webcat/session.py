@@ -9,6 +9,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def allow_repeated_keys(df: DataFrame) -> DataFrame:
+    """``df``, its session set to read JSON objects with repeated keys into variants; the last value counts.
+
+    Spark has no such option for a single expression, so the setting stays.
+    """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return df
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
