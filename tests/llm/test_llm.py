@@ -290,6 +290,36 @@ def test_toxicity_learns_and_holds_out(spark):
     assert all(0 <= r["score"] <= 1 for r in scored.values())
 
 
+def test_toxicity_thresholds_of_thin_languages_and_long_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "calibrate", lambda counts, own=toxicity.calibrate: seen.append((counts, own(counts))) or seen[0][1])
+    rng = np.random.default_rng(4)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(300)]
+    rows = []
+    for i in range(500):
+        # fr: 9 toxic rows in all; de: only texts too long for the training sample
+        lang, toxic = ("fr", i % 50 < 3) if i % 10 < 3 else ("de", i % 20 == 3) if i % 10 == 3 else ("en", i % 3 == 0)
+        words = list(rng.choice(vocabulary, 1000 if lang == "de" else 30)) + ["zzbader"] * toxic
+        rows.append((i, " ".join(words), lang, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    scored = toxicity.classify(docs.drop("toxic"), docs.select("doc_id", "toxic"), F.lit(True)).collect()
+    (counts, (_, thresholds)), = seen
+    assert sum(n for lang, label, _, n in counts if (lang, label) == ("de", 1)) == sum(r[3] for r in rows if r[2] == "de") > 0
+    assert set(thresholds) == {"en", "fr", "de"}
+    assert np.mean([r["flagged"] == bool(rows[r["id"]][3]) for r in scored]) > 0.95
+
+
+def test_toxicity_calibrates_every_language():
+    # all languages cut between steps 1000 and 2000; "thin" has three toxic rows, lower ones; "bulk" many
+    counts = [("en", 0, 1000, 500), ("en", 1, 2000, 500), ("thin", 0, 600, 40), ("thin", 1, 900, 3), ("bulk", 0, 600, 400), ("bulk", 1, 900, 300)]
+    shift, thresholds = toxicity.calibrate(counts)
+    assert set(thresholds) == {"en", "thin", "bulk"}
+    assert thresholds["bulk"] <= thresholds["thin"] and thresholds["bulk"] < thresholds["en"]
+    assert thresholds["bulk"] < 1 / (1 + np.exp(shift - (900 / toxicity.STEPS - toxicity.LIMIT)))
+    alone = toxicity.calibrate([(None, 0, 1000, 5), (None, 1, 2000, 5)])
+    assert alone[1] == {} and 1000 < (alone[0] + toxicity.LIMIT) * toxicity.STEPS < 2001
+
+
 def test_classifiers_on_odd_rows(odd, empty, labels):
     got = toxicity.classify(odd, labels, F.lit(True)).collect()
     assert len(got) == len(ODD) and {r["score"] for r in got} == {0.0}

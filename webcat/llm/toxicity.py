@@ -2,15 +2,18 @@
 
 A word's embedding is the sum of the embeddings of its hashed features, the word itself and its first characters, so unseen
 endings still count. Filters of several widths run over the words of the whole text, each gives its maximum, and a logistic
-layer makes a score of the maxima. The score is shifted so that 0.5 is the best threshold over all languages; a
-threshold for each language comes from the same held-back rows (where they hold enough of both kinds).
+layer makes a score of the maxima. The score is shifted so that 0.5 is the best threshold over all languages. Every
+language with labelled rows has a threshold of its own, from its rows and ``STRENGTH`` rows of either kind that are spread
+as those of all languages: a language with few rows stays near 0.5.
 
 Training takes a bounded sample: the ``POSITIVE`` and ``NEGATIVE`` labelled rows with the smallest hashes among texts of at
-most ``SAMPLE_CHARS`` characters. Scoring reads every whole text, in tasks, without a shuffle.
+most ``SAMPLE_CHARS`` characters, a fifth of all ids left out. Thresholds come from all labelled rows not trained on, of
+any length, as counts by language and logit. Scoring reads every whole text once, in tasks, without a shuffle.
 
 Cases: null and empty texts score as texts without words do. Labels that are null or of unknown documents are left
 out. Without labels of both kinds every score is 0. Rows without a language use 0.5. Repeated rows score alike. Very
-long texts are scored piece by piece, their maxima combined. An empty table gives an empty result.
+long texts are scored piece by piece, their maxima combined. An empty table gives an empty result. Where too few rows are
+labelled, those trained on set the thresholds too.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webcat.llm.common import slices, text_or_empty
+from webcat.llm.common import checked_broadcast, saved, slices, text_or_empty
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -34,6 +37,10 @@ FILTERS = 12
 PREFIXES = (3, 4, 5)
 POSITIVE, NEGATIVE, SAMPLE_CHARS = 1500, 2500, 5000
 EPOCHS = 6
+#: Rows of either kind that all languages together count for in a language's threshold.
+STRENGTH = 10.0
+#: Logits are counted by steps of 1 / ``STEPS`` between -``LIMIT`` and ``LIMIT``.
+STEPS, LIMIT = 64, 30
 PIECE = 200_000
 TABLE = 200_000
 WORDS = re.compile(r"\w+")
@@ -55,8 +62,6 @@ class Model:
     filters: list[np.ndarray]  # per width: width x DIM x FILTERS
     bias: np.ndarray  # len(WIDTHS) * FILTERS
     out: np.ndarray
-    shift: float = 0.0
-    scale: float = 1.0
 
     def kernel(self) -> np.ndarray:
         return np.concatenate([w[j] for w in self.filters for j in range(len(w))], axis=1)
@@ -64,9 +69,6 @@ class Model:
     def logits(self, maxima: np.ndarray) -> np.ndarray:
         return np.maximum(maxima + self.bias, 0) @ self.out[:-1] + self.out[-1]
 
-    def score(self, maxima: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * (self.logits(maxima) - self.shift), -30, 30)))
-
 
 def convolve(parts: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Maxima by text. parts: words x (kernel columns), each text followed by rows of zeros; starts: of the texts."""
@@ -153,7 +155,7 @@ def train(texts: list[str], labels: list[int], seed: int = 0) -> Model:
 
 
 class Scorer:
-    """Maxima and scores of texts, with a table of the word vectors met so far."""
+    """Maxima and logits of texts, with a table of the word vectors met so far."""
 
     def __init__(self, model: Model) -> None:
         self.model, self.kernel = model, model.kernel()
@@ -172,7 +174,7 @@ class Scorer:
             self.vectors = np.concatenate((self.vectors, fresh))
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
-    def score(self, texts: list[str]) -> np.ndarray:
+    def logits(self, texts: list[str]) -> np.ndarray:
         if len(self.index) > TABLE:
             self.clear()
         pad = [0] * max(WIDTHS)
@@ -192,58 +194,61 @@ class Scorer:
         maxima = convolve((self.vectors[used] @ self.kernel)[local], np.array(starts))
         whole = np.full((len(texts), maxima.shape[1]), -np.inf, np.float32)
         np.maximum.at(whole, np.array(owner), maxima)
-        return self.model.score(whole)
-
-
-def _best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the best gap: most right answers, both kinds weighing equally."""
-    order = np.argsort(logits)
-    x, y = logits[order], labels[order].astype(float)
-    gain = np.cumsum((1 - y) / max((1 - y).sum(), 1) - y / max(y.sum(), 1))
-    cut = int(np.argmax(np.append(0.0, gain)))
-    low, high = (x[cut - 1] if cut else x[0] - 1), (x[cut] if cut < len(x) else x[-1] + 1)
-    return float((low + high) / 2)
-
-
-def fit(rows: list[tuple[str, int, str | None]]) -> tuple[Model | None, dict[str, float]]:
-    """A model from (text, label, language) and the score thresholds by language. Every fifth row is held back."""
-    held = [i for i in range(len(rows)) if i % 5 == 4]
-    kept = [i for i in range(len(rows)) if i % 5 != 4]
-    if len({rows[i][1] for i in kept}) < 2:
-        return None, {}
-    model = train([rows[i][0] for i in kept], [rows[i][1] for i in kept])
-    use = held if len({rows[i][1] for i in held}) == 2 else kept
-    model.shift, model.scale = 0.0, 1.0
-    score = np.clip(Scorer(model).score([rows[i][0] for i in use]).astype(float), 1e-9, 1 - 1e-9)
-    logits, labels = np.log(score / (1 - score)), np.array([rows[i][1] for i in use])
-    model.shift = _best_threshold(logits, labels)
-    thresholds = {}
-    for lang in sorted({rows[i][2] for i in use if rows[i][2]}):
-        own = np.array([rows[i][2] == lang for i in use])
-        if 10 <= labels[own].sum() <= own.sum() - 10:
-            thresholds[lang] = float(1 / (1 + np.exp(-(_best_threshold(logits[own], labels[own]) - model.shift))))
-    return model, thresholds
-
-
-def sample(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str, text_col: str, lang_col: str) -> list[tuple]:
-    """The bounded training sample, in an order that only ids decide."""
-    known = labels.select(F.col(id_col).alias("_lid"), F.col("toxic").alias("_label")).filter("_label IN (0, 1)").dropDuplicates(["_lid"])
-    rows = docs.filter(may_learn).select(
-        F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
-    ).filter(F.length("text") <= SAMPLE_CHARS)
-    rows = rows.join(known, F.col("id") == F.col("_lid")).withColumn("h", F.xxhash64("id"))
-    taken = []
+        return self.model.logits(whole)
+
+
+def _best_cut(other: np.ndarray, toxic: np.ndarray) -> float:
+    """The logit in the middle of the best gap of two histograms: most right answers, both kinds weighing equally."""
+    gain = np.append(0.0, np.cumsum(other / max(other.sum(), 1e-9) - toxic / max(toxic.sum(), 1e-9)))
+    used = np.flatnonzero(other + toxic)
+    low, high = max(int(used[0]) - STEPS, 0), min(int(used[-1]) + 1 + STEPS, len(gain) - 1)
+    first = last = low + int(np.argmax(gain[low: high + 1]))
+    while last < high and gain[last + 1] == gain[first]:
+        last += 1
+    return (first + last) / 2 / STEPS - LIMIT
+
+
+def calibrate(counts: list[tuple[str | None, int, int, int]]) -> tuple[float, dict[str, float]]:
+    """Rows (language, label, step of the logit, number) -> the cut of all languages, and each one's threshold of the score."""
+    own: dict[str | None, np.ndarray] = {}
+    for lang, label, step, n in counts:
+        own.setdefault(lang, np.zeros((2, 2 * LIMIT * STEPS)))[label, step] += n
+    every = sum(own.values())
+    shift = _best_cut(*every)
+    spread = STRENGTH * every / np.maximum(every.sum(axis=1, keepdims=True), 1)
+    cuts = {lang: _best_cut(*(found + spread)) for lang, found in own.items() if lang is not None}
+    return shift, {lang: float(1 / (1 + np.exp(shift - cut))) for lang, cut in sorted(cuts.items())}
+
+
+def _held() -> Column:
+    return F.pmod(F.xxhash64("id", F.lit(5)), F.lit(5)) == 4
+
+
+def sample(rows: DataFrame, known: DataFrame, hold: bool) -> tuple[list[str], list[int], Column]:
+    """Texts and labels of the bounded training sample, in an order that only ids decide, and which rows are in it.
+
+    ``rows`` are (id, text, lang, learn, short). The condition is for rows with ``h`` and ``_label``.
+    """
+    learnt = rows.filter("learn AND short").join(known, F.col("id") == F.col("_lid")).withColumn("h", F.xxhash64("id"))
+    learnt = learnt.filter(~_held()) if hold else learnt
+    taken, within = [], F.lit(False)
     for label, most in ((1, POSITIVE), (0, NEGATIVE)):
-        taken += rows.filter(F.col("_label") == label).orderBy("h", "id", "text").limit(most).collect()
-    return [(r["text"], int(r["_label"]), r["lang"]) for r in sorted(taken, key=lambda r: (r["h"], r["id"], r["text"]))]
+        found = learnt.filter(F.col("_label") == label).orderBy("h", "id", "text").limit(most).collect()
+        last = found[-1]["h"] if len(found) == most else (1 << 63) - 1
+        within = within | ((F.col("_label") == label) & (F.col("h") <= last))
+        taken += found
+    taken.sort(key=lambda r: (r["h"], r["id"], r["text"]))
+    trained = F.col("short") & within & (~_held() if hold else F.lit(True))
+    return [r["text"] for r in taken], [int(r["_label"]) for r in taken], trained
 
 
 def _scoring(model: Model) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in slices(batches, 1, 1 << 20):
-            scores = scorer.score(batch.column(1).to_pylist()).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), batch.column(2)], ["id", "score", "lang"])
+            logits = scorer.logits(batch.column(1).to_pylist()).astype(np.float64)
+            kept = [batch.column(k) for k in (2, 3, 4)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(logits), *kept], ["id", "logit", "lang", "learn", "short"])
 
     return run
 
@@ -252,12 +257,27 @@ def classify(
     docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
     """(id, score, threshold, flagged) for every row of ``docs``; labels (id_col, toxic) are learnt where ``may_learn``."""
-    model, thresholds = fit(sample(docs, labels, may_learn, id_col, text_col, lang_col))
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    if model is None:
-        scored = rows.select("id", F.lit(0.0).alias("score"), "lang")
+    known = labels.select(F.col(id_col).alias("_lid"), F.col("toxic").alias("_label")).filter("_label IN (0, 1)").dropDuplicates(["_lid"])
+    rows = docs.select(
+        F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
+        F.coalesce(may_learn, F.lit(False)).alias("learn"), (F.length(text_or_empty(text_col)) <= SAMPLE_CHARS).alias("short"),
+    )
+    for hold in (True, False):
+        texts, given, trained = sample(rows, known, hold)
+        if len(set(given)) == 2:
+            break
     else:
-        kind = docs.schema[id_col].dataType.simpleString()
-        scored = rows.mapInArrow(_scoring(model), f"id {kind}, score double, lang string")
-    threshold = F.coalesce(*[F.when(F.col("lang") == k, F.lit(v)) for k, v in thresholds.items()], F.lit(0.5))
-    return scored.select("id", "score", threshold.alias("threshold"), (F.col("score") >= threshold).alias("flagged"))
+        return rows.select("id", F.lit(0.0).alias("score"), F.lit(0.5).alias("threshold"), F.lit(False).alias("flagged"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    scored = saved(rows.mapInArrow(_scoring(train(texts, given)), f"id {kind}, logit double, lang string, learn boolean, short boolean"), "scored")
+    step = F.floor((F.least(F.greatest("logit", F.lit(-float(LIMIT))), F.lit(LIMIT - 0.5 / STEPS)) + LIMIT) * STEPS).cast("int")
+    counted = saved(scored.filter("learn").join(known, F.col("id") == F.col("_lid")).withColumn("h", F.xxhash64("id")).groupBy(
+        "lang", F.col("_label").cast("int").alias("label"), step.alias("step"), trained.alias("trained")).count(), "counts").collect()
+    unseen = [r for r in counted if not r["trained"]]
+    use = unseen if len({r["label"] for r in unseen}) == 2 else counted
+    shift, thresholds = calibrate([(r["lang"], r["label"], r["step"], r["count"]) for r in use])
+    score = 1 / (1 + F.exp(-F.least(F.greatest(F.col("logit") - shift, F.lit(-30.0)), F.lit(30.0))))
+    own = docs.sparkSession.createDataFrame(list(thresholds.items()), "_lang string, _threshold double")
+    found = scored.join(checked_broadcast(own, 64), F.col("lang") == F.col("_lang"), "left")
+    found = found.select("id", score.alias("score"), F.coalesce("_threshold", F.lit(0.5)).alias("threshold"))
+    return found.select("id", "score", "threshold", (F.col("score") >= F.col("threshold")).alias("flagged"))
