@@ -364,6 +364,21 @@ def test_language_id(spark, odd, empty):
     assert langid.identify(empty, model, "doc_id", "text", host=F.col("source"), address=nothing, declared=nothing, markup=False).count() == 0
 
 
+def test_language_id_knows_every_language(spark):
+    def word(k, j):
+        return "".join(chr(97 + (k * 7919 + j * 104729) // 26 ** p % 26) for p in range(5))
+
+    rows = [(k * 3 + c, " ".join(word(k, j + c) for j in range(20)), f"l{k:03d}") for k in range(120) for c in range(2 if k < 100 else 1)]
+    rows += [(900, "zuvor qwert " * 600, "zz")]  # only a long text
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, "doc_id", "text", "lang")
+    assert model.languages == sorted({r[2] for r in rows})
+    nothing = F.lit(None).cast("string")
+    got = langid.identify(docs, model, "doc_id", "text", host=F.lit("h"), address=nothing, declared=F.lit("zz"), markup=False).collect()
+    assert np.mean([r["text_language"] == dict((x[0], x[2]) for x in rows)[r["id"]] for r in got]) > 0.95
+    assert {r["declared"] for r in got} == {"zz"}
+
+
 # --- the pipeline --------------------------------------------------------------------------------
 
 def test_pipeline(spark):

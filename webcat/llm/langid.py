@@ -7,7 +7,9 @@ that the text itself shows, smoothed towards those of the domain, the top-level
 and computed by grouped aggregation. The text's log likelihood counts ``TEXT_WEIGHT`` per word up to a bound, as
 neighbouring words are not independent.
 
-The text models come from a bounded sample, ``SAMPLE`` texts per language with the smallest id hashes.
+Every language that a text names is known. The text models come from a sample: about ``SAMPLE`` texts of any length per
+language, all where it has fewer, chosen by hash and counted in tasks. The driver and each task hold ``BUCKETS`` numbers
+per language.
 
 Cases: null and empty pages rest on the other evidence, and without any on the prior. A null address has the host ''. Unknown
 declared or addressed languages say nothing. Repeated rows get the same answer. Without training texts the language is
@@ -16,8 +18,10 @@ null and the confidence 0. An empty table gives an empty result. Other columns a
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from webcat.llm.common import checked_broadcast, saved, slices, text_or_empty
 
-SAMPLE, SAMPLE_CHARS = 400, 6000
+SAMPLE, DRAWS = 400, 1 << 40
 BUCKETS = 1 << 14
 TEXT_WEIGHT, TEXT_BOUND = 0.5, 12.0
 DECLARED_RIGHT, ADDRESS_RIGHT = 0.9, 0.8
@@ -67,17 +71,36 @@ def parts(word: str, grams: Grams) -> list[int]:
     return [whole] + [grams[padded[i: i + 3]] for i in range(len(padded) - 2)]
 
 
+def _weighing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place of the language, text) -> (place, bucket, weight), summed for each batch."""
+    grams = Grams()
+    for batch in slices(batches):
+        totals: dict[int, np.ndarray] = {}
+        for place, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = totals.setdefault(place, np.zeros(BUCKETS))
+            for word, times in Counter(WORDS.findall(text.lower())).items():
+                np.add.at(own, parts(word, grams), times / len(word))
+        for place, own in totals.items():
+            used = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(used), place), pa.int32()), pa.array(used, pa.int32()), pa.array(own[used])], ["place", "bucket", "weight"])
+
+
 def fit(texts: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model | None:
-    """Naive Bayes of the words and their parts in a bounded sample per language."""
+    """Naive Bayes of the words and their parts in a sample per language; all languages of texts that are not empty."""
     rows = texts.select(F.col(lang_col).cast("string").alias("lang"), text_or_empty(text_col).alias("text"),
-                        F.xxhash64(F.col(id_col)).alias("h")).filter(f"lang IS NOT NULL AND length(text) BETWEEN 1 AND {SAMPLE_CHARS}")
-    languages = sorted(r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(100).collect())
-    counts, grams = np.full((BUCKETS, len(languages)), 0.5), Grams()
-    for k, lang in enumerate(languages):
-        for r in rows.filter(F.col("lang") == lang).orderBy("h", "text").limit(SAMPLE).collect():
-            for word in WORDS.findall(r["text"].lower()):
-                np.add.at(counts[:, k], parts(word, grams), 1.0 / len(word))
-    return Model(languages, np.log(counts / counts.sum(axis=0))) if languages else None
+                        F.col(id_col).alias("id")).filter("lang IS NOT NULL AND text <> ''")
+    rows = rows.withColumn("draw", F.pmod(F.xxhash64("id", "text"), F.lit(DRAWS)))
+    found = sorted((r["lang"], r["n"], r["least"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect())
+    if not found:
+        return None
+    chosen = texts.sparkSession.createDataFrame(
+        [(lang, k, max(least, SAMPLE * DRAWS // n)) for k, (lang, n, least) in enumerate(found)], "name string, place int, most long")
+    taken = rows.join(checked_broadcast(chosen, 64), F.col("lang") == F.col("name")).filter("draw <= most").select("place", "text")
+    weights = taken.mapInArrow(_weighing, "place int, bucket int, weight double").groupBy("place", "bucket").agg(F.sum("weight").alias("weight")).toArrow()
+    counts = np.full((BUCKETS, len(found)), 0.5)
+    counts[weights.column("bucket").to_numpy(), weights.column("place").to_numpy()] += weights.column("weight").to_numpy()
+    return Model([lang for lang, _, _ in found], np.log(counts / counts.sum(axis=0)))
 
 
 class Reader:
@@ -138,7 +161,10 @@ def _known(code: Column, languages: list[str]) -> Column:
     """Position of a language among the known ones, or null."""
     short = F.lower(F.regexp_extract(code, r"^([A-Za-z]{2,3})", 1))
     named = F.coalesce(*[F.when(short == k, F.lit(v)) for k, v in COUNTRIES.items()], short)
-    return F.coalesce(*[F.when(named == lang.lower(), F.lit(i)) for i, lang in enumerate(languages)])
+    places: dict[str, int] = {}
+    for i, lang in enumerate(languages):
+        places.setdefault(lang.lower(), i)
+    return F.element_at(F.from_json(F.lit(json.dumps(places)), "map<string,int>"), named)
 
 
 def _stated(place: Column, right: float, n: int) -> Column:
@@ -154,22 +180,27 @@ def _softmax(logs: Column) -> Column:
 
 def host_priors(rows: DataFrame, n: int) -> DataFrame:
     """(host, prior): smoothed shares of the languages that the texts (``seen``, ``host``, ``domain``, ``tld``) show."""
-    places = range(n)
-    counts = [F.sum(F.when(F.col("seen") == i, 1).otherwise(0)).alias(f"c{i}") for i in places]
-    again = [F.sum(f"c{i}").alias(f"c{i}") for i in places]
-    hosts = saved(rows.groupBy("host", "domain", "tld").agg(*counts), "hosts")
+    levels = ["host", "domain", "tld"]
+    cells = saved(rows.groupBy(*levels, "seen").agg(F.count("*").alias("c")), "hosts")
+
+    def counts(*level: str) -> DataFrame:
+        """The level's columns and ``own``, its counts of all languages."""
+        summed = cells.groupBy(*level, "seen").agg(F.sum("c").cast("double").alias("c"))
+        listed = summed.groupBy(*level).agg(F.map_from_entries(F.collect_list(F.when(F.col("seen").isNotNull(), F.struct("seen", "c")))).alias("m"))
+        places = F.sequence(F.lit(0), F.lit(n - 1))
+        return listed.select(*level, F.transform(places, lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("own"))
 
     def smoothed(own: Column, above: Column) -> Column:
         size = F.aggregate(own, F.lit(0.0), lambda a, b: a + b)
         return F.transform(F.arrays_zip(own.alias("c"), above.alias("p")), lambda z: (z["c"] + STRENGTH * z["p"]) / (size + STRENGTH))
 
-    counted = F.array(*[F.col(f"c{i}").cast("double") for i in places])
-    everywhere = hosts.agg(*again).first()
-    total = sum(float(everywhere[f"c{i}"] or 0) for i in places)
-    base = F.array(*[F.lit((float(everywhere[f"c{i}"] or 0) + 1.0) / (total + n)) for i in places])
-    tlds = hosts.groupBy("tld").agg(*again).select("tld", smoothed(counted, base).alias("tp"))
-    domains = hosts.groupBy("domain", "tld").agg(*again).join(tlds, "tld").select("domain", smoothed(counted, F.col("tp")).alias("dp"))
-    return hosts.join(domains, "domain").select("host", smoothed(counted, F.col("dp")).alias("prior"))
+    everywhere = {r["seen"]: float(r["c"]) for r in cells.filter("seen IS NOT NULL").groupBy("seen").agg(F.sum("c").alias("c")).collect()}
+    total = sum(everywhere.values())
+    base = F.array(*[F.lit((everywhere.get(i, 0.0) + 1.0) / (total + n)) for i in range(n)])
+    own = F.col("own")
+    tlds = counts("tld").select("tld", smoothed(own, base).alias("tp"))
+    domains = counts("domain", "tld").join(tlds, "tld").select("domain", smoothed(own, F.col("tp")).alias("dp"))
+    return counts(*levels).join(domains, "domain").select("host", smoothed(own, F.col("dp")).alias("prior"))
 
 
 def identify(
