@@ -22,6 +22,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def deleted(df: DataFrame) -> None:
+    """Remove the files of a saved table that nothing will read again."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``small`` (a saved table) marked for broadcast if its counted size allows it; else as it is, to be shuffled."""
     return F.broadcast(small) if small.count() * row_bytes <= limit else small

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from webcat.llm import langid, lines, mixing, order_minhash, pieces, quality, simhash, topk, toxicity, warc
+from webcat.llm import (
+    codes, divergence, langid, lines, mixing, order_minhash, perplexity, pieces, quality, simhash, topk, toxicity, warc,
+)
 from webcat.llm.common import table
 from webcat.session import scratch_dir
 
@@ -89,12 +91,52 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, labels, "score", "accepted", keep=["doc_id"])
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = perplexity.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select("doc_id", *perplexity.BASE, "base_failed", "kept", "entropy", "low", "high")
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = codes.encode(table(spark, sf_dir, "embeddings"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity, "op2_source_mixing": op2_source_mixing, "op3_sentencepiece": op3_sentencepiece,
     "op4_simhash": op4_simhash, "op5_language_id": op5_language_id, "op6_line_dedup": op6_line_dedup, "op7_warc": op7_warc,
-    "op8_order_minhash": op8_order_minhash, "op9_topk": op9_topk, "op10_quality": op10_quality,
+    "op8_order_minhash": op8_order_minhash, "op9_topk": op9_topk, "op10_quality": op10_quality, "op11_divergence": op11_divergence,
+    "op12_perplexity": op12_perplexity, "op13_codes": op13_codes,
 }
 
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Plain k-means, a group of common table expressions per round."""
+    steps = ["""
+v AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT n, p, e[p * len(e) // 8 + 1 : (p + 1) * len(e) // 8] AS x FROM v, range(8) r(p)),
+b0 AS MATERIALIZED (SELECT p, k - 1 AS k, x AS c FROM x JOIN (SELECT n, row_number() OVER (ORDER BY vec_id) AS k FROM v) USING (n) WHERE k <= 16)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+d{r} AS MATERIALIZED (SELECT n, x.p, k, x, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM x JOIN b{r} b ON x.p = b.p),
+a{r} AS MATERIALIZED (SELECT n, p, arg_min(k, d * 16 + k) AS k, any_value(x) AS x, min(d) AS d FROM d{r} GROUP BY n, p)""")
+        if r < rounds:
+            steps.append(f"""
+u{r} AS MATERIALIZED (SELECT p, k, list(m ORDER BY i) AS c FROM (SELECT p, k, i, floor(sum(x[i + 1])::DOUBLE / count(*))::BIGINT AS m
+       FROM a{r}, range(512) g(i) WHERE i < len(x) GROUP BY p, k, i) GROUP BY p, k),
+b{r + 1} AS MATERIALIZED (SELECT b.p, b.k, coalesce(u.c, b.c) AS c FROM b{r} b LEFT JOIN u{r} u ON b.p = u.p AND b.k = u.k)""")
+    steps.append(f"""
+o AS (SELECT n, string_agg(printf('%02x', k), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY n),
+t AS (SELECT label, sum(error)::BIGINT AS label_error FROM o JOIN v USING (n) GROUP BY label),
+h AS (SELECT sha256(string_agg(list_aggregate(c, 'string_agg', ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM b{rounds})""")
+    return "WITH " + ",".join(steps) + """
+SELECT vec_id, code, error, label_error, codebooks_sha256 FROM o JOIN v USING (n) JOIN t ON v.label IS NOT DISTINCT FROM t.label, h"""
+
+
 ORACLE = {
     "op2_source_mixing": """
 WITH sizes AS (SELECT source, sum(length(coalesce(text, '')))::DOUBLE AS chars FROM documents GROUP BY source),
@@ -122,4 +164,25 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUB
            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
      r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+     w AS (SELECT n, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+     k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT n) >= 3),
+     c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+     g AS (SELECT DISTINCT lang, source FROM d),
+     l AS (SELECT lang, count(term) AS v, coalesce(sum(total), 0)::BIGINT AS n FROM (SELECT DISTINCT lang FROM g) LEFT JOIN k USING (lang) GROUP BY lang),
+     s AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::BIGINT AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source),
+     p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS c, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // (s.n + l.v) AS p,
+                  1 + 1000000000 * (k.total + 1) // (l.n + l.v) AS q
+           FROM s JOIN l USING (lang) JOIN k ON k.lang = s.lang LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+     f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+           FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+           FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+           LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+           UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM r
+QUALIFY part = 'pair' OR rank <= 200""",
+    "op13_codes": _codes_sql(),
 }
