@@ -7,7 +7,8 @@ f = floor((p - q)**2 / q). A source's distance from another is f summed over all
 Terms are counted in tasks, gathered by one shuffle on (language, term) and sorted there by their counts in all
 sources, so that terms of equal counts lie together. Runs of this order are blocks; within a block each source's column
 of counts is run-length encoded, zeros included. For a pair of sources the run boundaries are intersected and
-f is multiplied by the length of each common run. Blocks go to tasks with ``CHUNK`` sources of either side. Terms that stand out
+f is multiplied by the length of each common run. Blocks of
+``UNIT`` terms in all go to a task with ``CHUNK`` sources of either side, which sums a pair over them. Terms that stand out
 come from the same blocks: of a source's terms of equal counts only the first ``top`` by name can be listed.
 
 Cases: null text, language and source are empty strings. A source without kept terms has count 0 for all; without kept
@@ -34,6 +35,8 @@ MIN_DOCS = 3
 TOP = 200
 #: Sources of either side that one task compares in a block.
 CHUNK = 64
+#: Terms of the blocks that one task compares together.
+UNIT = 1 << 15
 #: Counted terms that a task holds before it hands them on.
 HELD = 400_000
 #: Bytes to terms: A-Z become small, other ASCII separates, all else belongs to terms.
@@ -147,22 +150,26 @@ def distances(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
 
 
 def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, length, a, b, columns) -> (lang, source, item, value) for all pairs between the chunks a and b."""
+    """(lang, a, b, columns) -> (lang, source, item, value) for all pairs between the chunks a and b, summed over blocks."""
     for batch in batches:
         for unit in batch.to_pylist():
-            length, found, out = unit["length"], [], []
+            blocks = defaultdict(list)
             for c in unit["columns"]:
                 starts = np.frombuffer(c["starts"], "<i4") if c["starts"] else np.zeros(1, "<i4")
                 counts = np.frombuffer(c["counts"], "<i8") if c["counts"] else np.zeros(1, "<i8")
-                found.append((c["source"], c["chunk"], (starts, shares(counts, c["n"], max(c["v"], 1)))))
-            for i, (s, chunk, left) in enumerate(found):
-                for t, other, right in found[:i]:
-                    if unit["a"] == unit["b"] or chunk != other:
-                        there, back = distances(left, right, length) if length else (0, 0)
-                        out += [(s, t, there), (t, s, back)]
+                column = (starts, shares(counts, c["n"], max(c["v"], 1)))
+                blocks[c["block"], c["length"]].append((c["source"], c["chunk"], column))
+            sums: dict[tuple[str, str], int] = defaultdict(int)
+            for (_, length), found in blocks.items():
+                for i, (s, chunk, left) in enumerate(found):
+                    for t, other, right in found[:i]:
+                        if unit["a"] == unit["b"] or chunk != other:
+                            there, back = distances(left, right, length) if length else (0, 0)
+                            sums[s, t] += there
+                            sums[t, s] += back
             yield pa.RecordBatch.from_arrays([
-                pa.array([unit["lang"]] * len(out), pa.string()), pa.array([x[0] for x in out], pa.string()),
-                pa.array([x[1] for x in out], pa.string()), pa.array([x[2] for x in out], pa.int64()),
+                pa.array([unit["lang"]] * len(sums), pa.string()), pa.array([k[0] for k in sums], pa.string()),
+                pa.array([k[1] for k in sums], pa.string()), pa.array(sums.values(), pa.int64()),
             ], ["lang", "source", "item", "value"])
 
 
@@ -192,7 +199,9 @@ def audit(
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
                        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(text_col).alias("text"))
     runs = saved(columns_of(rows, "lang", "source", "text", min_docs, top), "columns")
-    blocks = saved(runs.groupBy("lang", "block").agg(F.first("length").alias("length")), "blocks")
+    upto = F.sum("length").over(Window.partitionBy("lang").orderBy("block"))
+    blocks = runs.groupBy("lang", "block").agg(F.first("length").alias("length")).withColumn("unit", F.floor(upto / UNIT))
+    blocks = saved(blocks.select("lang", "block", "length", F.col("unit").cast("int").alias("unit")), "blocks")
     sums = runs.groupBy("lang", "source").agg(F.sum("occurrences").alias("n"))
     order = Window.partitionBy("lang").orderBy("source")
     groups = rows.groupBy("lang", "source").count().join(sums, ["lang", "source"], "left").select(
@@ -204,12 +213,12 @@ def audit(
     groups = saved(groups.join(langs, "lang"), "sources")
 
     # every language has an empty block as well, so that its sources meet even without kept terms
-    grounds = blocks.union(langs.select("lang", F.lit(-1).cast("long"), F.lit(0)))
+    grounds = blocks.union(langs.select("lang", F.lit(-1).cast("long"), F.lit(0), F.lit(0)))
     columns = groups.join(grounds, "lang").join(
         runs.select("lang", "block", "source", "starts", "counts"), ["lang", "block", "source"], "left")
     meets = columns.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    units = meets.groupBy("lang", "block", F.least("chunk", "with").alias("a"), F.greatest("chunk", "with").alias("b")).agg(
-        F.first("length").alias("length"), F.collect_list(F.struct("source", "chunk", "n", "v", "starts", "counts")).alias("columns"))
+    units = meets.groupBy("lang", "unit", F.least("chunk", "with").alias("a"), F.greatest("chunk", "with").alias("b")).agg(
+        F.collect_list(F.struct("block", "length", "source", "chunk", "n", "v", "starts", "counts")).alias("columns"))
     pairs = units.mapInArrow(_pairs, "lang string, source string, item string, value long")
     pairs = pairs.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
