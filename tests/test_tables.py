@@ -103,6 +103,82 @@ def test_frontier_against_brute_force(spark):
     assert [tuple(r) for r in got.collect()] == want
 
 
+def plain_ends(redirects, failed):
+    """Final address by following one step after the other, None for failures and loops."""
+    step = {}
+    for a, b in sorted(redirects, reverse=True):
+        step[a] = b
+    step = {a: b for a, b in step.items() if a not in failed}
+    out = dict.fromkeys(failed)
+    for a in step:
+        seen, at = {a}, step[a]
+        while at in step and at not in seen:
+            seen.add(at)
+            at = step[at]
+        out[a] = None if at in seen or at in failed or at in step else at
+    return out
+
+
+def plain_walk(edges, seeds, redirects, failed, budget):
+    """The walk one address at a time, in order."""
+    fate, after = plain_ends(redirects, failed), {}
+    for a, b in edges:
+        after.setdefault(a, set()).add(b)
+    seen, out, level, depth = {}, [], sorted(set(seeds)), 0
+    while level:
+        rows = {}
+        for u in level:
+            state = "fetched" if u not in fate else "failed" if fate[u] is None else "redirect"
+            for row in [(u, depth, state, fate.get(u), u, 0)] + ([(fate[u], depth, "fetched", None, u, 1)] if fate.get(u) else []):
+                if row[0] not in seen:
+                    rows[row[0]] = min(rows.get(row[0], row), row, key=lambda r: r[4:])
+        seen.update(rows)
+        out += sorted(rows.values(), key=lambda r: (r[4], r[5], r[0]))
+        level = sorted({d for r in rows.values() if r[2] == "fetched" for d in after.get(r[0], ())} - seen.keys())
+        depth += 1
+    return out[:budget]
+
+
+def test_redirect_ends(spark):
+    redirects = [("a", "b"), ("b", "c"), ("c", "d"), ("a", "z"), ("x", "y"), ("y", "x"), ("t", "x"), ("s", "s"), ("f", "g"), ("h", "f"), ("k", "f"), (None, "q"), ("q", None)]
+    redirects += [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(130)] + [(f"m{i}", "d") for i in range(300)]
+    failed = ["f", "never", "n131"]
+    got = frontier.redirect_ends(spark.createDataFrame(redirects, "from_url string, to_url string"), spark.createDataFrame([(u,) for u in [*failed, None, "f"]], "url string"))
+    rows = got.collect()
+    want = plain_ends([r for r in redirects if None not in r], set(failed))
+    assert {r["url"]: r["final"] for r in rows} == want and len(rows) == len(want)
+    assert want["a"] == "d" and want["t"] is None and want["h"] is None and want["n000"] == "n130"
+
+
+@pytest.mark.parametrize("budget", [7, 60, 10_000])
+def test_walk_against_one_address_at_a_time(spark, budget):
+    import random
+
+    rng = random.Random(5)
+    name = [f"u{i:03d}" for i in range(400)]
+    edges = [(rng.choice(name), rng.choice(name)) for _ in range(700)] + [("u000", u) for u in name[::9]]
+    redirects = [(u, rng.choice(name)) for u in rng.sample(name[1:], 120)]
+    failed = rng.sample(name[1:], 40)
+    seeds = ["u000", "u007", redirects[0][0], failed[0]]
+    got = frontier.walk(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([(u,) for u in [*seeds, None]], "url string"), budget,
+                        spark.createDataFrame(redirects, "from_url string, to_url string"), spark.createDataFrame([(u,) for u in failed], "url string"), hub_edges=5)
+    want = plain_walk(edges, seeds, redirects, set(failed), budget)
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) == min(budget, len(want))
+    assert {r[2] for r in plain_walk(edges, seeds, redirects, set(failed), 10_000)} == {"fetched", "failed", "redirect"}
+
+
+def test_join_unique_with_a_hot_key(spark):
+    from webcat.operators import skew
+
+    rows = spark.range(3000).select(F.when(F.col("id") % 10 < 9, F.lit(-1)).when(F.col("id") % 20 == 19, F.lit(None)).otherwise(F.col("id")).alias("k"), "id")
+    table = spark.range(-5, 2000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left"):
+        got = sorted(map(str, skew.join_unique(rows, table, "k", how, one_in=10).select("k", "id", "v").collect()))
+        assert got == sorted(map(str, rows.join(table, "k", how).select("k", "id", "v").collect()))
+    assert [r["k"] for r in skew.heavy_keys(rows, "k", 10).collect()] == [-1]
+    assert skew.join_unique(rows.limit(0), table, "k").count() == 0
+
+
 def test_redirects(spark):
     df = link(spark, ("t", "anchor", "internal", "pending"), ("u", "anchor", "internal", "pending"))
     redirects = spark.createDataFrame([("s", "t"), ("never", "u")], "from_url string, to_url string")

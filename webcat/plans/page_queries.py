@@ -154,6 +154,7 @@ def site_edges(found: DataFrame) -> DataFrame:
 
 
 BUDGET = 60
+WALK = 400
 
 
 def frontier_reach(spark, sf_dir):
@@ -163,6 +164,17 @@ def frontier_reach(spark, sf_dir):
     return frontier.frontier(edges, seeds, BUDGET)
 
 
+def crawl_walk(spark, sf_dir):
+    """A walk on which addresses of some lengths redirect to their first neighbour, in chains and loops, and others fail."""
+    found = _links(spark, sf_dir)
+    edges = site_edges(found)
+    nodes = edges.groupBy("src").agg(F.min("dst").alias("first"))
+    redirects = nodes.filter(F.length("src") % 3 == 1).select(F.col("src").alias("from_url"), F.col("first").alias("to_url"))
+    failed = nodes.filter(F.length("src") % 7 == 3).select(F.col("src").alias("url"))
+    seeds = found.groupBy(F.regexp_extract("source_page", "^[a-z]+://([^/?#]*)", 1)).agg(F.min("source_page").alias("url")).select("url")
+    return frontier.walk(edges, seeds, WALK, redirects, failed).select("url", "depth", "state", "final_url")
+
+
 def redirect_duplicates(spark, sf_dir):
     found = _unique(spark, sf_dir)
     # every page without www. in front redirects to its first link
@@ -228,7 +240,7 @@ def extraction_text(spark, sf_dir):
 QUERIES = {f.__name__: f for f in [
     page_tokens, token_counts, element_spans, element_text, links_per_site_and_method, anchor_links, comment_links, script_links,
     all_links, unique_links, source_page_stats, status_update, status_changes, kept_links, link_breakdown,
-    link_preview, uncrawled_links, failed_links, scrape_summary, frontier_reach, redirect_duplicates, crawl_stats,
+    link_preview, uncrawled_links, failed_links, scrape_summary, frontier_reach, crawl_walk, redirect_duplicates, crawl_stats,
     titles, clean_text, full_text, keyword_pages, content_ratio, empty_text_pages, entity_text, extraction_text,
 ]}
 
@@ -314,6 +326,34 @@ walk(url, depth) USING KEY (url) AS (
   WHERE e.dst NOT IN (SELECT url FROM recurring.walk) GROUP BY e.dst
 )
 SELECT url, CAST(depth AS INTEGER) AS depth FROM walk ORDER BY depth, url LIMIT {BUDGET}""",
+    "crawl_walk": Q.with_tokens(Q.ANCHORS, Q.LINKS).replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+pair AS (SELECT DISTINCT source_page AS page, lower(url) AS target FROM link),
+edge AS (SELECT page AS src, target AS dst FROM pair UNION SELECT target, page FROM pair),
+seed AS (SELECT DISTINCT min(source_page) AS url FROM link GROUP BY {Q.host('source_page')}),
+gone AS (SELECT DISTINCT src AS url FROM edge WHERE length(src) % 7 = 3),
+hop AS (SELECT src AS url, min(dst) AS nxt FROM edge WHERE length(src) % 3 = 1 AND length(src) % 7 <> 3 GROUP BY src),
+chain(url, nxt) AS (SELECT url, nxt FROM hop UNION SELECT c.url, h.nxt FROM chain c JOIN hop h ON h.url = c.nxt),
+fate AS (
+  SELECT url, CASE WHEN e IN (SELECT url FROM gone) THEN NULL ELSE e END AS final
+  FROM (SELECT url, max(CASE WHEN nxt NOT IN (SELECT url FROM hop) THEN nxt END) AS e FROM chain GROUP BY url)
+  UNION ALL SELECT url, NULL FROM gone
+),
+node AS (SELECT dst AS url FROM edge UNION SELECT url FROM seed),
+asked AS (
+  SELECT n.url AS via, n.url, 0 AS hop, f.final AS final_url,
+    CASE WHEN f.url IS NULL THEN 'fetched' WHEN f.final IS NULL THEN 'failed' ELSE 'redirect' END AS state
+  FROM node n LEFT JOIN fate f ON f.url = n.url
+  UNION ALL SELECT n.url, f.final, 1, NULL, 'fetched' FROM node n JOIN fate f ON f.url = n.url WHERE f.final IS NOT NULL
+),
+walk(url, depth, key, state, final_url) USING KEY (url) AS (
+  SELECT a.url, 0, min(struct_pack(via := a.via, hop := a.hop)), min(a.state), min(a.final_url)
+  FROM seed s JOIN asked a ON a.via = s.url GROUP BY a.url
+  UNION
+  SELECT a.url, min(w.depth) + 1, min(struct_pack(via := a.via, hop := a.hop)), min(a.state), min(a.final_url)
+  FROM walk w JOIN edge e ON e.src = w.url JOIN asked a ON a.via = e.dst
+  WHERE w.state = 'fetched' AND e.dst NOT IN (SELECT url FROM recurring.walk) AND a.url NOT IN (SELECT url FROM recurring.walk) GROUP BY a.url
+)
+SELECT url, CAST(depth AS INTEGER) AS depth, state, final_url FROM walk ORDER BY depth, key, url LIMIT {WALK}""",
     "redirect_duplicates": Q.SITE_LINKS + """,
 redirect AS (SELECT source_page AS from_url, min(url) AS to_url FROM ulink GROUP BY source_page)
 SELECT site_name, url, url IN (

@@ -1,4 +1,4 @@
-"""Shared scratch space for checkpoints, streams and round trips."""
+"""Shared scratch space for checkpoints, streams and round trips, and numbering on top of it."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def allow_repeated_keys(df: DataFrame) -> DataFrame:
@@ -46,3 +47,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
     return df.checkpoint(eager=True)
+
+
+def numbered_within(df: DataFrame, group: str, *order: str) -> DataFrame:
+    """Adds ``idx``: 0, 1, 2 .. per group in the given order, without one task per group.
+
+    Rows are range-partitioned by (group, order) and kept by checkpoint, so that both passes see the same
+    ranges. A row's number is its number inside its range plus the rows of the same group in the ranges
+    before; only the small table of range sizes is windowed by group.
+    """
+    ranged = checkpointed(df.repartitionByRange(group, *order).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy(group, "_range").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(group, "_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy(group, "_range").orderBy(*order))
+    return (
+        ranged.withColumn("_inside", inside)
+        .join(offsets, [group, "_range"])
+        .withColumn("idx", (F.col("_offset") + F.col("_inside") - 1).cast("int"))
+        .drop("_range", "_inside", "_offset")
+    )
