@@ -52,6 +52,53 @@ def test_spans_follow_the_stack_walk(page, html):
     assert "".join(t for _, _, t in toks) == html or "<" in html
 
 
+@pytest.mark.parametrize("closing", [0.02, 0.3, 0.6])
+def test_spans_of_deep_pages_follow_the_stack_walk(page, closing):
+    import random
+
+    rng = random.Random(closing)
+    names = ["li", "p", "div", "span", "td"]
+    htmls = []
+    for size in (63, 64, 65, 130, 1500):
+        parts = [f"</{rng.choice([*names, 'x'])}>" if rng.random() < closing else f"<{rng.choice(names)}>" for _ in range(size)]
+        htmls += ["".join(parts), "<ul>" + "<li>" * size + "</b></ul>" + "".join(parts), "<x>" * size + "</x>" * size]
+    df = page(*htmls)
+    toks = {}
+    for r in tokens.page_tokens(df).orderBy("page_id", "pos").collect():
+        toks.setdefault(r.page_id, []).append((r.kind, r.tag, r.token))
+    for r in df.select("page_id", H.page(F.col("html"))["spans"].alias("s")).collect():
+        assert [tuple(s) for s in r["s"]] == walk(toks[r.page_id])
+
+
+def test_unclosed_items_cost_their_number(spark):
+    import time
+
+    def seconds(n, copies):
+        html = "<ul>" + "<li><a href='/x'>y" * (n // 2) + "</b>" * (n // 8) + "</ul>"
+        df = spark.createDataFrame([(i, html) for i in range(copies)], "page_id long, html string").repartition(8)
+        best = 1e9
+        for _ in range(3):
+            start = time.perf_counter()
+            df.select(F.size(H.page(F.col("html"))["spans"]).alias("n")).agg(F.sum("n")).collect()
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    seconds(100, 8)
+    few, many = seconds(2000, 8), seconds(16000, 8)
+    assert many < 8 * few * 1.6  # eight times the tags
+
+
+def test_ranks_count_positions_inside(spark):
+    import random
+
+    rng = random.Random(1)
+    cases = [([], 0), ([], 5), ([0], 1), ([5], 5), ([2, 2, 2], 4), *[(sorted(rng.randrange(41) for _ in range(rng.randrange(30))), 40) for _ in range(20)]]
+    df = spark.createDataFrame([(i, p, n) for i, (p, n) in enumerate(cases)], "i int, p array<int>, n int")
+    for r in df.select("i", H.ranks(F.col("p"), F.col("n")).alias("r")).collect():
+        positions, n = cases[r["i"]]
+        assert r["r"] == [sum(p < t for p in positions) for t in range(n + 1)]
+
+
 def test_tokens(page):
     found = rows(tokens.page_tokens(page("<!DOCTYPE html><P class='x>y'>a &lt; 5 < 6</P><script>var t='</p>'</script><!-- c -->")))
     assert [(r[2], r[3]) for r in found] == [

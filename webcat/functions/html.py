@@ -177,14 +177,21 @@ def _spans_of_events(events: Column, n_tokens: Column) -> Column:
     return F.array_sort(F.concat(walked, singles))
 
 
-# events per block of the walk: finished spans are appended per block, so a page costs (tags x block), not tags squared
+# A fold copies its state with every event. So events are walked in blocks: within a block the state holds the top of the
+# stack and what the block adds to it; the chunks below are only looked at, and change from block to block.
 _BLOCK = 256
+_CHUNK = 64
+_CHUNKS = "array<struct<names:array<string>,tag:array<string>,pos:array<int>>>"
+_SPANS = "array<struct<pos:int,end_pos:int,tag:string>>"
 
 
 def _walk(paired: Column, n_tokens: Column) -> Column:
-    """Spans of the opening and closing tags of a page, in closing order."""
-    no_text = F.array().cast("array<string>")
-    no_pos = F.array().cast("array<int>")
+    """Spans of the opening and closing tags of a page, in closing order.
+
+    The stack is a list of chunks and a top. A chunk also knows the names that it holds, so a closing tag without an open
+    element looks at each chunk once, and one that ends many elements takes their chunks off whole.
+    """
+    no_text, no_pos = F.array().cast("array<string>"), F.array().cast("array<int>")
     blocks = F.when(
         F.size(paired) > 0,
         F.transform(
@@ -192,26 +199,30 @@ def _walk(paired: Column, n_tokens: Column) -> Column:
         ),
     ).otherwise(F.array().cast("array<array<struct<pos:int,tag:string,event:string>>>"))
     start = F.struct(
-        no_text.alias("open_tag"), no_pos.alias("open_pos"),
-        F.array().cast("array<array<struct<pos:int,end_pos:int,tag:string>>>").alias("done"),
+        F.array().cast(_CHUNKS).alias("full"), no_text.alias("open_tag"), no_pos.alias("open_pos"),
+        F.array().cast(f"array<{_SPANS}>").alias("done"),
     )
 
     def next_block(acc: Column, block: Column) -> Column:
         fresh = F.struct(
+            F.size(acc["full"]).alias("alive"), F.array().cast(_CHUNKS).alias("fresh"),
             acc["open_tag"].alias("open_tag"), acc["open_pos"].alias("open_pos"),
             no_text.alias("tag"), no_pos.alias("pos"), no_pos.alias("end_pos"),
+            F.array().cast("array<struct<low:int,high:int,end_pos:int>>").alias("whole"),
         )
-        return let(F.reduce(block, fresh, _next_event), lambda r: F.struct(
+        return F.reduce(block, fresh, lambda state, e: _next_event(acc["full"], state, e), lambda r: F.struct(
+            F.concat(F.slice(acc["full"], F.lit(1), r["alive"]), r["fresh"]).alias("full"),
             r["open_tag"].alias("open_tag"), r["open_pos"].alias("open_pos"),
-            F.array_append(acc["done"], _zipped(r["pos"], r["end_pos"], r["tag"])).alias("done"),
+            F.array_append(acc["done"], F.concat(
+                _zipped(r["pos"], r["end_pos"], r["tag"]),
+                F.flatten(F.transform(r["whole"], lambda w: _ended_chunks(
+                    F.slice(acc["full"], w["low"] + 1, w["high"] - w["low"]), w["end_pos"]))),
+            )).alias("done"),
         ))
 
     def finish(acc: Column) -> Column:
-        left = F.transform(
-            F.arrays_zip(acc["open_pos"].alias("pos"), acc["open_tag"].alias("tag")),
-            lambda o: F.struct(o["pos"].alias("pos"), n_tokens.alias("end_pos"), o["tag"].alias("tag")),
-        )
-        return F.concat(F.flatten(acc["done"]), left)
+        top = F.struct(F.array_distinct(acc["open_tag"]).alias("names"), acc["open_tag"].alias("tag"), acc["open_pos"].alias("pos"))
+        return F.concat(F.flatten(acc["done"]), _ended_chunks(F.array_append(acc["full"], top), n_tokens))
 
     return F.reduce(blocks, start, next_block, finish)
 
@@ -223,28 +234,105 @@ def _zipped(pos: Column, end_pos: Column, tag: Column) -> Column:
     )
 
 
-def _next_event(acc: Column, e: Column) -> Column:
-    """One opening or closing tag against the stack of open elements."""
-    def apply(n: Column) -> Column:
-        keep = F.size(acc["open_tag"]) - n
-        pushed = F.struct(
-            F.array_append(acc["open_tag"], e["tag"]).alias("open_tag"),
-            F.array_append(acc["open_pos"], e["pos"]).alias("open_pos"),
-            acc["tag"].alias("tag"), acc["pos"].alias("pos"), acc["end_pos"].alias("end_pos"),
-        )
+def _ended_chunks(chunks: Column, end: Column) -> Column:
+    """Spans of all elements of some chunks, ended at one position."""
+    return F.flatten(F.transform(chunks, lambda c: F.transform(
+        F.arrays_zip(c["pos"].alias("pos"), c["tag"].alias("tag")),
+        lambda o: F.struct(o["pos"].alias("pos"), end.alias("end_pos"), o["tag"].alias("tag")),
+    )))
+
+
+def _from_end(values: Column, value) -> Column:
+    """Place of the last such value, 1 for the last item, 0 if there is none."""
+    return F.array_position(F.reverse(values), value).cast("int")
+
+
+def _state(alive: Column, fresh: Column, tags: Column, places: Column) -> list[Column]:
+    return [alive.alias("alive"), fresh.alias("fresh"), tags.alias("open_tag"), places.alias("open_pos")]
+
+
+def _with_ended(acc: Column, tags: Column, places: Column, end: Column) -> list[Column]:
+    """The spans finished within the block, with these as well."""
+    return [
+        F.concat(acc["tag"], tags).alias("tag"), F.concat(acc["pos"], places).alias("pos"),
+        F.concat(acc["end_pos"], F.array_repeat(end, F.size(places))).alias("end_pos"),
+    ]
+
+
+def _changed(acc: Column, value: Column, body) -> Column:
+    """``body(value)``, a state like ``acc``, with ``value`` worked out once."""
+    return F.reduce(F.array(value), acc, lambda _, bound: body(bound))
+
+
+def _next_event(full: Column, acc: Column, e: Column) -> Column:
+    """One opening or closing tag against the stack: the first ``alive`` chunks of ``full``, the block's own, the top."""
+    own, places, fresh, alive = acc["open_tag"], acc["open_pos"], acc["fresh"], acc["alive"]
+    finished = [acc[c].alias(c) for c in ("tag", "pos", "end_pos", "whole")]
+    none = F.slice(fresh, F.lit(1), F.lit(0))
+    one_tag, one_pos = F.array(e["tag"]), F.array(e["pos"])
+    chunk = F.struct(F.array_distinct(own).alias("names"), own.alias("tag"), places.alias("pos"))
+    opened = F.when(
+        F.size(own) < _CHUNK, F.struct(*_state(alive, fresh, F.concat(own, one_tag), F.concat(places, one_pos)), *finished)
+    ).otherwise(F.struct(*_state(alive, F.array_append(fresh, chunk), one_tag, one_pos), *finished))
+
+    def holding(chunks: Column) -> Column:
+        return _from_end(F.transform(chunks, lambda c: F.array_contains(c["names"], e["tag"])), True)
+
+    def within_top(n: Column) -> Column:
+        keep = F.size(own) - n
         ended = F.struct(
-            F.slice(acc["open_tag"], F.lit(1), keep).alias("open_tag"),
-            F.slice(acc["open_pos"], F.lit(1), keep).alias("open_pos"),
-            F.concat(acc["tag"], F.slice(acc["open_tag"], keep + 1, n)).alias("tag"),
-            F.concat(acc["pos"], F.slice(acc["open_pos"], keep + 1, n)).alias("pos"),
-            F.concat(acc["end_pos"], F.array_repeat(e["pos"], n)).alias("end_pos"),
+            *_state(alive, fresh, F.slice(own, F.lit(1), keep), F.slice(places, F.lit(1), keep)),
+            *_with_ended(acc, F.slice(own, keep + 1, n), F.slice(places, keep + 1, n), e["pos"]), acc["whole"].alias("whole"),
+        )
+        return (
+            F.when(n > 0, ended)
+            .when(F.size(fresh) + alive > 0, _changed(acc, holding(fresh), within_fresh))
+            .otherwise(acc)
+        )
+
+    def cut(c: Column, above: Column, left_alive: Column, left_fresh: Column, whole: Column) -> Column:
+        """The element is in chunk ``c``: what lies above it there, in the chunks ``above`` and in the top ends here."""
+        n = _from_end(c["tag"], e["tag"])
+        keep = F.size(c["tag"]) - n
+        return F.struct(
+            *_state(left_alive, left_fresh, F.slice(c["tag"], F.lit(1), keep), F.slice(c["pos"], F.lit(1), keep)),
+            *_with_ended(acc, F.concat(F.slice(c["tag"], keep + 1, n), F.flatten(above["tag"]), own),
+                         F.concat(F.slice(c["pos"], keep + 1, n), F.flatten(above["pos"]), places), e["pos"]),
+            whole.alias("whole"),
         )
-        return F.when(e["event"] == "open", pushed).when(n > 0, ended).otherwise(acc)
 
-    popped = F.when(
-        e["event"] == "close", F.array_position(F.reverse(acc["open_tag"]), e["tag"])
-    ).otherwise(0).cast("int")
-    return let(popped, apply)
+    def within_fresh(k: Column) -> Column:
+        at = F.size(fresh) - k
+        here = _changed(acc, F.get(fresh, at), lambda c: cut(
+            c, F.slice(fresh, at + 2, F.greatest(k - 1, F.lit(0))), alive, F.slice(fresh, F.lit(1), at), acc["whole"]))
+        return F.when(k > 0, here).when(
+            alive > 0, _changed(acc, holding(F.slice(full, F.lit(1), alive)), within_full)).otherwise(acc)
+
+    def within_full(k: Column) -> Column:
+        at = alive - k
+        ended = F.array_append(acc["whole"], F.struct((at + 1).alias("low"), alive.alias("high"), e["pos"].alias("end_pos")))
+        here = _changed(acc, F.get(full, at), lambda c: cut(c, fresh, at, none, ended))
+        return F.when(k > 0, here).otherwise(acc)
+
+    return F.when(e["event"] == "open", opened).otherwise(_changed(acc, _from_end(own, e["tag"]), within_top))
+
+
+def ranks(positions: Column, n: Column) -> Column:
+    """For each t from 0 to ``n`` how many of the ascending ``positions`` (not above ``n``) are below t: array<int>.
+
+    The number of positions strictly between a and b is ``ranks[b] - ranks[a + 1]``: containment without a loop over pairs.
+    """
+    def spread(bounds: Column) -> Column:
+        return F.flatten(F.transform(
+            bounds, lambda p, i: F.array_repeat(i, p - F.coalesce(F.get(bounds, i - 1), F.lit(-1)))
+        ))
+
+    return let(F.concat(positions, F.array(n)), spread)
+
+
+def between(rank: Column, pos: Column, end_pos: Column) -> Column:
+    """How many of the ranked positions lie strictly between two token positions."""
+    return F.greatest(F.get(rank, end_pos) - F.get(rank, pos + 1), F.lit(0))
 
 
 def page(html: Column, *, attrs: bool = False) -> Column:

@@ -33,6 +33,10 @@ def _inside(e: Column, pos: Column) -> Column:
     return (e["pos"] < pos) & (pos < e["end_pos"])
 
 
+def _places(elements: Column, wanted) -> Column:
+    return F.transform(F.filter(elements, wanted), lambda e: e["pos"])
+
+
 def _children(elements: Column, e: Column) -> Column:
     return F.size(F.filter(elements, lambda c: _inside(e, c["pos"])))
 
@@ -52,14 +56,22 @@ def _page_facts(p: Column) -> Column:
             H.script_body(t["token"]).alias("body"),
         ),
     )
-    hidden = F.filter(p["spans"], lambda s: s["tag"].isin("title", "noscript"))
+    n_tokens = F.size(p["toks"])
+    spans = F.filter(p["spans"], lambda s: s["tag"].isin("title", "noscript"))
+    hidden = let(spans, lambda h: F.struct(
+        H.ranks(F.transform(h, lambda s: s["pos"]), n_tokens).alias("begun"),
+        H.ranks(F.array_sort(F.transform(h, lambda s: s["end_pos"])), n_tokens).alias("ended"),
+    ))
 
     def with_body(q: Column) -> Column:
         body = q["body"]
+
+        def is_hidden(i: Column) -> Column:
+            # more of these elements have begun, up to this token, than have ended before it
+            return F.get(q["hidden"]["begun"], i + 1) > F.get(q["hidden"]["ended"], i)
+
         # text and markup of the body without the elements that show nothing
-        seen = F.transform(
-            p["pieces"], lambda x, i: F.when(F.exists(q["hidden"], lambda h: _inside(h, i)), "").otherwise(x)
-        )
+        seen = F.transform(p["pieces"], lambda x, i: F.when(is_hidden(i), "").otherwise(x))
         markup = F.filter(
             F.transform(
                 F.slice(p["toks"], body["pos"] + 1, F.greatest(body["end_pos"] - body["pos"] + 1, F.lit(0))),
@@ -68,13 +80,14 @@ def _page_facts(p: Column) -> Column:
             ),
             lambda t: ~t["kind"].isin("script", "style")
             & ~F.coalesce(t["tag"].isin("meta", "link"), F.lit(False))
-            & ~F.exists(q["hidden"], lambda h: (h["pos"] <= t["pos"]) & (t["pos"] <= h["end_pos"])),
+            & ~is_hidden(t["pos"]),
         )
         return let(seen, lambda s: F.struct(
             p["elements"].alias("elements"), p["texts"].alias("texts"), p["pieces"].alias("pieces"), s.alias("seen"),
             body.alias("body"), q["scripts"].alias("scripts"),
-            F.filter(p["elements"], lambda e: e["tag"] == "a").alias("anchors"),
-            F.filter(p["elements"], lambda e: ~e["tag"].isin("meta", "link", "title", "noscript")).alias("shown"),
+            H.ranks(_places(p["elements"], lambda e: e["tag"] == "a"), n_tokens).alias("anchors"),
+            H.ranks(_places(p["elements"], lambda e: ~e["tag"].isin("meta", "link", "title", "noscript")), n_tokens).alias("shown"),
+            H.ranks(F.filter(F.transform(s, lambda x, i: F.when(x != "", i)), lambda i: i.isNotNull()), n_tokens).alias("telling"),
             H.text_between(s, body["pos"], body["end_pos"]).alias("body_text"),
             F.reduce(markup, F.lit(0), lambda n, t: n + t["n"]).alias("body_size"),
             F.array_join(F.transform(q["scripts"], lambda c: c["body"]), " ").alias("code"),
@@ -104,8 +117,8 @@ def _features(q: Column) -> Column:
         lambda e: e["tag"].isin("div", "main", "section")
         & _inside(body, e["pos"])
         & F.regexp_like(_attr(e, "class"), F.lit("app|root|container|content"))
-        & (H.text_between(q["seen"], e["pos"], e["end_pos"]) == "")
-        & (_children(q["shown"], e) < 3),
+        & (H.between(q["telling"], e["pos"], e["end_pos"]) == 0)
+        & (H.between(q["shown"], e["pos"], e["end_pos"]) < 3),
     )
     minimal = (
         body.isNull()
@@ -161,7 +174,7 @@ def _features(q: Column) -> Column:
     rich = F.exists(elements, lambda e: e["tag"].isin("article", "main", "section") & (F.length(text_of(e)) > 200))
     navigation = F.exists(
         elements,
-        lambda e: e["tag"].isin("nav", "ul", "ol") & (F.size(F.filter(q["anchors"], lambda a: _inside(e, a["pos"]))) > 3),
+        lambda e: e["tag"].isin("nav", "ul", "ol") & (H.between(q["anchors"], e["pos"], e["end_pos"]) > 3),
     )
     form = F.exists(elements, lambda e: e["tag"] == "form")
     first_description = F.get(

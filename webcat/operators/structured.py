@@ -92,14 +92,18 @@ def _microdata_array(elements: Column, pieces: Column) -> Column:
     )
 
     def scopes(properties: Column) -> Column:
-        return F.transform(
-            F.filter(elements, lambda e: H.has_attribute(e["attrs"], "itemscope")),
-            lambda e: F.struct(
-                e["pos"].alias("pos"),
-                F.coalesce(_attr(e, "itemtype"), F.lit("")).alias("type"),
-                F.filter(properties, lambda p: (e["pos"] < p["pos"]) & (p["pos"] < e["end_pos"])).alias("found"),
-            ),
-        )
+        # properties are in page order, so those inside an item are a slice
+        def sliced(rank: Column) -> Column:
+            return F.transform(
+                F.filter(elements, lambda e: H.has_attribute(e["attrs"], "itemscope")),
+                lambda e: F.struct(
+                    e["pos"].alias("pos"),
+                    F.coalesce(_attr(e, "itemtype"), F.lit("")).alias("type"),
+                    F.slice(properties, F.get(rank, e["pos"] + 1) + 1, H.between(rank, e["pos"], e["end_pos"])).alias("found"),
+                ),
+            )
+
+        return let(H.ranks(F.transform(properties, lambda p: p["pos"]), F.size(pieces)), sliced)
 
     def grouped(s: Column) -> Column:
         names = F.array_distinct(F.transform(s["found"], lambda p: p["name"]))
