@@ -390,6 +390,35 @@ def test_stream_gives_each_url_once(spark, files):
     assert len(got) == len(set(got)) and set(got) == batch
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_link_store_keeps_the_first_occurrence(spark, order, monkeypatch):
+    from webcat.operators import links
+
+    monkeypatch.setattr(ingest, "RUNS", 2)
+    pages = [(i, "https://x.com/p", "<a href='/same'>" + (f"<script>location.href='/js/{i // 2}'</script>" if i % 2 else f"<a href='/js/{i // 2}'>")) for i in range(6)]
+    base = scratch_dir(spark, "test-store")
+    for page in pages[::order]:
+        spark.createDataFrame([page], ingest.PAGE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = ingest.read_page_stream(spark, f"{base}/in", files_per_batch=1)
+        ingest.start_link_store(stream, f"{base}/store", f"{base}/state").awaitTermination()
+    got = {(r.url, r.page_id, r.discovery_method) for r in ingest.read_link_store(spark, f"{base}/store").collect()}
+    whole = links.unique_links(links.extract_links(spark.createDataFrame(pages, ingest.PAGE_SCHEMA)))
+    assert got == {(r.url, r.page_id, r.discovery_method) for r in whole.collect()} and len(got) == 4
+    runs = spark.read.parquet(f"{base}/store").select("level", "run").distinct().count()
+    assert runs == 2  # six runs, merged by twos: one of level 2 and one of level 1
+
+
+def test_links_of_a_page_are_not_shuffled(spark):
+    from webcat.operators import links
+    from webcat.plans.inputs import table
+
+    pages = table(spark, "/root/testdata/sf0.001", "pages")
+    plan = links.extract_links(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    plan = links.unique_links(links.extract_links(pages))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
 def test_stream_reads_link_headers(spark):
     pages = spark.createDataFrame(
         [(1, "https://x.com/1", "<a href='/a'>", {"Link": '</next>; rel="next"'}, "text/html"), (2, "https://x.com/2", "<a href='/b'>", None, None)],

@@ -1,8 +1,8 @@
 """Link discovery: pages -> links.
 
-All methods read one token stream. A token yields its candidate references as an array, the array is
-exploded, resolved and filtered in the same stage, and only the (page, url) aggregation shuffles; its
-map-side combine has already reduced every page to its distinct URLs by then.
+All methods read one token stream. A token yields its candidate references as an array; they are resolved, checked,
+sorted by (url, method, position) and reduced to the first of each URL within the page's row, and only then exploded. Nothing
+is shuffled, and the same expression serves the stream.
 """
 
 from __future__ import annotations
@@ -179,9 +179,9 @@ def _ranked(method: str, values: Column) -> Column:
     return F.transform(values, lambda v: F.struct(F.lit(rank).alias("rank"), v.alias("raw")))
 
 
-def _candidates(methods: list[str]) -> Column:
-    """array<struct<rank, raw>> of the token in columns kind, tag, token, attrs, base."""
-    kind, tag, token, attrs = F.col("kind"), F.col("tag"), F.col("token"), F.col("attrs")
+def _candidates(t: Column, host: Column, methods: list[str]) -> Column:
+    """array<struct<rank, raw>> of one token (kind, tag, token, attrs) of a page on ``host``."""
+    kind, tag, token, attrs = t["kind"], t["tag"], t["token"], t["attrs"]
 
     def together(parts: dict[str, Column]) -> Column:
         chosen = [_ranked(m, v) for m, v in parts.items() if m in methods]
@@ -193,7 +193,7 @@ def _candidates(methods: list[str]) -> Column:
     if "microdata" in methods:
         of_tag = F.concat(of_tag, _ranked("microdata", _url_properties(attrs)))
     of_script = together({
-        "javascript": _js_script(token, F.col("base")["host"]),
+        "javascript": _js_script(token, host),
         "json_ld": _json_ld(token, attrs),
     })
     of_style = together({"css": _css_text(H.script_body(token))})
@@ -204,81 +204,83 @@ def _candidates(methods: list[str]) -> Column:
         .when(kind == "script", of_script)
         .when(kind == "style", of_style)
         .when(kind == "comment", of_comment)
+        .otherwise(_no_refs())
     )
 
 
-def _header_candidates(pages: DataFrame) -> DataFrame:
-    """References of the HTTP ``Link`` header; reads only the header column."""
-    header = F.coalesce(F.col("response_headers")["Link"], F.col("response_headers")["link"], F.lit(""))
-    rank = DISCOVERY_METHODS.index("http_header")
+def _header_refs(headers: Column) -> Column:
+    """array<struct<rank, raw>> of the HTTP ``Link`` header."""
+    header = F.coalesce(headers["Link"], headers["link"], F.lit(""))
     wanted = F.filter(
         _find_all(header, HEADER_LINK_PATTERN, 0),
         lambda m: F.regexp_extract(m, HEADER_LINK_PATTERN, 2).isin(HEADER_RELATIONS),
     )
-    refs = F.transform(
-        wanted,
-        lambda m: F.struct(F.lit(rank).alias("rank"), F.regexp_extract(m, HEADER_LINK_PATTERN, 1).alias("raw")),
-    )
-    return pages.select(
-        "page_id", F.col("url").alias("source_page"), U.base_parts(F.col("url")).alias("base"), F.lit(0).alias("pos"),
-        refs.alias("refs"),
-    )
+    return _ranked("http_header", F.transform(wanted, lambda m: F.regexp_extract(m, HEADER_LINK_PATTERN, 1)))
 
 
-def candidate_links(pages: DataFrame, methods: list[str]) -> DataFrame:
-    """References found per token, before resolution: (page_id, source_page, base, pos, refs array<rank, raw>)."""
-    toks = allow_repeated_keys(pages).select(
-        "page_id",
-        F.col("url").alias("source_page"),
-        U.base_parts(F.col("url")).alias("base"),
-        F.posexplode(H.tokens(F.col("html"))).alias("pos", "token"),
+def _tokens_of_interest(html: Column) -> Column:
+    """array<struct<pos, kind, tag, token, attrs>> of the tokens that can hold a reference."""
+    numbered = F.transform(H.tokens(html), lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
+    some = F.filter(
+        numbered,
+        lambda t: F.startswith(t["token"], F.lit("<"))
+        & (F.substring(t["token"], 2, 1) != "/")
+        & (F.regexp_like(t["token"], F.lit(_TOKEN_OF_INTEREST)) | F.regexp_like(t["token"], F.lit(_ATTRIBUTE_OF_INTEREST))),
     )
-    second = F.substring("token", 2, 1)
-    toks = toks.filter(
-        F.startswith("token", F.lit("<"))
-        & (second != "/")
-        & (F.regexp_like("token", F.lit(_TOKEN_OF_INTEREST)) | F.regexp_like("token", F.lit(_ATTRIBUTE_OF_INTEREST)))
-    ).withColumn("kind", H.token_kind(F.col("token")))
-    toks = toks.withColumn("tag", H.token_tag(F.col("token"), F.col("kind"))).withColumn(
-        "attrs", F.when(F.col("kind").isin("open", "script"), H.attributes(F.col("token")))
+    kinds = F.transform(
+        some, lambda t: F.struct(t["pos"].alias("pos"), H.token_kind(t["token"]).alias("kind"), t["token"].alias("token"))
     )
-    found = toks.select("page_id", "source_page", "base", "pos", _candidates(methods).alias("refs"))
-    if "http_header" in methods and "response_headers" in pages.columns:
-        found = found.unionByName(_header_candidates(pages))
-    return found
+    return F.transform(kinds, lambda t: F.struct(
+        t["pos"].alias("pos"), t["kind"].alias("kind"), H.token_tag(t["token"], t["kind"]).alias("tag"), t["token"].alias("token"),
+        F.when(t["kind"].isin("open", "script"), H.attributes(t["token"])).alias("attrs"),
+    ))
+
+
+def page_links(html: Column, url: Column, headers: Column | None, profile: LinkProfile, methods: list[str]) -> Column:
+    """array<struct<url, first_seen, host>>: the valid links of a page, each URL once, in URL order.
+
+    ``first_seen`` packs (method rank, token position) into one long: the smallest is the method and place that
+    find the URL first.
+    """
+    def of_base(base: Column) -> Column:
+        def found(pos: Column, refs: Column) -> Column:
+            resolved = F.transform(
+                refs, lambda r: F.struct(r["rank"].alias("rank"), U.resolve_url(r["raw"], base).alias("url"))
+            )
+            valid = F.filter(
+                resolved,
+                lambda r: U.is_valid_url(
+                    r["url"], base["host"],
+                    follow_external=profile.follow_external, blocked_extensions=list(profile.blocked_extensions),
+                ),
+            )
+            return F.transform(valid, lambda r: F.struct(
+                (U.normalize_url(r["url"]) if profile.normalize else r["url"]).alias("url"),
+                (F.shiftleft(r["rank"].cast("long"), _POS_BITS) + pos).alias("first_seen"),
+                base["host"].alias("host"),
+            ))
+
+        seen = F.flatten(F.transform(
+            _tokens_of_interest(html), lambda t: found(t["pos"], _candidates(t, base["host"], methods))
+        ))
+        if headers is not None and "http_header" in methods:
+            seen = F.concat(F.coalesce(seen, found(F.lit(0), _no_refs())), found(F.lit(0), _header_refs(headers)))
+        return let(F.sort_array(seen), lambda s: F.filter(
+            s, lambda x, i: (i == 0) | (x["url"] != F.get(s, i - 1)["url"])
+        ))
+
+    return let(U.base_parts(url), of_base)
 
 
 def resolved_candidates(pages: DataFrame, profile: LinkProfile, methods: list[str] | None = None) -> DataFrame:
-    """Valid absolute URLs with their order key: (page_id, source_page, host, url, first_seen).
+    """The links of every row of ``pages``, each URL once: (page_id, source_page, host, url, first_seen).
 
-    Stateless, so it serves batch and stream alike. ``first_seen`` packs (method rank, token position)
-    into one long: the smallest is the method and place that find the URL first. References are resolved
-    and checked inside the array: a filter on a resolved column would be pushed below the projection and
-    resolve every reference once per use.
+    Stateless and without a shuffle, so it serves batch and stream alike.
     """
-    base = F.col("base")
-    resolved = F.transform(
-        "refs", lambda r: F.struct(r["rank"].alias("rank"), U.resolve_url(r["raw"], base).alias("url"))
-    )
-    valid = F.filter(
-        resolved,
-        lambda r: U.is_valid_url(
-            r["url"], base["host"],
-            follow_external=profile.follow_external, blocked_extensions=list(profile.blocked_extensions),
-        ),
-    )
-    if profile.normalize:
-        valid = F.transform(
-            valid, lambda r: F.struct(r["rank"].alias("rank"), U.normalize_url(r["url"]).alias("url"))
-        )
-    found = candidate_links(pages, profile.methods() if methods is None else methods)
-    rows = found.select(
-        "page_id", "source_page", F.col("base.host").alias("host"), "pos", F.explode(valid).alias("link")
-    )
-    return rows.select(
-        "page_id", "source_page", "host", F.col("link.url").alias("url"),
-        (F.shiftleft(F.col("link.rank").cast("long"), _POS_BITS) + F.col("pos")).alias("first_seen"),
-    )
+    headers = F.col("response_headers") if "response_headers" in pages.columns else None
+    found = page_links(F.col("html"), F.col("url"), headers, profile, profile.methods() if methods is None else methods)
+    rows = allow_repeated_keys(pages).select("page_id", F.col("url").alias("source_page"), F.explode(found).alias("link"))
+    return rows.select("page_id", "source_page", "link.host", "link.url", "link.first_seen")
 
 
 def method_of(first_seen: Column) -> Column:
@@ -286,28 +288,19 @@ def method_of(first_seen: Column) -> Column:
     return F.element_at(F.array(*[F.lit(m) for m in DISCOVERY_METHODS]), rank + 1)
 
 
-def _as_links(firsts: DataFrame) -> DataFrame:
-    return firsts.select(
+def extract_links(
+    pages: DataFrame, profile: LinkProfile = PROFILES["default"], methods: list[str] | None = None
+) -> DataFrame:
+    """Links of every row of ``pages``, each URL once; the first method that finds it keeps it."""
+    return resolved_candidates(pages, profile, methods).select(
         "page_id", "source_page", "url",
         method_of(F.col("first_seen")).alias("discovery_method"),
-        U.link_type(F.col("url"), U.host(F.col("source_page"))).alias("link_type"),
+        U.link_type(F.col("url"), F.col("host")).alias("link_type"),
         F.lit("pending").alias("status"),
         F.lit("").alias("notes"),
     )
 
 
-def extract_links(
-    pages: DataFrame, profile: LinkProfile = PROFILES["default"], methods: list[str] | None = None
-) -> DataFrame:
-    """Links of every page, one row per (page, url); the first method that finds a URL keeps it."""
-    firsts = (
-        resolved_candidates(pages, profile, methods)
-        .groupBy("page_id", "source_page", "url")
-        .agg(F.min("first_seen").alias("first_seen"))
-    )
-    return _as_links(firsts)
-
-
 def links_by_method(pages: DataFrame, method: str, profile: LinkProfile = PROFILES["default"]) -> DataFrame:
     """Links found by a single discovery method."""
     return extract_links(pages, profile, [method])

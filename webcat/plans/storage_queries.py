@@ -85,12 +85,12 @@ def catalog_roundtrip(spark, sf_dir):
 
 
 def stream_links(spark, sf_dir):
-    """The pages as a stream of three files, each link URL once."""
+    """The pages as a stream of ten files, the first occurrence of each link URL."""
     base = scratch_dir(spark, "stream")
-    given_pages(spark, sf_dir).repartition(3, "page_id").write.parquet(f"{base}/in")
+    given_pages(spark, sf_dir).repartition(10, F.xxhash64("page_id")).write.parquet(f"{base}/in")
     pages = ingest.read_page_stream(spark, f"{base}/in", files_per_batch=1)
-    ingest.start_link_stream(pages, f"{base}/out", f"{base}/state").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("url", "discovery_method", "link_type")
+    ingest.start_link_store(pages, f"{base}/store", f"{base}/state").awaitTermination()
+    return ingest.read_link_store(spark, f"{base}/store").select("url", "page_id", "source_page", "discovery_method", "link_type")
 
 
 QUERIES = {f.__name__: f for f in [
@@ -139,5 +139,6 @@ UNION ALL SELECT 'user_flavor_preferences', CAST(sum(c_custkey % 3) AS BIGINT) F
 UNION ALL SELECT 'user_liked_beans', count(DISTINCT (o_custkey, l_partkey)) FROM likes
 UNION ALL SELECT 'user_liked_locations', count(DISTINCT (o_custkey, l_suppkey)) FROM likes
 UNION ALL SELECT 'user_interactions', count(*) FROM events""",
-    "stream_links": Q.PAGE_LINKS + " SELECT DISTINCT url, discovery_method, link_type FROM link",
+    "stream_links": Q.PAGE_LINKS + """
+SELECT url, page_id, source_page, discovery_method, link_type FROM link QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1""",
 }

@@ -41,6 +41,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it is missing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(folder)) if files.exists(folder) else []
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise and cut the lineage on storage that outlives any executor."""
     spark = df.sparkSession
