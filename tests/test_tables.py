@@ -179,6 +179,30 @@ def test_join_unique_with_a_hot_key(spark):
     assert skew.join_unique(rows.limit(0), table, "k").count() == 0
 
 
+def test_a_popular_object_is_not_gathered(spark):
+    from webcat.operators import catalog as C
+
+    n = 60_000
+    hot = F.when(F.col("id") % 10 < 9, F.lit(7)).otherwise(F.col("id") % 500)
+    tables = {
+        "user_interactions": spark.range(n).select("id", F.lit("bean").alias("object_type"), hot.alias("object_id")).repartition(8),
+        "beans": spark.range(500).select("id", F.concat(F.lit("b"), "id").alias("name")),
+        "cafe_locations": spark.range(0).select("id", F.lit("").alias("address")),
+        "menu_items": spark.range(0).select("id", F.lit("").alias("name")),
+    }
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = C.object_lookup(tables)
+        sizes = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == n and max(sizes) < 2 * n / 8
+        assert found.filter("object_name IS NULL OR object_name <> concat('b', object_id)").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_redirects(spark):
     df = link(spark, ("t", "anchor", "internal", "pending"), ("u", "anchor", "internal", "pending"))
     redirects = spark.createDataFrame([("s", "t"), ("never", "u")], "from_url string, to_url string")

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from webcat.operators.skew import join_unique
 from webcat.schemas import CATALOG, FOREIGN_KEYS, TIMESTAMP_DEFAULTS, UNIQUE_KEYS, not_null_columns
 
 Catalog = dict[str, DataFrame]
@@ -31,9 +32,7 @@ def bean_locations(catalog: Catalog) -> DataFrame:
     beans = catalog["beans"].select(F.col("id").alias("bean_id"), F.col("name").alias("bean_name"))
     places = catalog["cafe_locations"].select(F.col("id").alias("location_id"), "cafe_id", "address")
     return (
-        catalog["cafe_location_beans"]
-        .join(beans, "bean_id")
-        .join(places, "location_id")
+        join_unique(join_unique(catalog["cafe_location_beans"], beans, "bean_id"), places, "location_id")
         .select("bean_id", "bean_name", "location_id", "cafe_id", "address")
     )
 
@@ -105,10 +104,10 @@ def catalog_objects(catalog: Catalog) -> DataFrame:
 def object_lookup(catalog: Catalog) -> DataFrame:
     """Interactions with the name of what they point to; a dangling reference keeps a NULL name.
 
-    One left join on (object_type, object_id). A very popular object makes a skewed key of the
-    interaction side, which adaptive execution splits.
+    A left join on (object_type, object_id). Interactions with a very popular object are not shuffled to one place: they
+    meet the few objects of that kind by broadcast where they are.
     """
-    return catalog["user_interactions"].join(catalog_objects(catalog), ["object_type", "object_id"], "left")
+    return join_unique(catalog["user_interactions"], catalog_objects(catalog), ["object_type", "object_id"], "left")
 
 
 # --- integrity ---------------------------------------------------------------------------------

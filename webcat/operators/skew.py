@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,31 +11,34 @@ from pyspark.sql import functions as F
 HEAVY_ONE_IN = 2000
 
 
-def heavy_keys(rows: DataFrame, key: str, one_in: int = HEAVY_ONE_IN) -> DataFrame:
-    """(key): those of more than one in ``one_in`` of the rows whose key is not null. Fewer than ``one_in`` rows."""
-    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.filter(F.col("n") * one_in > total.scalar()).select(key)
+def _known(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def heavy_keys(rows: DataFrame, key: str | list[str], one_in: int = HEAVY_ONE_IN) -> DataFrame:
+    """The keys of more than one in ``one_in`` of the rows without a null key: fewer than ``one_in`` rows."""
+    keys = [key] if isinstance(key, str) else key
+    counts = rows.filter(_known(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n").alias("total"))
+    return counts.filter(F.col("_n") * one_in > total.scalar()).select(*keys)
 
 
-def join_unique(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", one_in: int = HEAVY_ONE_IN, heavy: DataFrame | None = None) -> DataFrame:
+def join_unique(rows: DataFrame, lookup: DataFrame, key: str | list[str], how: str = "inner", one_in: int = HEAVY_ONE_IN) -> DataFrame:
     """``rows`` with the columns of ``lookup``, in which no ``key`` occurs twice; ``how`` is inner or left.
 
     Rows with a heavy key stay where they are and meet the few entries of heavy keys by broadcast; the others are
-    shuffled, and no key among them is hot. Null keys match nothing; a left join leaves them where they are too. ``heavy``
-    may name a table of heavy keys, so that several joins count only once.
+    shuffled, and no key among them is hot. Null keys match nothing; a left join leaves them where they are too.
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
-    hot = heavy_keys(rows, key, one_in) if heavy is None else heavy
-    marked = rows.join(F.broadcast(hot.select(F.col(key).alias("_hot"))), F.col(key) == F.col("_hot"), "left")
-    few = F.broadcast(lookup.join(F.broadcast(hot), key, "left_semi"))
-    stay = F.col("_hot").isNotNull() if how == "inner" else F.col("_hot").isNotNull() | F.col(key).isNull()
-    there = marked.filter(stay).drop("_hot").join(few, key, how)
-    moved = marked.filter(F.col("_hot").isNull() & F.col(key).isNotNull()).drop("_hot").join(lookup, key, how)
+    keys = [key] if isinstance(key, str) else key
+    hot = heavy_keys(rows, keys, one_in)
+    flags = hot.select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_hot_{i}") for i, k in enumerate(keys)])
+    marked = rows.join(F.broadcast(flags), same, "left")
+    few = F.broadcast(lookup.join(F.broadcast(hot), keys, "left_semi"))
+    is_hot = F.col("_hot_0").isNotNull()
+    stay = is_hot if how == "inner" else is_hot | ~_known(keys)
+    there = marked.filter(stay).drop(*flags.columns).join(few, keys, how)
+    moved = marked.filter(~is_hot & _known(keys)).drop(*flags.columns).join(lookup, keys, how)
     return moved.unionByName(there)
-
-
-def spread_key(parts: int, *by: str | Column) -> Column:
-    """A salt below ``parts`` that the same row always gets."""
-    return F.pmod(F.xxhash64(*by), F.lit(parts)).cast("int")
