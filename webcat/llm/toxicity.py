@@ -229,17 +229,27 @@ def sample(rows: DataFrame, known: DataFrame, hold: bool) -> tuple[list[str], li
 
     ``rows`` are (id, text, lang, learn, short). The condition is for rows with ``h`` and ``_label``.
     """
-    learnt = rows.filter("learn AND short").join(known, F.col("id") == F.col("_lid")).withColumn("h", F.xxhash64("id"))
+    # ids and labels alone are joined and ordered; texts are read again for the few that are taken
+    ids = rows.filter("learn AND short").select("id").join(known, F.col("id") == F.col("_lid"))
+    learnt = ids.select("id", "_label").distinct().withColumn("h", F.xxhash64("id"))
     learnt = learnt.filter(~_held()) if hold else learnt
-    taken, within = [], F.lit(False)
+    chosen, within = [], F.lit(False)
     for label, most in ((1, POSITIVE), (0, NEGATIVE)):
-        found = learnt.filter(F.col("_label") == label).orderBy("h", "id", "text").limit(most).collect()
+        found = learnt.filter(F.col("_label") == label).orderBy("h", "id").limit(most).collect()
         last = found[-1]["h"] if len(found) == most else (1 << 63) - 1
         within = within | ((F.col("_label") == label) & (F.col("h") <= last))
-        taken += found
-    taken.sort(key=lambda r: (r["h"], r["id"], r["text"]))
+        chosen += [(r["id"], int(r["_label"])) for r in found]
+    label_of = dict(chosen)
+    taken = []
+    if chosen:
+        kind = rows.schema["id"].dataType.simpleString()
+        few = F.broadcast(rows.sparkSession.createDataFrame([(i,) for i, _ in chosen], f"_cid {kind}"))
+        picked = rows.filter("learn AND short").join(few, F.col("id") == F.col("_cid"))
+        # rows that share an id are one text of the sample, the smallest
+        taken = picked.groupBy("id").agg(F.min("text").alias("text")).withColumn("h", F.xxhash64("id")).collect()
+    taken.sort(key=lambda r: (r["h"], r["id"]))
     trained = F.col("short") & within & (~_held() if hold else F.lit(True))
-    return [r["text"] for r in taken], [int(r["_label"]) for r in taken], trained
+    return [r["text"] for r in taken], [label_of[r["id"]] for r in taken], trained
 
 
 def _scoring(model: Model) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
