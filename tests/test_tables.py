@@ -1,5 +1,6 @@
 """Curation, frontier, payloads, catalog, sources, sinks and the stream."""
 
+import collections
 import json
 
 import pytest
@@ -11,7 +12,7 @@ from webcat.operators import catalog as C
 from webcat.operators import curation, frontier, jsdep, payload
 from webcat.operators import links as L
 from webcat.operators.curation import StatusRule
-from webcat.session import scratch_dir
+from webcat.session import numbered_within, scratch_dir
 from webcat.sources import readers, writers
 from webcat.streaming import ingest
 
@@ -458,3 +459,49 @@ def test_stream_reads_link_headers(spark):
 def test_html_only(spark):
     df = spark.createDataFrame([(1, "<p>", "Text/HTML"), (2, "", "text/html"), (3, "x", "image/png")], "page_id bigint, html string, content_type string")
     assert [r.page_id for r in readers.html_only(df).collect()] == [1]
+
+
+def test_numbering_moves_rows_once(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 11 == 0, None).when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("é"), F.col("id") % 40)).alias("g"),
+        F.when(F.col("id") % 13 > 0, F.col("id") % 97).alias("k"), "id", F.repeat(F.lit("x"), 50).alias("body"))
+    numbered = numbered_within(rows, "g", "k", "id")
+    want, seen = {}, collections.Counter()
+    for r in sorted(rows.collect(), key=lambda r: (r.k is not None, r.k or 0, r.id)):
+        want[r.id] = seen[r.g]
+        seen[r.g] += 1
+    assert {r.id: r.idx for r in numbered.collect()} == want
+    plan = numbered._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    assert plan.count("Exchange") == 1
+    assert numbered_within(rows.filter("id < 0"), "g", "k").count() == 0
+
+
+def test_discovery_documents_roll(spark, tmp_path):
+    links = spark.createDataFrame(
+        [("big", f"https://b/{i:03d}", "https://b", "anchor", i) for i in range(25)] + [("one", "https://o/x", None, None, 0), (None, "u", "p", "css", 0)],
+        "site_name string, url string, source_page string, discovery_method string, extra int")
+    pages = spark.createDataFrame([("big", "https://b", 25), ("idle", "https://i", 0)], "site_name string, url string, links_found long")
+    failed = spark.createDataFrame([("lost", f"f{i}") for i in range(11)], "site_name string, url string")
+    meta = spark.createDataFrame([("big", "https://b", {"max_pages": "5"}), ("bare", None, None)],
+                                 "site_name string, base_url string, crawler_config map<string,string>")
+    docs = writers.discovery_documents(links, pages, failed, meta, roll=10).collect()
+    got = {(d.discovery_metadata.site_name, d.discovery_metadata.part): d for d in docs}
+    assert set(got) == {("big", 0), ("big", 1), ("big", 2), ("one", 0), (None, 0), ("idle", 0), ("lost", 0), ("lost", 1), ("bare", 0)}
+    assert [len(got["big", i].discovered_links) for i in range(3)] == [10, 10, 5]
+    assert [len(got["lost", i].failed_urls) for i in range(2)] == [10, 1]
+    for part in range(3):
+        head = got["big", part].discovery_metadata
+        assert (head.total_links_found, head.total_pages_scanned, head.failed_urls_count, head.crawler_config) == (25, 1, 0, {"max_pages": "5"})
+    writers.write_discovery(links, pages, failed, meta, str(tmp_path / "d"), roll=10)
+    back = readers.read_links(spark, str(tmp_path / "d"), multiline=False).filter("site_name = 'big'").collect()
+    assert sorted((r.seq, r.url) for r in back) == [(i, f"https://b/{i:03d}") for i in range(25)]
+
+
+def test_summary_documents_roll(spark):
+    links = spark.createDataFrame([("s", f"u{i:02d}", "https://s/p", "keep" if i < 25 else "skip") for i in range(30)],
+                                  "site_name string, url string, source_page string, status string")
+    pages = spark.createDataFrame([("u00",), ("u29",)], "url string")
+    docs = sorted(writers.summary_documents(links, pages, roll=10, links_file="f").collect(), key=lambda d: d.part)
+    assert [u for d in docs for u in d.failed_urls] == [f"u{i:02d}" for i in range(1, 25)]
+    assert {(d.phase, d.base_url, d.total_links_in_file, d.filtered_links_count, d.successfully_scraped, d.links_file_used) for d in docs} == {
+        ("html_scraping", "https://s", 30, 25, 1, "f")}

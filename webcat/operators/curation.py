@@ -95,9 +95,9 @@ def uncrawled(all_links: DataFrame, visited: DataFrame) -> DataFrame:
     return all_links.select("url").distinct().join(visited.select("url").distinct(), "url", "left_anti")
 
 
-def not_scraped(links: DataFrame, pages: DataFrame) -> DataFrame:
-    """Kept links without a stored page."""
-    return select_status(links).join(pages.select("url").distinct(), "url", "left_anti")
+def not_scraped(links: DataFrame, pages: DataFrame, status: str = "keep") -> DataFrame:
+    """Links of a status (kept ones) without a stored page."""
+    return select_status(links, status).join(pages.select("url").distinct(), "url", "left_anti")
 
 
 def scrape_summary(links: DataFrame, pages: DataFrame, status: str = "keep") -> DataFrame:

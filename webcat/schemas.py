@@ -30,6 +30,8 @@ LINKS_DOCUMENT = _struct(
     ("discovery_metadata", _struct(
         ("base_url", S), ("base_domain", S), ("site_name", S), ("timestamp", S), ("total_pages_scanned", L),
         ("total_links_found", L), ("failed_urls_count", L), ("crawler_config", T.MapType(S, S)),
+        # of a site written as several documents: which one, and the place of its first entry in the site's lists
+        ("part", L), ("first_entry", L),
     )),
     ("discovered_links", T.ArrayType(LINK)),
     ("source_pages", T.ArrayType(_struct(
@@ -47,7 +49,7 @@ SITE_SUMMARY = _struct(
     ("filtered_links_count", L), ("successfully_scraped", L), ("failed_urls", T.ArrayType(S)),
     ("output_directory", S), ("base_url", S), ("base_domain", S), ("total_pages", L),
     ("visited_urls", T.ArrayType(S)), ("all_links", T.ArrayType(S)), ("saved_files", L),
-    ("crawler_config", T.MapType(S, S)),
+    ("crawler_config", T.MapType(S, S)), ("part", L),
 )
 
 CATALOG = {

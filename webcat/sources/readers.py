@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from webcat.schemas import CATALOG, LINKS_DOCUMENT, PROCESSED_DOCUMENT, SITE_SUMMARY
 
-SITE_METADATA = LINKS_DOCUMENT["discovery_metadata"].dataType.fieldNames()
+SITE_METADATA = [n for n in LINKS_DOCUMENT["discovery_metadata"].dataType.fieldNames() if n not in ("part", "first_entry")]
 
 
 def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
@@ -34,10 +34,14 @@ def _discovery_documents(spark: SparkSession, path: str, multiline: bool) -> Dat
 
 
 def read_links(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Discovery documents, one JSON object per file or per line: one row per link with its site's metadata."""
+    """Discovery documents, one JSON object per file or per line: one row per link with its site's metadata.
+
+    ``seq`` is the link's place in its site's list, also where that goes on in further documents.
+    """
     docs = _discovery_documents(spark, path, multiline)
-    return docs.select(*SITE_METADATA, F.posexplode("discovered_links").alias("seq", "link")).select(
-        *SITE_METADATA, "seq", "link.*"
+    first = F.coalesce("first_entry", F.lit(0)).cast("int")
+    return docs.select(*SITE_METADATA, first.alias("first"), F.posexplode("discovered_links").alias("at", "link")).select(
+        *SITE_METADATA, (F.col("first") + F.col("at")).alias("seq"), "link.*"
     )
 
 
@@ -63,7 +67,7 @@ def read_processed(spark: SparkSession, path: str, multiline: bool = True) -> Da
 
 
 def read_summaries(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Site summaries of both shapes, one row per site."""
+    """Site summaries of both shapes, one row per site and part: a site's failed URLs may go on in further parts."""
     return spark.read.schema(SITE_SUMMARY).json(path, multiLine=multiline)
 
 
