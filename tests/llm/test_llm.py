@@ -199,8 +199,7 @@ def test_pieces_match_the_library(spark, odd, empty):
         assert r["ids"] == ids and r["decoded"] == model.decode(ids)
     assert pieces.encode(empty, queries.MODEL_FILE).columns == [*empty.columns, "ids", "decoded"]
     assert pieces.encode(empty, queries.MODEL_FILE).count() == 0
-    with pytest.raises(ValueError):
-        pieces.encode(odd.withColumnRenamed("h", "IDS"), queries.MODEL_FILE)
+    assert pieces.encode(odd.withColumnRenamed("h", "IDS"), queries.MODEL_FILE).columns[-3:] == ["score", "ids", "decoded"]
 
 
 # --- 7: WARC -------------------------------------------------------------------------------------
@@ -392,3 +391,59 @@ def test_pipeline(spark):
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0, name
+
+
+# --- extra columns -------------------------------------------------------------------------------
+
+CLASHING = ["row", "id", "tk", "fp", "gid", "gtk", "gone", "_gone", "_gid", "shorter", "ident", "_ident", "copy", "copies", "_copies", "order",
+            "_order", "cdf", "_cdf", "parts", "rated", "_source", "_text", "_lang", "_quality", "score", "accepted", "ids", "decoded", "a.b", "lid", "cid"]
+
+
+@pytest.mark.parametrize("apply", [
+    lambda d, labels: mixing.mix(d, weights={"s": 1.0}, epochs=1.0), lambda d, labels: lines.deduplicate_lines(d), lambda d, labels: simhash.deduplicate(d),
+    lambda d, labels: quality.accepted(d, labels),
+])
+def test_columns_of_any_name_pass_through(spark, apply):
+    rows = [(i, f"word{i} other{i * 7} third{i * 13} more{i} last{i}", "en", "s") for i in range(60)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    wide = plain.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in CLASHING])
+    labels = plain.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    got, want = apply(wide, labels), apply(plain, labels)
+    assert got.columns == wide.columns
+    found = [r.asDict() for r in got.collect()]
+    assert sorted(r["doc_id"] for r in found) == sorted(r["doc_id"] for r in want.collect()) != []
+    assert all(r[c] == f"{c}{r['doc_id']}" for r in found for c in CLASHING)
+
+
+def test_pieces_replaces_columns_of_its_names(spark):
+    docs = spark.createDataFrame([(1, "some words", "x", "y")], "doc_id long, text string, `a.b` string, ids string")
+    got = pieces.encode(docs, queries.MODEL_FILE)
+    assert got.columns == ["doc_id", "text", "a.b", "ids", "decoded"]
+    row = got.first()
+    assert (row["a.b"], row["decoded"]) == ("x", "some words") and len(row["ids"]) > 1
+
+
+def test_near_dedup_keeps_a_text_without_copies_beside_one_with(spark):
+    x, y = "alpha beta gamma delta epsilon zeta eta theta", "one quite different text about ships and harbours in winter"
+    docs = spark.createDataFrame([(1, x), (2, x), (2, y), (3, None), (4, "")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["text"]) for r in simhash.deduplicate(docs).collect())
+    assert got == [(1, x), (2, y), (3, None)]
+
+
+def test_quality_with_text_ids_and_clashing_labels(spark):
+    docs = spark.createDataFrame([(f"k{i}", "plain words here " * 5 if i % 2 else "!!## ??", "en", "s") for i in range(80)],
+                                 "doc_id string, text string, lang string, source string")
+    labels = docs.select("doc_id", F.when(F.col("text") == "!!## ??", 0).otherwise(1).alias("quality"))
+    labels = labels.union(spark.createDataFrame([("k0", 1), (None, 1)], labels.schema))
+    got = {r["doc_id"]: r["accepted"] for r in quality.score(docs, labels, keep=["doc_id"]).collect()}
+    assert len(got) == 80 and all(got[f"k{i}"] for i in range(1, 80, 2))
+
+
+def test_pieces_of_a_long_text_score_as_the_whole(monkeypatch):
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefgh"), 4)) for _ in range(60)]
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 6, 7, 8, 9, 13, 14, 15, 200)]
+    model = toxicity.train([" ".join(rng.choice(words, 20)) for _ in range(40)], [i % 2 for i in range(40)])
+    whole = toxicity.Scorer(model).logits(texts)
+    monkeypatch.setattr(toxicity, "PIECE", 7)
+    assert np.allclose(toxicity.Scorer(model).logits(texts), whole, atol=1e-5)

@@ -30,9 +30,22 @@ def deleted(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``small`` (a saved table) marked for broadcast if its counted size allows it; else as it is, to be shuffled."""
-    return F.broadcast(small) if small.count() * row_bytes <= limit else small
+def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES, array: str | None = None) -> DataFrame:
+    """``small`` (a saved table) marked for broadcast if its counted size allows it; else as it is, to be shuffled.
+
+    ``array`` names a column of lists, whose entries count 8 bytes each beside the ``row_bytes`` of every row.
+    """
+    if array is None:
+        size = small.count() * row_bytes
+    else:
+        n, entries = small.agg(F.count("*"), F.coalesce(F.sum(F.greatest(F.size(array), F.lit(0))), F.lit(0))).first()
+        size = n * row_bytes + entries * 8
+    return F.broadcast(small) if size <= limit else small
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of the input as one struct ``row``, so that none of them can clash with an operator's own."""
+    return F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
 
 
 def has_rows(df: DataFrame) -> bool:

@@ -6,7 +6,8 @@ run can be repeated and rows need no order. Copies are exploded and shuffled glo
 
 Cases: a null source is a source of its own; one without weight gets rate 0. A null or empty text has no
 characters, its document is copied like the others of its source; a source without any characters keeps rate 1. Without an
-id the text's hash stands in for it. Repeated rows get equally many copies. An empty table gives an empty result.
+id the text's hash stands in for it. Repeated rows get equally many copies. An empty table gives an empty result. Columns
+may have any names.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webcat.llm.common import checked_broadcast, parallelism, saved
+from webcat.llm.common import checked_broadcast, parallelism, saved, whole_row
 
 #: A larger mean is drawn as a sum of independent parts, as exp(-mean) would vanish.
 PART = 256.0
@@ -67,20 +68,20 @@ def mix(
     """The input's columns, a row for each copy, in global random order; ``copy_cols`` adds copy number and shuffle key."""
     rates = source_rates(docs, weights, epochs, source_col, text_col)
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int")
-    tables = rates.withColumn("_parts", parts).select(
-        F.col("source").alias("_source"), "_parts", _table(F.col("rate") / F.col("_parts")).alias("_cdf")
-    )
-    tables = checked_broadcast(saved(tables, "rates"), 8 * 500)
-    ident = F.coalesce(docs[id_col].cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(docs[text_col].cast("string"), F.lit("")))))
-    rows = docs.join(tables, docs[source_col].cast("string").eqNullSafe(F.col("_source"))).withColumn("_ident", ident)
-    draws = F.transform(
-        F.sequence(F.lit(0), F.col("_parts") - 1),
-        lambda part: F.size(F.filter("_cdf", lambda c: _uniform(F.lit(seed), part.cast("string"), F.col("_ident")) > c)),
-    )
+    tables = rates.withColumn("parts", parts).select(F.col("source").alias("rated"), "parts", _table(F.col("rate") / F.col("parts")).alias("cdf"))
+    tables = checked_broadcast(saved(tables, "rates"), 500, array="cdf")
+    text = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = docs.select(
+        whole_row(docs), F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), text)).alias("ident"),
+        F.col(source_col).cast("string").alias("source"),
+    ).join(tables, F.col("source").eqNullSafe(F.col("rated")))
+    # the numbers are drawn before they are looked up, each once
+    numbers = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda part: _uniform(F.lit(seed), part.cast("string"), F.col("ident")))
+    draws = F.transform(numbers, lambda u: F.size(F.filter("cdf", lambda c: u > c)))
     copies = F.aggregate(draws, F.lit(0), lambda total, n: total + n)
-    rows = rows.withColumn("_copies", copies).filter("_copies > 0")
-    rows = rows.select(*docs.columns, "_ident", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
-    rows = rows.withColumn("_order", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), "_ident", F.col("_copy").cast("string"))))
-    mixed = rows.repartition(parallelism(docs), "_order").sortWithinPartitions("_order")
-    extra = [F.col("_copy").alias(copy_cols[0]), F.col("_order").alias(copy_cols[1])] if copy_cols else []
-    return mixed.select(*docs.columns, *extra)
+    rows = rows.withColumn("copies", copies).filter("copies > 0")
+    rows = rows.select("row", "ident", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    rows = rows.withColumn("order", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), "ident", F.col("copy").cast("string"))))
+    mixed = rows.repartition(parallelism(docs), "order").sortWithinPartitions("order")
+    extra = [F.col("copy").alias(copy_cols[0]), F.col("order").alias(copy_cols[1])] if copy_cols else []
+    return mixed.select("row.*", *extra)

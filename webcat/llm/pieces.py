@@ -100,11 +100,10 @@ def _encoder(model_file: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[p
 
 
 def encode(docs: DataFrame, model_file: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all by default) of every row, with ``ids`` (an end id only) and ``decoded``."""
-    keep = docs.columns if keep is None else keep
-    if {"ids", "decoded"} & {c.lower() for c in keep}:
-        raise ValueError("the input has a column named ids or decoded")
-    kept = docs.select(*keep)
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
+    """The columns ``keep`` (all by default) of every row, with ``ids`` (an end id only) and ``decoded``; these
+    replace columns of the input with such names."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("ids", "decoded")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text_col).cast("string").alias("text"))
     added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
-    return rows.mapInArrow(_encoder(model_file), T.StructType([*kept.schema.fields, *added]))
+    coded = rows.mapInArrow(_encoder(model_file), T.StructType([rows.schema["row"], *added]))
+    return coded.select(*[F.col("row")[c].alias(c) for c in keep], "ids", "decoded")

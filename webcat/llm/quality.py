@@ -10,7 +10,8 @@ Training takes bounded samples: the ``LABELLED`` labelled and ``POOL`` other row
 
 Cases: null and empty texts have no words and score as such. Labels that are null or of unknown documents are left out;
 without labels of both kinds every score is 1 and nothing is rejected. Repeated rows score alike. Null languages,
-sources and ids are values of their own. An empty table gives an empty result. Other columns do not matter.
+sources and ids are values of their own. An id with both labels counts as good. Ids may be of any type. An empty table gives an
+empty result. Other columns do not matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from webcat.llm.common import slices, text_or_empty
 
@@ -197,20 +199,21 @@ def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> Model | None:
     """Train on the bounded samples; only features come to the driver."""
-    known = labels.select(F.col(id_col).alias("_lid"), F.col("quality").alias("label")).filter("label IN (0, 1)").dropDuplicates(["_lid"])
+    known = labels.filter("quality IN (0, 1)").groupBy(F.col(id_col).alias("lid")).agg(F.max("quality").alias("label"))
     rows = docs.select(
         F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
         F.col(source_col).cast("string").alias("source"), F.xxhash64(F.col(id_col)).alias("h"),
     )
     ids = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h"))
-    ids = ids.join(known, F.col("id") == F.col("_lid"), "left")
+    ids = ids.join(known, F.col("id") == F.col("lid"), "left")
     taken = []
     for wanted, most in ((F.col("label").isNotNull(), LABELLED), (F.col("label").isNull() & F.col("id").isNotNull(), POOL)):
         chosen = ids.filter(wanted).select("id", F.coalesce("label", F.lit(-1)).cast("int").alias("label"), "h").orderBy("h", "id").limit(most)
         taken += [(r["id"], r["label"]) for r in chosen.collect()]
     if not taken:
         return None
-    chosen = docs.sparkSession.createDataFrame(sorted(set(taken)), "cid long, label int")
+    chosen = docs.sparkSession.createDataFrame(sorted(set(taken)), StructType([
+        StructField("cid", ids.schema["id"].dataType), StructField("label", IntegerType())]))
     picked = rows.join(F.broadcast(chosen), F.col("id") == F.col("cid")).select("h", "label", "text", "lang", "source")
     found = picked.mapInArrow(_featured, "h long, label int, x binary, m binary").dropDuplicates(["h"]).toArrow()
     order = np.argsort(found.column("h").to_numpy(), kind="stable")
@@ -233,32 +236,38 @@ def _scoring(model: Model, text_at: int) -> Callable[[Iterable[pa.RecordBatch]],
                 metas.append(metadata(text, lang, source))
             scores = model.score(np.array(logits), np.array(metas))
             kept = [batch.column(k) for k in range(text_at)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], [*batch.schema.names[:text_at], "_quality"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], [*batch.schema.names[:text_at], "score"])
 
     return run
 
 
+def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    """(row, score, accepted): the kept columns as a struct."""
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    model = fit(docs, labels, id_col, text_col, lang_col, source_col)
+    if model is None:
+        return docs.select(row, F.lit(1.0).alias("score"), F.lit(True).alias("accepted"))
+    rows = docs.select(row, text_or_empty(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"))
+    scored = rows.mapInArrow(_scoring(model, 1), StructType([rows.schema["row"], StructField("score", DoubleType())]))
+    return scored.withColumn("accepted", F.col("score") >= model.threshold)
+
+
 def score(
     docs: DataFrame, labels: DataFrame, score_col: str = "quality_score", accepted_col: str = "accepted", keep: list[str] | None = None,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
 ) -> DataFrame:
-    """The columns ``keep`` (all by default), the score that the row is of good quality and whether it is accepted."""
+    """The columns ``keep`` (all by default), the score that the row is of good quality and whether it is accepted.
+
+    Columns of the input that are named as those two are replaced by them.
+    """
     keep = docs.columns if keep is None else keep
-    kept = docs.select(*keep)
-    model = fit(docs, labels, id_col, text_col, lang_col, source_col)
-    if model is None:
-        return kept.withColumn(score_col, F.lit(1.0)).withColumn(accepted_col, F.lit(True))
-    rows = docs.select(
-        *keep, text_or_empty(text_col).alias("_text"), F.col(lang_col).cast("string").alias("_lang"), F.col(source_col).cast("string").alias("_source")
-    )
-    schema = type(kept.schema)(list(kept.schema.fields)).add("_quality", "double")
-    scored = rows.mapInArrow(_scoring(model, len(keep)), schema)
-    return scored.select(
-        *keep, F.col("_quality").alias(score_col), (F.col("_quality") >= model.threshold).alias(accepted_col)
-    )
+    scored = _scored(docs, labels, keep, id_col, text_col, lang_col, source_col)
+    kept = [F.col("row")[c].alias(c) for c in keep if c.lower() not in (score_col.lower(), accepted_col.lower())]
+    return scored.select(*kept, F.col("score").alias(score_col), F.col("accepted").alias(accepted_col))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, **columns: str) -> DataFrame:
+def accepted(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
+) -> DataFrame:
     """The input's rows and columns without the rows that the classifier rejects."""
-    scored = score(docs, labels, score_col="_score", accepted_col="_accepted", **columns)
-    return scored.filter("_accepted").select(*docs.columns)
+    return _scored(docs, labels, docs.columns, id_col, text_col, lang_col, source_col).filter("accepted").select("row.*")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webcat.llm.common import checked_broadcast, saved
+from webcat.llm.common import checked_broadcast, saved, whole_row
 from webcat.llm.components import components
 
 RADIUS = 3
@@ -70,13 +70,13 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = [_signed(fingerprint(t.as_py())) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(values, pa.int64())], ["id", "tk", "fp"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the signed 64-bit fingerprint of every whole text; one pass, no shuffle."""
+    """(id, tk, fp): a hash of every whole text and its signed 64-bit fingerprint; one pass, no shuffle."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints, "id long, fp long")
+    return rows.withColumn("tk", F.xxhash64("text")).mapInArrow(_fingerprints, "id long, tk long, fp long")
 
 
 def _spanning(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +136,7 @@ def links(values: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: (id, fp, component): the smallest id that links reach, itself included."""
+    """One row per input row: (id, tk, fp, component): the smallest id that links reach, itself included."""
     rows = saved(fingerprints(docs, id_col, text_col), "simhash")
     classes = saved(rows.groupBy("fp").agg(F.min("id").alias("least")), "classes")
     roots = saved(components(links(classes.select("fp"))), "roots")
@@ -144,15 +144,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     known = known.select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = known.groupBy("root").agg(F.min("least").alias("component"))
     groups = saved(known.join(least, "root").select("fp", "component"), "groups")
-    return rows.join(groups, "fp").select("id", "fp", "component")
+    return rows.join(groups, "fp").select("id", "tk", "fp", "component")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's rows and columns, one document of each near group: that with the group's smallest id.
 
-    Rows that share an id are one document; all of them stay or go. Rows without an id stay.
+    Where rows share an id, each stays or goes with the group of its own text. Rows without an id stay. Columns may have any names.
     """
     groups = near_groups(docs, id_col, text_col)
-    losers = saved(groups.filter("id <> component").select(F.col("id").alias("_gone")).distinct(), "losers")
-    gone = checked_broadcast(losers, 32)
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    losers = saved(groups.filter("id <> component").select("id", "tk").distinct(), "losers")
+    rows = docs.select(
+        whole_row(docs), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("tk"))
+    return rows.join(checked_broadcast(losers, 48), ["id", "tk"], "left_anti").select("row.*")

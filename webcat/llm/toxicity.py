@@ -11,7 +11,7 @@ most ``SAMPLE_CHARS`` characters, a fifth of all ids left out. Thresholds come f
 any length, as counts by language and logit. Scoring reads every whole text once, in tasks, without a shuffle.
 
 Cases: null and empty texts score as texts without words do. Labels that are null or of unknown documents are left
-out. Without labels of both kinds every score is 0. Rows without a language use 0.5. Repeated rows score alike. Very
+out; an id with both labels counts as toxic. Without labels of both kinds every score is 0. Rows without a language use 0.5. Repeated rows score alike. Very
 long texts are scored piece by piece, their maxima combined. An empty table gives an empty result. Where too few rows are
 labelled, those trained on set the thresholds too.
 """
@@ -186,6 +186,9 @@ class Scorer:
                 parts.append(ids)
                 starts.append(at)
                 owner.append(i)
+                if a + PIECE < len(words):  # windows that begin in the overlap are the next piece's
+                    starts.append(at + PIECE)
+                    owner.append(-1)
                 at += len(ids)
         if not parts:
             return np.zeros(0)
@@ -193,7 +196,8 @@ class Scorer:
         used, local = np.unique(ids, return_inverse=True)
         maxima = convolve((self.vectors[used] @ self.kernel)[local], np.array(starts))
         whole = np.full((len(texts), maxima.shape[1]), -np.inf, np.float32)
-        np.maximum.at(whole, np.array(owner), maxima)
+        owner = np.array(owner)
+        np.maximum.at(whole, owner[owner >= 0], maxima[owner >= 0])
         return self.model.logits(whole)
 
 
@@ -267,7 +271,7 @@ def classify(
     docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
     """(id, score, threshold, flagged) for every row of ``docs``; labels (id_col, toxic) are learnt where ``may_learn``."""
-    known = labels.select(F.col(id_col).alias("_lid"), F.col("toxic").alias("_label")).filter("_label IN (0, 1)").dropDuplicates(["_lid"])
+    known = labels.filter("toxic IN (0, 1)").groupBy(F.col(id_col).alias("_lid")).agg(F.max("toxic").alias("_label"))
     rows = docs.select(
         F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
         F.coalesce(may_learn, F.lit(False)).alias("learn"), (F.length(text_or_empty(text_col)) <= SAMPLE_CHARS).alias("short"),
