@@ -362,3 +362,10 @@ def test_entities_are_decoded_once(value):
              "&eacute;&nope; & x;": "\u00e9&nope; & x;", "&#0;&#1114112;": "&#0;&#1114112;", "a&b": "a&b"}
     for text, want in cases.items():
         assert value(decode_entities(F.col("t")), t=text) == want
+
+
+def test_structured_data_takes_a_page_apart_once(page):
+    df = structured.structured_data(page("<meta name='keywords' content='k'><script type='application/ld+json'>{\"a\":1}</script>"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(html") == 1
+    assert (df.first().json_ld, df.first().meta_tags) == (['{"a":1}'], {"keywords": "k"})

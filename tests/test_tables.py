@@ -357,6 +357,18 @@ def test_html_directory(spark, tmp_path):
     (tmp_path / "deep" / "b.html").write_text("no")
     other = readers.read_pages(spark, str(tmp_path / "deep"), "html").filter("source_file = 'b.html'").first()
     assert other.page_id != got[0].page_id  # equal names in two folders
+    (tmp_path / "deep" / "d.html").write_bytes(b"<p>caf\xe9 \xff</p>")
+    (tmp_path / "deep" / "e.html").write_bytes(b"")
+    every = {(r.source_file, r.html, r.malformed) for r in readers.read_pages(spark, str(tmp_path), "html", recursive=True).collect()}
+    assert ("d.html", "<p>caf\ufffd \ufffd</p>", True) in every and ("b.html", "no", False) in every
+    assert {f for f, _, _ in every} >= {"b.html", "c.html", "d.html"} and len(every) >= 4
+
+
+def test_beans_without_a_source_file_are_not_gathered(spark):
+    beans = spark.createDataFrame([("a", 1, "x"), ("a", 0, "y")] + [(None, i, "z") for i in range(50)], "source_file string, idx int, name string")
+    docs = writers.processed_documents(beans, "t").collect()
+    assert {d.source_file: [b.name for b in d.coffee_beans] for d in docs if d.source_file} == {"a": ["y", "x"]}
+    assert sum(d.beans_found for d in docs if d.source_file is None) == 50 and max(d.beans_found for d in docs if d.source_file is None) == 1
 
 
 def test_read_documents(spark, tmp_path):

@@ -106,6 +106,12 @@ FRAMEWORK_CODE_MARKS = [
     "new Vue(", "Vue.createApp",
     "angular.module", "ng-app",
 ]
+FRAMEWORK_META_NAMES = ["next-head-count", "nuxt-ssr"]
+FRAMEWORK_GENERATOR = "gatsby"
+EMPTY_CONTAINER_CLASS = "app|root|container|content"
+ROOT_ID = "^(app|root|spa-root|react-root|__next)$"
+ROOT_CLASS = r"(^|\s)(app|application|spa-root)(\s|$)"
+MAIN_ROOT_ID = "^(app|main-app)$"
 LOADING_CLASS_WORDS = ["loading", "spinner", "skeleton", "placeholder", "lazy-load", "shimmer"]
 LOADING_TEXTS = ["loading...", "please wait", "fetching data"]
 JS_WEIGHTS = {

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from webcat.functions import html as H
 from webcat.functions.text import WORD_BREAK, contains_any, let, strip
 from webcat.functions.vocab import (
+    EMPTY_CONTAINER_CLASS,
     FRAMEWORK_CODE_MARKS,
+    FRAMEWORK_GENERATOR,
+    FRAMEWORK_META_NAMES,
     FRAMEWORK_SCRIPT_NAMES,
     JS_CONSERVATIVE_SCORE,
     JS_MIN_SCORE,
@@ -18,8 +21,11 @@ from webcat.functions.vocab import (
     JS_WEIGHTS,
     LOADING_CLASS_WORDS,
     LOADING_TEXTS,
+    MAIN_ROOT_ID,
     NOSCRIPT_PHRASES,
     STATIC_WEIGHTS,
+    ROOT_CLASS,
+    ROOT_ID,
 )
 
 FEATURES = [*JS_WEIGHTS, *STATIC_WEIGHTS]
@@ -116,7 +122,7 @@ def _features(q: Column) -> Column:
         elements,
         lambda e: e["tag"].isin("div", "main", "section")
         & _inside(body, e["pos"])
-        & F.regexp_like(_attr(e, "class"), F.lit("app|root|container|content"))
+        & F.regexp_like(_attr(e, "class"), F.lit(EMPTY_CONTAINER_CLASS))
         & (H.between(q["telling"], e["pos"], e["end_pos"]) == 0)
         & (H.between(q["shown"], e["pos"], e["end_pos"]) < 3),
     )
@@ -132,8 +138,8 @@ def _features(q: Column) -> Column:
             elements,
             lambda e: (e["tag"] == "meta")
             & (
-                _attr(e, "name").isin("next-head-count", "nuxt-ssr")
-                | ((_attr(e, "name") == "generator") & F.contains(F.lower(_attr(e, "content")), F.lit("gatsby")))
+                _attr(e, "name").isin(FRAMEWORK_META_NAMES)
+                | ((_attr(e, "name") == "generator") & F.contains(F.lower(_attr(e, "content")), F.lit(FRAMEWORK_GENERATOR)))
             ),
         )
         | contains_any(code, FRAMEWORK_CODE_MARKS)
@@ -148,11 +154,11 @@ def _features(q: Column) -> Column:
         return F.coalesce(let(first, hollow), F.lit(False))
 
     root = (
-        first_is_hollow("div", lambda e: F.regexp_like(_attr(e, "id"), F.lit("^(app|root|spa-root|react-root|__next)$")))
+        first_is_hollow("div", lambda e: F.regexp_like(_attr(e, "id"), F.lit(ROOT_ID)))
         | first_is_hollow(
-            "div", lambda e: F.regexp_like(_attr(e, "class"), F.lit(r"(^|\s)(app|application|spa-root)(\s|$)"))
+            "div", lambda e: F.regexp_like(_attr(e, "class"), F.lit(ROOT_CLASS))
         )
-        | first_is_hollow("main", lambda e: F.regexp_like(_attr(e, "id"), F.lit("^(app|main-app)$")))
+        | first_is_hollow("main", lambda e: F.regexp_like(_attr(e, "id"), F.lit(MAIN_ROOT_ID)))
     )
     loading = F.exists(elements, lambda e: contains_any(F.lower(_attr(e, "class")), LOADING_CLASS_WORDS)) | contains_any(
         F.lower(F.array_join(texts, "")), LOADING_TEXTS

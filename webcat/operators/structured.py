@@ -28,12 +28,12 @@ def _attr_is(e: Column, name: str, value: str) -> Column:
 
 # --- JSON-LD -----------------------------------------------------------------------------------
 
-def _json_ld_array(html: Column) -> Column:
-    """array<struct<pos, item (JSON text)>> of the page's JSON-LD items, invalid scripts skipped.
+def _json_ld_array(tokens: Column) -> Column:
+    """Tokens of a page -> array<struct<pos, item (JSON text)>> of its JSON-LD items, invalid scripts skipped.
 
     A repeated key (the last value counts) or a NaN (a text then) does not make a script invalid.
     """
-    numbered = F.transform(H.tokens(html), lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
+    numbered = F.transform(tokens, lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
     scripts = F.filter(
         numbered,
         lambda t: F.regexp_like(t["token"], F.lit(r"(?i)^<script\b"))
@@ -60,7 +60,7 @@ def _json_ld_array(html: Column) -> Column:
 
 def json_ld_items(pages: DataFrame) -> DataFrame:
     """One row per JSON-LD item: (page_id, item_no, pos, type, item)."""
-    return allow_repeated_keys(pages).select("page_id", F.posexplode(_json_ld_array(F.col("html"))).alias("item_no", "i")).select(
+    return allow_repeated_keys(pages).select("page_id", F.posexplode(_json_ld_array(H.tokens(F.col("html")))).alias("item_no", "i")).select(
         "page_id", "item_no", "i.pos", F.get_json_object("i.item", "$.@type").alias("type"), "i.item"
     )
 
@@ -139,9 +139,9 @@ def microdata_items(pages: DataFrame) -> DataFrame:
 
 # --- meta tags ---------------------------------------------------------------------------------
 
-def _open_tags(html: Column, tag: str) -> Column:
-    """Attributes of every open tag of one name: array<array<struct<name, value>>>. Needs no spans."""
-    found = F.filter(H.tokens(html), lambda t: F.regexp_like(t, F.lit(rf"(?i)^<{tag}[\s/>]")))
+def _open_tags(tokens: Column, tag: str) -> Column:
+    """Attributes of every open tag of one name among a page's tokens: array<array<struct<name, value>>>. Needs no spans."""
+    found = F.filter(tokens, lambda t: F.regexp_like(t, F.lit(rf"(?i)^<{tag}[\s/>]")))
     return F.transform(found, H.attributes)
 
 
@@ -190,7 +190,7 @@ def _opengraph_array(metas: Column) -> Column:
 
 
 def _meta_rows(pages: DataFrame, pick) -> DataFrame:
-    rows = let(_open_tags(F.col("html"), "meta"), pick)
+    rows = let(_open_tags(H.tokens(F.col("html")), "meta"), pick)
     return pages.select("page_id", F.explode(rows).alias("m")).select("page_id", "m.name", "m.content")
 
 
@@ -364,9 +364,9 @@ def structured_data(pages: DataFrame) -> DataFrame:
     def parts(p: Column) -> Column:
         return F.struct(
             intercepted.alias("intercepted"),
-            F.transform(_json_ld_array(F.col("html")), lambda i: i["item"]).alias("own"),
+            F.transform(_json_ld_array(p["toks"]["token"]), lambda i: i["item"]).alias("own"),
             _microdata_array(p["elements"], p["pieces"]).alias("microdata"),
-            let(_open_tags(F.col("html"), "meta"), lambda m: F.struct(
+            let(_open_tags(p["toks"]["token"], "meta"), lambda m: F.struct(
                 F.map_from_entries(_meta_array(m)).alias("meta"), F.map_from_entries(_opengraph_array(m)).alias("og")
             )).alias("tags"),
             F.transform(_product_array(p["elements"], p["pieces"]), lambda x: x["product"]).alias("products"),

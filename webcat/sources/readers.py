@@ -10,20 +10,22 @@ from webcat.schemas import CATALOG, LINKS_DOCUMENT, PROCESSED_DOCUMENT, SITE_SUM
 SITE_METADATA = [n for n in LINKS_DOCUMENT["discovery_metadata"].dataType.fieldNames() if n not in ("part", "first_entry")]
 
 
-def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+def read_pages(spark: SparkSession, path: str, format: str = "parquet", recursive: bool = False) -> DataFrame:
     """A page table; or with format ``html`` the ``*.html`` files of a directory, one row per file.
 
     A file has no address of its own: ``page_id`` is the hash of its full path, so equal names in two folders
-    stay apart, and ``url`` its name. The directory is not read recursively.
+    stay apart, and ``url`` its name. Folders below the directory are read only if ``recursive``. Bytes that are not UTF-8
+    become replacement characters; the file keeps its row, and ``malformed`` tells of it.
     """
     if format != "html":
         return spark.read.format(format).load(path)
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.html", recursiveFileLookup=False)
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.html", recursiveFileLookup=recursive)
     return files.select(
         F.xxhash64(F.col("_metadata.file_path")).alias("page_id"),
         F.col("_metadata.file_name").alias("url"),
-        F.col("value").alias("html"),
+        F.make_valid_utf8("value").alias("html"),
         F.col("_metadata.file_name").alias("source_file"),
+        (~F.is_valid_utf8("value")).alias("malformed"),
     )
 
 

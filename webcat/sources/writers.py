@@ -158,10 +158,12 @@ def write_summaries(links: DataFrame, pages: DataFrame, path: str, status: str =
 def processed_documents(beans: DataFrame, processed_at: str) -> DataFrame:
     """Bean rows -> one document per source file, beans in payload order.
 
-    Grouped by source file: a document holds the beans of one page and is as large as that page's payload.
+    Grouped by source file: a document holds the beans of one page and is as large as that page's payload. Rows without a
+    source file have no page in common: each makes a document of its own, equal rows share one.
     """
     entry = F.struct(*[c for c in beans.columns if c not in ("source_file", "idx", "error")])
-    docs = beans.groupBy("source_file").agg(
+    apart = F.when(F.col("source_file").isNull(), F.xxhash64(*beans.columns)).alias("apart")
+    docs = beans.groupBy("source_file", apart).agg(
         F.array_sort(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", entry.alias("bean"))))).alias("b"),
         *([F.max("error").alias("error")] if "error" in beans.columns else []),
     )
