@@ -155,7 +155,7 @@ def train(texts: list[str], labels: list[int], seed: int = 0) -> Model:
 
 
 class Scorer:
-    """Maxima and logits of texts, with a table of the word vectors met so far."""
+    """Maxima and logits of texts, with a table of what the filters make of the words met so far."""
 
     def __init__(self, model: Model) -> None:
         self.model, self.kernel = model, model.kernel()
@@ -163,15 +163,19 @@ class Scorer:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.vectors = np.zeros((1, DIM), np.float32)  # row 0: beyond the text
+        self.table = np.zeros((1024, self.kernel.shape[1]), np.float32)  # row 0: beyond the text
 
     def _rows(self, words: list[str]) -> np.ndarray:
         new = [w for w in dict.fromkeys(words) if w not in self.index]
         if new:
-            base = len(self.vectors)
-            self.index.update(zip(new, range(base, base + len(new))))
-            fresh = self.model.embedding[np.array([features(w) for w in new])].sum(axis=1)
-            self.vectors = np.concatenate((self.vectors, fresh))
+            base = len(self.index) + 1
+            end = base + len(new)
+            if end > len(self.table):
+                grown = np.zeros((max(end, 2 * len(self.table)), self.table.shape[1]), np.float32)
+                grown[:base] = self.table[:base]
+                self.table = grown
+            self.index.update(zip(new, range(base, end)))
+            self.table[base:end] = self.model.embedding[np.array([features(w) for w in new])].sum(axis=1) @ self.kernel
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
     def logits(self, texts: list[str]) -> np.ndarray:
@@ -193,8 +197,7 @@ class Scorer:
         if not parts:
             return np.zeros(0)
         ids = np.concatenate(parts)
-        used, local = np.unique(ids, return_inverse=True)
-        maxima = convolve((self.vectors[used] @ self.kernel)[local], np.array(starts))
+        maxima = convolve(self.table[ids], np.array(starts))
         whole = np.full((len(texts), maxima.shape[1]), -np.inf, np.float32)
         owner = np.array(owner)
         np.maximum.at(whole, owner[owner >= 0], maxima[owner >= 0])
