@@ -4,7 +4,9 @@ import hashlib
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -125,38 +127,77 @@ def distance(a, b):
     return row[-1]
 
 
+def near_pairs(texts, similarity=0.8):
+    """All pairs of different normalised lines by edit similarity alone."""
+    norm = {re.sub(r"[\W_]+", " ", x.lower()).strip() for t in texts for x in (t or "").split("\n")} - {""}
+    rows = pd.DataFrame({"line": sorted(norm)})  # noqa: F841
+    found = duckdb.sql(
+        f"SELECT a.line, b.line FROM rows a JOIN rows b ON a.line < b.line AND levenshtein(a.line, b.line) <= "
+        f"round({1 - similarity} * greatest(length(a.line), length(b.line)), 6)")
+    return norm, found.fetchall()
+
+
 def test_line_dedup_against_brute_force(spark):
     base = "the committee will publish its seventeenth quarterly statement about regional water supplies tomorrow morning "
-    texts = [f"{base * 3}number {w}\nunique opening words of document {w * 3}\n\n--" for w in ("alpha", "alphb", "alphc", "omega")]
+    texts = [f"{base * 2}number {w}\nunique opening words of document {w * 3}\n\n--" for w in ("alpha", "alphb", "alphc", "omega")]
     texts += ["short line\nShort, LINE!\nshort line", texts[0], "", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    seen = lines.occurrences(docs, "doc_id", "text").collect()
-    of = {(r["id"], r["line_no"]): r for r in seen}
-    norm = {k: " ".join(re.findall(r"\w+", texts[k[0]].split("\n")[k[1]].lower())) for k in of}
-    links = [(of[p]["h"], of[q]["h"]) for p in of for q in of
-             if (of[p]["fp"] ^ of[q]["fp"]).bit_count() <= 3 and distance(norm[p], norm[q]) <= 0.2 * max(len(norm[p]), len(norm[q]))]
-    root = union(links)
+    root = union(near_pairs(texts)[1])
     keep = {}
-    for k in sorted(of, key=lambda k: (k[0], of[k]["tk"], k[1])):
-        keep.setdefault(root[of[k]["h"]], k)
-    want = [None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in of or keep[root[of[i, n]["h"]]] == (i, n))
-            for i, t in enumerate(texts)]
+    places = [(i, n, re.sub(r"[\W_]+", " ", x.lower()).strip()) for i, t in enumerate(texts) for n, x in enumerate((t or "").split("\n"))]
+    for i, n, line in places:
+        if line:
+            keep.setdefault(root.get(line, line), (i, n))
+    want = [None if t is None else "\n".join(
+        x for (j, n, line), x in zip([q for q in places if q[0] == i], t.split("\n"))
+        if not line or keep[root.get(line, line)] == (j, n)) for i, t in enumerate(texts)]
     got = {r["doc_id"]: r["text"] for r in lines.deduplicate_lines(docs).collect()}
     assert [got[i] for i in range(len(texts))] == want
-    assert len(keep) < len(of) - 3
+    assert len(keep) < 8
+
+
+def edited(rng, words):
+    """One to three words changed by a letter, replaced, left out or put in, more of them in longer lines."""
+    words = list(words)
+    for _ in range(int(rng.integers(1, 2 + len(words) // 15))):
+        at, kind = int(rng.integers(len(words))), rng.integers(4)
+        other = "".join(rng.choice(list("abcdefghijklmnop"), 6))
+        if kind == 0:
+            words[at] = words[at][:-1] + "q"
+        elif kind == 1:
+            words[at] = other
+        elif kind == 2 and len(words) > 5:
+            del words[at]
+        else:
+            words.insert(at, other)
+    return words
+
+
+def test_line_candidates_find_edited_lines(spark):
+    rng = np.random.default_rng(11)
+    made = []
+    for k in range(150):
+        words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 9))) for _ in range(rng.integers(5, 45))]
+        made += [" ".join(words), " ".join(edited(rng, words))]
+    norm, truth = near_pairs(made)
+    assert len(truth) > 100
+    keys = {r["line"]: set(r["k"]) for r in spark.createDataFrame([(x,) for x in norm], "line string").select(
+        "line", lines.line_keys(F.col("line")).alias("k")).collect()}
+    found = sum(bool(keys[a] & keys[b]) for a, b in truth)
+    assert found >= 0.9 * len(truth)
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in lines.deduplicate_lines(docs).collect()}
+    linked = {x for pair in truth for x in pair}
+    assert all(made[i] in linked or made.index(made[i]) < i for i in got if not got[i])
+    assert sum(not t for t in got.values()) >= 0.9 * len(truth)
 
 
-def test_near_keys_miss_no_pair(spark, monkeypatch):
-    monkeypatch.setattr(lines, "BUCKET", 5)
-    rng = np.random.default_rng(5)
-    centre = int(rng.integers(0, 1 << 62))
-    values = sorted({centre ^ sum({1 << int(b) for b in p}) for p in rng.integers(0, 63, (120, 3))})
-    rows = lines.shared_keys(spark.createDataFrame([(v,) for v in values], "fp long")).collect()
-    buckets = {}
-    for r in rows:
-        buckets.setdefault((r["mask"], r["key"]), set()).add(r["fp"])
-    met = {(a, b) for s in buckets.values() for a in s for b in s if a < b}
-    assert {(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 3} <= met
+def test_line_keys_of_odd_lines(spark):
+    odd_lines = ["a", "abcd", "word " * 50_000 + "end", " ".join(f"word{i}" for i in range(60_000)), "\u4e2d\u6587" * 40, "x" * 100_000]
+    rows = spark.createDataFrame([(x,) for x in odd_lines], "line string").select(F.size(lines.line_keys(F.col("line"))).alias("n")).collect()
+    sizes = [r["n"] for r in rows]
+    assert sizes[0] == 0 and all(n > 0 for n in sizes[1:])
+    assert sizes[3] > 10_000 and sizes[2] < 10
 
 
 def test_line_dedup_odd_rows_and_plan(odd, empty):
