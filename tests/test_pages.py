@@ -369,3 +369,18 @@ def test_structured_data_takes_a_page_apart_once(page):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(html") == 1
     assert (df.first().json_ld, df.first().meta_tags) == (['{"a":1}'], {"keywords": "k"})
+
+
+# --- work that follows the page, not the file it is in ------------------------------------------
+
+def test_pages_of_a_small_file_are_dealt_over_the_tasks(spark):
+    from webcat.plans.inputs import product_pages
+
+    before = spark.conf.get("webcat.input.partitions")
+    spark.conf.unset("webcat.input.partitions")
+    try:
+        pages = product_pages(spark, "/root/testdata/sf0.001")
+        assert pages.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert pages.groupBy(F.spark_partition_id()).count().count() > 1
+    finally:
+        spark.conf.set("webcat.input.partitions", before)

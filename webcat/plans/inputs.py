@@ -27,6 +27,18 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(int(wanted), key) if wanted else df
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Narrow rows from which much is made, dealt anew in any session.
+
+    A small file of many rows is read by one task or two, which would do all the work on them. The number is given, as
+    adaptive execution would join small partitions again, and no key is, as it may repeat.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("webcat.input.partitions", None):
+        return spread(df, key)
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def given_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "pages"), "page_id")
 
@@ -49,7 +61,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every seventh page is an empty shell that needs JavaScript; the others show the product.
     """
-    part = spread(
+    part = dealt(
         table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"), "p_partkey"
     )
     k = F.col("p_partkey")
