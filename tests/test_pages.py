@@ -384,3 +384,10 @@ def test_pages_of_a_small_file_are_dealt_over_the_tasks(spark):
         assert pages.groupBy(F.spark_partition_id()).count().count() > 1
     finally:
         spark.conf.set("webcat.input.partitions", before)
+
+
+@pytest.mark.parametrize("method, kept", [("css", 2), ("comment", 1), ("meta", 1), ("json_ld", 1), ("area", 0)])
+def test_a_method_takes_only_its_own_tokens_apart(page, method, kept):
+    html = "<style>a{}</style><p style='b:c'>x</p><!-- /d --><link rel=next href=e><script>f()</script><a href=g>h</a>"
+    found = page(html).select(F.size(links._tokens_of_interest(F.col("html"), [method])).alias("n"))
+    assert found.first()["n"] == kept

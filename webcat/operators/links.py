@@ -170,6 +170,15 @@ _ATTRIBUTE_OF_INTEREST = (
 )
 
 
+#: A token without these holds nothing for the method. Names are compared after lower-casing, hence the Unicode flag.
+_HINTS = {
+    "anchor": r"^<a[\s/>]|aria-label", "area": r"^<area[\s/>]", "form": r"^<form[\s/>]",
+    "data_attribute": "|".join(DATA_LINK_ATTRIBUTES), "javascript": r"^<script\b|" + "|".join(EVENT_ATTRIBUTES),
+    "css": "style", "microdata": "item(?:id|type|prop)", "meta": r"^<(?:meta|link)[\s/>]", "json_ld": r"^<script\b",
+    "comment": "^<!--",
+}
+
+
 def _no_refs() -> Column:
     return F.array().cast("array<struct<rank:int,raw:string>>")
 
@@ -218,21 +227,25 @@ def _header_refs(headers: Column) -> Column:
     return _ranked("http_header", F.transform(wanted, lambda m: F.regexp_extract(m, HEADER_LINK_PATTERN, 1)))
 
 
-def _tokens_of_interest(html: Column) -> Column:
-    """array<struct<pos, kind, tag, token, attrs>> of the tokens that can hold a reference."""
+def _tokens_of_interest(html: Column, methods: list[str]) -> Column:
+    """array<struct<pos, kind, tag, token, attrs>> of the tokens that can hold a reference for one of the methods."""
     numbered = F.transform(H.tokens(html), lambda t, i: F.struct(i.alias("pos"), t.alias("token")))
-    some = F.filter(
-        numbered,
-        lambda t: F.startswith(t["token"], F.lit("<"))
-        & (F.substring(t["token"], 2, 1) != "/")
-        & (F.regexp_like(t["token"], F.lit(_TOKEN_OF_INTEREST)) | F.regexp_like(t["token"], F.lit(_ATTRIBUTE_OF_INTEREST))),
-    )
+    hints = [h for m, h in _HINTS.items() if m in methods]
+    read = ["open", "script"] if "json_ld" in methods else ["open"]
+
+    def telling(t: Column) -> Column:
+        some = F.startswith(t, F.lit("<")) & (F.substring(t, 2, 1) != "/")
+        if len(hints) < len(_HINTS):
+            some = some & F.regexp_like(t, F.lit("(?iu)" + "|".join(hints)))
+        return some & (F.regexp_like(t, F.lit(_TOKEN_OF_INTEREST)) | F.regexp_like(t, F.lit(_ATTRIBUTE_OF_INTEREST)))
+
+    some = F.filter(numbered, lambda t: telling(t["token"]))
     kinds = F.transform(
         some, lambda t: F.struct(t["pos"].alias("pos"), H.token_kind(t["token"]).alias("kind"), t["token"].alias("token"))
     )
     return F.transform(kinds, lambda t: F.struct(
         t["pos"].alias("pos"), t["kind"].alias("kind"), H.token_tag(t["token"], t["kind"]).alias("tag"), t["token"].alias("token"),
-        F.when(t["kind"].isin("open", "script"), H.attributes(t["token"])).alias("attrs"),
+        F.when(t["kind"].isin(read), H.attributes(t["token"])).alias("attrs"),
     ))
 
 
@@ -260,9 +273,12 @@ def page_links(html: Column, url: Column, headers: Column | None, profile: LinkP
                 base["host"].alias("host"),
             ))
 
-        seen = F.flatten(F.transform(
-            _tokens_of_interest(html), lambda t: found(t["pos"], _candidates(t, base["host"], methods))
-        ))
+        if any(m in _HINTS for m in methods):
+            seen = F.flatten(F.transform(
+                _tokens_of_interest(html, methods), lambda t: found(t["pos"], _candidates(t, base["host"], methods))
+            ))
+        else:
+            seen = found(F.lit(0), _no_refs())  # none of the methods reads the page
         if headers is not None and "http_header" in methods:
             seen = F.concat(F.coalesce(seen, found(F.lit(0), _no_refs())), found(F.lit(0), _header_refs(headers)))
         return let(F.sort_array(seen), lambda s: F.filter(
