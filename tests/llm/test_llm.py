@@ -209,6 +209,20 @@ def test_line_dedup_odd_rows_and_plan(odd, empty):
     assert not re.search("Python|Arrow|Pandas", got._jdf.queryExecution().toString())
 
 
+def test_long_candidates_link_by_their_distance_alone(spark):
+    """A letter of every word is changed: the lines share no word, and 0.875 of their letters."""
+    one = " ".join("abcdefg" + chr(ord("h") + i) for i in range(18))
+    two = " ".join("xbcdefg" + chr(ord("h") + i) for i in range(18))
+    far = " ".join("xyzdefg" + chr(ord("h") + i) for i in range(18))
+    docs = spark.createDataFrame([(1, one), (2, two), (3, far)], "doc_id long, text string")
+    seen = lines.occurrences(docs, "doc_id", "text")
+    firsts = seen.groupBy("h").agg(F.min(F.struct("id", "tk", "line_no")).alias("first"))
+    a, b = (seen.select(F.col("id").alias(f"id_{c}"), F.col("h").alias(c)) for c in "ab")
+    pairs = a.join(b, F.col("id_a") < F.col("id_b"))
+    links = lines._verified(docs, firsts, pairs.select("a", "b"), "doc_id", "text")
+    assert {(r["id_a"], r["id_b"]) for r in pairs.join(links, ["a", "b"]).collect()} == {(1, 2)}
+
+
 # --- 2: mixing -----------------------------------------------------------------------------------
 
 def test_mixing_means_and_determinism(spark):
