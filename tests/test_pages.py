@@ -1,4 +1,5 @@
 import html as stdlib_html
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -391,3 +392,46 @@ def test_a_method_takes_only_its_own_tokens_apart(page, method, kept):
     html = "<style>a{}</style><p style='b:c'>x</p><!-- /d --><link rel=next href=e><script>f()</script><a href=g>h</a>"
     found = page(html).select(F.size(links._tokens_of_interest(F.col("html"), [method])).alias("n"))
     assert found.first()["n"] == kept
+
+
+@pytest.mark.parametrize("html, walked", [
+    ("<div><p>a</p><p>b<i>c</i></p><br></div>", 0), ("<ul><li>a<li>b</ul><p>c</p>", 4), ("<a><b></a></b><i></i>", 4),
+    ("<a><b><c><d><e></e></d></c></b></a>", 4), ("</a><b>", 2),
+])
+def test_only_what_the_leaves_leave_is_walked(page, monkeypatch, html, walked):
+    monkeypatch.setattr(H, "_walk", lambda left, n: F.transform(left, lambda e: F.struct(
+        F.lit(-1).alias("pos"), e["pos"].alias("end_pos"), e["tag"].alias("tag"))))
+    spans = H.element_spans(F.col("toks"))
+    df = page(html).select(H.classified(H.tokens(F.col("html"))).alias("toks"))
+    assert sum(s["pos"] == -1 for s in df.select(spans.alias("s")).first()["s"]) == walked
+
+
+def test_classified_tokens_are_those_of_each_token(spark):
+    odd = ["a > b", "<", "<>", "< a>", "<!-- x -->", "<!doctype html>", "<?x?>", "</>", "</ a>", "</A b>", "<A/>", "<p", "</p", "<scripty>",
+           "<script>x</script>", "<SCRIPT src=a>", "<style-x>", "<style", "<\u212a x>", "<\u0130>", "<a\nb='>'>", "", "<!-->", "<1>"]
+    df = spark.createDataFrame([(odd,)], "t array<string>").select(F.explode(H.classified(F.col("t"))).alias("c")).select("c.*")
+    kind = H.token_kind(F.col("token"))
+    rows = df.select("kind", "tag", kind.alias("k"), H.token_tag(F.col("token"), kind).alias("g"), "token").collect()
+    assert [r.token for r in rows] == odd
+    assert [(r.kind, r.tag) for r in rows] == [(r.k, r.g) for r in rows]
+
+
+def test_attributes_of_odd_tags(spark):
+    body = r"""[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
+    odd = [" a=b", " a = \"x'y\" c", " a='x\"y'd=e", " a=\"\" b=''", " a=\"open b=c", " a=b\"c\" d", " a= b=c=d", " =x y", " a/b=c/d", " A=1 a=2 B",
+           " a='&amp;x' b=&lt;", " a=\n'b\nc'", "/", " a=\"b\"\"c\"", " a='b\"c", " a=/x/y?z=1"]
+    def plain(text):
+        found = {}
+        for part in re.findall(body, text):
+            name, _, value = part.partition("=")
+            value = value.strip() if _ else ""
+            found.pop(name.strip().lower(), None)
+            found[name.strip().lower()] = value[1:-1] if value[:1] in ("'", '"') else value
+        return [(n, v.replace("&amp;", "&").replace("&lt;", "<")) for n, v in found.items()]
+    df = spark.createDataFrame([(t,) for t in odd], "t string").coalesce(1)
+    got = df.select(H.attributes(F.concat(F.lit("<x"), "t", F.lit(">"))).alias("a")).collect()
+    cut = [t for t in odd if t.count('"') % 2 or t.count("'") % 2]
+    for text, row in zip(odd, got):
+        if text not in cut:
+            assert [(a["name"], a["value"]) for a in row["a"]] == plain(text), text
+    assert [len(r["a"]) for r in df.select(H.attributes(F.lit("<x>")).alias("a")).collect()] == [0] * len(odd)

@@ -6,6 +6,8 @@ works on a stream. Only tag and text tokens are produced here; meaning is given
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,7 +25,10 @@ TOKEN = (
     r"""|<[a-z/!?][^>]*>"""
     r"""|<?[^<]+(?:<[^a-z/!?<][^<]*)*+"""
 )
-ATTRIBUTE = r"""[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
+# Group 1 is the name, group 2 the value without its quotes; a quote before it without one behind leaves the name alone.
+ATTRIBUTE = r"""([^\s"'<>/=]+)(?:\s*=\s*["']?((?<=")[^"]*(?=")|(?<=')[^']*(?=')|(?<!["'])[^\s"'>]+)["']?)?"""
+# '<' or '</' with the tag name; a bare '<' where no name follows
+_HEAD = r"(?i)^(?:</?[a-z][^\s/>]*|<)"
 # html.parser never treats these as containers here: their content is a single token
 RAW_TAGS = ["script", "style"]
 
@@ -61,12 +66,26 @@ def token_tag(token: Column, kind: Column) -> Column:
 
 def classified(token_array: Column) -> Column:
     """array<string> -> array<struct<kind, tag, token>>."""
-    kinds = F.transform(token_array, lambda t: F.struct(token_kind(t).alias("kind"), t.alias("token")))
-    return F.transform(
-        kinds,
-        lambda t: F.struct(
-            t["kind"].alias("kind"), token_tag(t["token"], t["kind"]).alias("tag"), t["token"].alias("token")
-        ),
+    headed = F.transform(token_array, lambda t: F.struct(
+        F.when(F.startswith(t, F.lit("<")), F.lower(F.regexp_extract(t, _HEAD, 0))).otherwise("").alias("head"), t.alias("token")
+    ))
+    return F.transform(headed, lambda t: _classified(t["head"], t["token"]))
+
+
+def _classified(head: Column, token: Column) -> Column:
+    """The kind and tag of a token. Text and ordinary tags show them by their heads; the others are looked at closely."""
+    def found(kind: Column, tag: Column) -> Column:
+        return F.struct(kind.alias("kind"), tag.alias("tag"), token.alias("token"))
+
+    whole = F.endswith(token, F.lit(">"))
+    raw = F.startswith(head, F.lit("<script")) | F.startswith(head, F.lit("<style"))
+    size = F.length(head)
+    closing = F.startswith(head, F.lit("</"))
+    return (
+        F.when(size == 0, found(F.lit("text"), F.lit(None).cast("string")))
+        .when((size > 1) & closing & whole, found(F.lit("close"), F.substr(head, F.lit(3))))
+        .when((size > 1) & ~closing & whole & ~raw, found(F.lit("open"), F.substr(head, F.lit(2))))
+        .otherwise(found(token_kind(token), token_tag(token, token_kind(token))))
     )
 
 
@@ -77,26 +96,13 @@ def attributes(token: Column) -> Column:
     """
     body = F.regexp_replace(F.regexp_extract(token, r"""^(<[a-zA-Z][^'">]*(?:"[^"]*"[^'">]*|'[^']*'[^'">]*)*+)""", 1),
                             r"^<[a-zA-Z][^\s/>]*", "")
-    parts = F.regexp_extract_all(body, F.lit(ATTRIBUTE), F.lit(0))
-    raw = F.transform(
-        parts,
-        lambda a: F.struct(
-            F.lower(F.regexp_extract(a, r"^([^\s=]+)", 1)).alias("name"),
-            F.when(F.contains(a, F.lit("=")), F.regexp_replace(a, r"^[^=]*=\s*", "")).otherwise("").alias("value"),
-        ),
-    )
-    return F.transform(
-        let(raw, _last_of_each_name),
-        lambda a: F.struct(
-            a["name"].alias("name"),
-            decode_entities(
-                F.when(
-                    F.startswith(a["value"], F.lit('"')) | F.startswith(a["value"], F.lit("'")),
-                    F.substr(a["value"], F.lit(2), F.length(a["value"]) - 2),
-                ).otherwise(a["value"])
-            ).alias("value"),
-        ),
-    )
+    pairs = let(body, lambda b: F.zip_with(
+        F.regexp_extract_all(b, F.lit(ATTRIBUTE), F.lit(1)), F.regexp_extract_all(b, F.lit(ATTRIBUTE), F.lit(2)),
+        lambda name, value: F.struct(F.lower(name).alias("name"), decode_entities(value).alias("value")),
+    ))
+    # nothing follows the name of a tag without any of these
+    none = F.array().cast("array<struct<name:string,value:string>>")
+    return F.when(~F.regexp_like(token, F.lit(r"""[\s/"']""")), none).otherwise(let(pairs, _last_of_each_name))
 
 
 def _last_of_each_name(attrs: Column) -> Column:
@@ -106,7 +112,7 @@ def _last_of_each_name(attrs: Column) -> Column:
         )
         return F.when(F.size(F.array_distinct(names)) < F.size(names), last).otherwise(attrs)
 
-    return let(F.transform(attrs, lambda a: a["name"]), kept)
+    return let(attrs["name"], kept)
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -152,17 +158,16 @@ def element_spans(toks: Column) -> Column:
     """
     events = F.transform(
         toks,
-        lambda t, i: F.struct(
+        lambda t, i: F.when(t["kind"].isin("open", "close"), F.struct(
             i.alias("pos"),
             t["tag"].alias("tag"),
             F.when(t["kind"] == "close", "close")
-            .when(t["kind"] != "open", "none")
             .when(t["tag"].isin(VOID_TAGS) | F.endswith(t["token"], F.lit("/>")), "single")
             .otherwise("open")
             .alias("event"),
-        ),
+        )),
     )
-    return let(events, lambda bound: _spans_of_events(bound, F.size(toks)))
+    return let(F.filter(events, lambda e: e.isNotNull()), lambda bound: _spans_of_events(bound, F.size(toks)))
 
 
 def _spans_of_events(events: Column, n_tokens: Column) -> Column:
@@ -172,9 +177,33 @@ def _spans_of_events(events: Column, n_tokens: Column) -> Column:
     )
     # a closing void tag never finds an open one on the stack
     walked = let(
-        F.filter(events, lambda e: e["event"].isin("open", "close")), lambda paired: _walk(paired, n_tokens)
+        F.filter(events, lambda e: e["event"] != "single"), lambda paired: _leaves_first(paired, n_tokens, _LEAF_ROUNDS)
+    )
+    return F.sort_array(F.concat(walked, singles))
+
+
+# Most elements hold no others, or only such: these rounds take them off, and the fold walks what is left.
+_LEAF_ROUNDS = 3
+
+
+def _leaves_first(paired: Column, n_tokens: Column, rounds: int) -> Column:
+    """Spans of the opening and closing tags of a page, those of elements without open or closed ones inside first.
+
+    An opening tag is ended by the closing tag of its name that comes next, whatever is open around it; without both
+    the stack is the same for all others.
+    """
+    if rounds == 0:
+        return _walk(paired, n_tokens)
+
+    def ended(a: Column, b: Column) -> Column:
+        return F.coalesce((a["event"] == "open") & (b["event"] == "close") & (a["tag"] == b["tag"]), F.lit(False))
+
+    leaves = F.transform(paired, lambda e, i: F.when(ended(e, F.get(paired, i + 1)), F.struct(
+        e["pos"].alias("pos"), F.get(paired, i + 1)["pos"].alias("end_pos"), e["tag"].alias("tag"))))
+    rest = F.filter(paired, lambda e, i: ~ended(e, F.get(paired, i + 1)) & ~ended(F.get(paired, i - 1), e))
+    return F.concat(
+        F.filter(leaves, lambda s: s.isNotNull()), let(rest, lambda left: _leaves_first(left, n_tokens, rounds - 1))
     )
-    return F.array_sort(F.concat(walked, singles))
 
 
 # A fold copies its state with every event. So events are walked in blocks: within a block the state holds the top of the
@@ -336,20 +365,25 @@ def between(rank: Column, pos: Column, end_pos: Column) -> Column:
 
 
 def page(html: Column, *, attrs: bool = False) -> Column:
-    """A page taken apart: struct<toks, spans, texts, pieces[, elements]>.
+    """A page taken apart, as ``with_page`` binds it. An expression that reads parts of it is better given to that."""
+    return with_page(html, lambda p: p, attrs=attrs)
+
+
+def with_page(html: Column, body: Callable[[Column], Column], *, attrs: bool = False) -> Column:
+    """``body(p)`` of a page taken apart once, p being struct<toks, spans, texts, pieces[, elements]>.
 
     ``toks`` are its tokens, ``spans`` its elements, ``texts`` the decoded text per token position and
-    ``pieces`` the same stripped; with ``attrs`` the ``elements`` are the spans with their attributes. Bind
-    it with ``let``: the arrays are read many times over.
+    ``pieces`` the same stripped; with ``attrs`` the ``elements`` are the spans with their attributes. They are bound here
+    and not given back, as the result of a binding is copied with all its arrays.
     """
     def with_spans(toks: Column) -> Column:
         return let(
             F.struct(element_spans(toks).alias("spans"), text_pieces(toks).alias("texts")),
-            lambda p: F.struct(
+            lambda p: let(F.struct(
                 toks.alias("toks"), p["spans"].alias("spans"), p["texts"].alias("texts"),
                 stripped_pieces(p["texts"]).alias("pieces"),
                 *([_with_attributes(p["spans"], toks).alias("elements")] if attrs else []),
-            ),
+            ), body),
         )
 
     return let(classified(tokens(html)), with_spans)

@@ -37,7 +37,7 @@ def text_outside(texts: Column, spans: Column, tags: list[str]) -> Column:
 
 def clean_text_of(html: Column) -> Column:
     """Readable text without script, style, nav, footer and header parts."""
-    return let(H.page(html), lambda p: squeeze_text(text_outside(p["texts"], p["spans"], CLEAN_TEXT_DROPPED)))
+    return H.with_page(html, lambda p: squeeze_text(text_outside(p["texts"], p["spans"], CLEAN_TEXT_DROPPED)))
 
 
 def full_text_of(html: Column) -> Column:
@@ -120,7 +120,7 @@ def description_sections(pages: DataFrame) -> DataFrame:
 
     An element matched by several selectors appears once per selector.
     """
-    sections = let(H.page(F.col("html"), attrs=True), lambda p: _sections(p["elements"], p["pieces"]))
+    sections = H.with_page(F.col("html"), lambda p: _sections(p["elements"], p["pieces"]), attrs=True)
     return pages.select("page_id", F.posexplode(sections).alias("section", "s")).select(
         "page_id", "section", "s.kind", "s.text"
     )
@@ -150,7 +150,7 @@ def extraction_text_of(html: Column, limit: int = EXTRACTION_TEXT_LIMIT) -> Colu
             .otherwise(F.concat(p["sections"], F.lit("...")))
         )
 
-    return let(let(H.page(html, attrs=True), parts), whole)
+    return let(H.with_page(html, parts, attrs=True), whole)
 
 
 def extraction_text(pages: DataFrame) -> DataFrame:

@@ -49,12 +49,12 @@ def _children(elements: Column, e: Column) -> Column:
 
 def js_features(pages: DataFrame) -> DataFrame:
     """(page_id, one boolean per feature). The static signs are the last four."""
-    found = let(let(H.page(F.col("html"), attrs=True), _page_facts), _features)
+    found = H.with_page(F.col("html"), lambda p: _page_facts(p, _features), attrs=True)
     return pages.select("page_id", F.explode(F.array(found)).alias("f")).select("page_id", "f.*")
 
 
-def _page_facts(p: Column) -> Column:
-    """What several features read, worked out once per page."""
+def _page_facts(p: Column, use) -> Column:
+    """``use`` of what several features read, worked out once per page."""
     scripts = F.transform(
         F.filter(p["toks"], lambda t: t["kind"] == "script"),
         lambda t: F.struct(
@@ -88,18 +88,18 @@ def _page_facts(p: Column) -> Column:
             & ~F.coalesce(t["tag"].isin("meta", "link"), F.lit(False))
             & ~is_hidden(t["pos"]),
         )
-        return let(seen, lambda s: F.struct(
+        return let(seen, lambda s: let(H.text_between(s, body["pos"], body["end_pos"]), lambda body_text: let(F.struct(
             p["elements"].alias("elements"), p["texts"].alias("texts"), p["pieces"].alias("pieces"), s.alias("seen"),
             body.alias("body"), q["scripts"].alias("scripts"),
             H.ranks(_places(p["elements"], lambda e: e["tag"] == "a"), n_tokens).alias("anchors"),
             H.ranks(_places(p["elements"], lambda e: ~e["tag"].isin("meta", "link", "title", "noscript")), n_tokens).alias("shown"),
             H.ranks(F.filter(F.transform(s, lambda x, i: F.when(x != "", i)), lambda i: i.isNotNull()), n_tokens).alias("telling"),
-            H.text_between(s, body["pos"], body["end_pos"]).alias("body_text"),
+            body_text.alias("body_text"),
             F.reduce(markup, F.lit(0), lambda n, t: n + t["n"]).alias("body_size"),
             F.array_join(F.transform(q["scripts"], lambda c: c["body"]), " ").alias("code"),
-            F.size(F.filter(F.split(H.text_between(s, body["pos"], body["end_pos"]), WORD_BREAK), lambda w: w != ""))
-            .alias("words"),
-        ))
+            F.size(F.array_remove(F.split(body_text, WORD_BREAK), "")).alias("words"),
+            F.flatten(p["elements"]["attrs"]).alias("attrs"),
+        ), use)))
 
     first_body = F.get(F.filter(p["spans"], lambda e: e["tag"] == "body"), F.lit(0))
     return let(
@@ -160,14 +160,12 @@ def _features(q: Column) -> Column:
         )
         | first_is_hollow("main", lambda e: F.regexp_like(_attr(e, "id"), F.lit(MAIN_ROOT_ID)))
     )
-    loading = F.exists(elements, lambda e: contains_any(F.lower(_attr(e, "class")), LOADING_CLASS_WORDS)) | contains_any(
-        F.lower(F.array_join(texts, "")), LOADING_TEXTS
-    )
+    loading = F.exists(
+        q["attrs"], lambda a: (a["name"] == "class") & contains_any(F.lower(a["value"]), LOADING_CLASS_WORDS)
+    ) | contains_any(F.lower(F.array_join(texts, "")), LOADING_TEXTS)
     routing = (
         F.exists(elements, lambda e: (e["tag"] == "a") & F.startswith(_attr(e, "href"), F.lit("#/")))
-        | F.exists(
-            elements, lambda e: H.has_attribute(e["attrs"], "data-router") | H.has_attribute(e["attrs"], "data-route")
-        )
+        | F.exists(q["attrs"], lambda a: a["name"].isin("data-router", "data-route"))
         | F.contains(code, F.lit("pushState"))
     )
     inline = F.filter(scripts, lambda s: (s["src"] == "") & (s["body"] != ""))

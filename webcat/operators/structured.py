@@ -124,7 +124,7 @@ def _microdata_array(elements: Column, pieces: Column) -> Column:
 
 def _from_elements(html: Column, pick) -> Column:
     """``pick(elements, pieces)`` on a page that is taken apart once."""
-    return let(H.page(html, attrs=True), lambda p: pick(p["elements"], p["pieces"]))
+    return H.with_page(html, lambda p: pick(p["elements"], p["pieces"]), attrs=True)
 
 
 def microdata_items(pages: DataFrame) -> DataFrame:
@@ -392,5 +392,5 @@ def structured_data(pages: DataFrame) -> DataFrame:
             F.filter(methods, lambda m: m.isNotNull()).alias("extraction_methods"),
         )
 
-    found = let(let(H.page(F.col("html"), attrs=True), parts), assembled)
+    found = let(H.with_page(F.col("html"), parts, attrs=True), assembled)
     return allow_repeated_keys(pages).select("page_id", F.explode(F.array(found)).alias("s")).select("page_id", "s.*")

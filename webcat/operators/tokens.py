@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcat.functions import html as H
-from webcat.functions.text import let
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
@@ -18,7 +17,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 
 def page_elements(pages: DataFrame) -> DataFrame:
     """One row per element: (page_id, pos, end_pos, tag, attrs map)."""
-    elements = let(H.page(F.col("html"), attrs=True), lambda p: p["elements"])
+    elements = H.with_page(F.col("html"), lambda p: p["elements"], attrs=True)
     rows = pages.select("page_id", F.explode(elements).alias("e"))
     return rows.select("page_id", "e.pos", "e.end_pos", "e.tag", H.attribute_map(F.col("e.attrs")).alias("attrs"))
 
@@ -39,4 +38,4 @@ def element_text(pages: DataFrame, tags: list[str] | None = None) -> DataFrame:
             ),
         )
 
-    return pages.select("page_id", F.explode(let(H.page(F.col("html")), texts)).alias("e")).select("page_id", "e.*")
+    return pages.select("page_id", F.explode(H.with_page(F.col("html"), texts)).alias("e")).select("page_id", "e.*")
