@@ -435,3 +435,10 @@ def test_attributes_of_odd_tags(spark):
         if text not in cut:
             assert [(a["name"], a["value"]) for a in row["a"]] == plain(text), text
     assert [len(r["a"]) for r in df.select(H.attributes(F.lit("<x>")).alias("a")).collect()] == [0] * len(odd)
+
+
+def test_only_tags_with_a_wanted_name_are_taken_apart(page):
+    html = '<div CLASS="a"><p id="b" title="c"></p><i data-class="d">x</i></div>'
+    found = H.with_page(F.col("html"), lambda p: p["elements"], attrs=True, names=["class"])
+    elements = page(html).select(found.alias("e")).first()["e"]
+    assert [[(a.name, a.value) for a in e.attrs] for e in elements] == [[("class", "a")], [], [("data-class", "d")]]

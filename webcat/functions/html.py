@@ -66,10 +66,14 @@ def token_tag(token: Column, kind: Column) -> Column:
 
 def classified(token_array: Column) -> Column:
     """array<string> -> array<struct<kind, tag, token>>."""
-    headed = F.transform(token_array, lambda t: F.struct(
-        F.when(F.startswith(t, F.lit("<")), F.lower(F.regexp_extract(t, _HEAD, 0))).otherwise("").alias("head"), t.alias("token")
-    ))
-    return F.transform(headed, lambda t: _classified(t["head"], t["token"]))
+    return let(token_array, _with_kinds)
+
+
+def _with_kinds(toks: Column) -> Column:
+    heads = F.transform(
+        toks, lambda t: F.when(F.startswith(t, F.lit("<")), F.lower(F.regexp_extract(t, _HEAD, 0))).otherwise("")
+    )
+    return F.zip_with(heads, toks, _classified)
 
 
 def _classified(head: Column, token: Column) -> Column:
@@ -101,8 +105,11 @@ def attributes(token: Column) -> Column:
         lambda name, value: F.struct(F.lower(name).alias("name"), decode_entities(value).alias("value")),
     ))
     # nothing follows the name of a tag without any of these
-    none = F.array().cast("array<struct<name:string,value:string>>")
-    return F.when(~F.regexp_like(token, F.lit(r"""[\s/"']""")), none).otherwise(let(pairs, _last_of_each_name))
+    return F.when(~F.regexp_like(token, F.lit(r"""[\s/"']""")), _no_attributes()).otherwise(let(pairs, _last_of_each_name))
+
+
+def _no_attributes() -> Column:
+    return F.array().cast("array<struct<name:string,value:string>>")
 
 
 def _last_of_each_name(attrs: Column) -> Column:
@@ -112,7 +119,7 @@ def _last_of_each_name(attrs: Column) -> Column:
         )
         return F.when(F.size(F.array_distinct(names)) < F.size(names), last).otherwise(attrs)
 
-    return let(attrs["name"], kept)
+    return F.when(F.size(attrs) < 2, attrs).otherwise(let(attrs["name"], kept))
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -369,12 +376,15 @@ def page(html: Column, *, attrs: bool = False) -> Column:
     return with_page(html, lambda p: p, attrs=attrs)
 
 
-def with_page(html: Column, body: Callable[[Column], Column], *, attrs: bool = False) -> Column:
+def with_page(
+    html: Column, body: Callable[[Column], Column], *, attrs: bool = False, names: list[str] | None = None
+) -> Column:
     """``body(p)`` of a page taken apart once, p being struct<toks, spans, texts, pieces[, elements]>.
 
     ``toks`` are its tokens, ``spans`` its elements, ``texts`` the decoded text per token position and
     ``pieces`` the same stripped; with ``attrs`` the ``elements`` are the spans with their attributes. They are bound here
-    and not given back, as the result of a binding is copied with all its arrays.
+    and not given back, as the result of a binding is copied with all its arrays. With ``names``, parts of attribute names,
+    only tags that hold one of them are taken apart; the elements of others come without attributes.
     """
     def with_spans(toks: Column) -> Column:
         return let(
@@ -382,18 +392,24 @@ def with_page(html: Column, body: Callable[[Column], Column], *, attrs: bool = F
             lambda p: let(F.struct(
                 toks.alias("toks"), p["spans"].alias("spans"), p["texts"].alias("texts"),
                 stripped_pieces(p["texts"]).alias("pieces"),
-                *([_with_attributes(p["spans"], toks).alias("elements")] if attrs else []),
+                *([_with_attributes(p["spans"], toks, names).alias("elements")] if attrs else []),
             ), body),
         )
 
-    return let(classified(tokens(html)), with_spans)
+    return let(tokens(html), lambda raw: let(_with_kinds(raw), with_spans))
+
 
+def _with_attributes(spans: Column, toks: Column, names: list[str] | None) -> Column:
+    def of(token: Column) -> Column:
+        if names is None:
+            return attributes(token)
+        # names are compared after lower-casing, hence the Unicode flag
+        return F.when(F.regexp_like(token, F.lit("(?iu)" + "|".join(names))), attributes(token)).otherwise(_no_attributes())
 
-def _with_attributes(spans: Column, toks: Column) -> Column:
     return F.transform(
         spans,
         lambda s: F.struct(
             s["pos"].alias("pos"), s["end_pos"].alias("end_pos"), s["tag"].alias("tag"),
-            attributes(F.get(toks, s["pos"])["token"]).alias("attrs"),
+            of(F.get(toks, s["pos"])["token"]).alias("attrs"),
         ),
     )

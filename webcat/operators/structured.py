@@ -122,15 +122,21 @@ def _microdata_array(elements: Column, pieces: Column) -> Column:
     return F.filter(F.transform(let(marked, scopes), grouped), lambda s: F.size(s["properties"]) > 0)
 
 
-def _from_elements(html: Column, pick) -> Column:
-    """``pick(elements, pieces)`` on a page that is taken apart once."""
-    return H.with_page(html, lambda p: pick(p["elements"], p["pieces"]), attrs=True)
+# Only tags that hold these parts of names can have an attribute that the operators ask for.
+_MICRODATA_NAMES = ["itemprop", "itemscope"]
+_ORGANIZATION_NAMES = ["class", "itemprop"]
+_PRODUCT_NAMES = ["class", "data-", "item"]
+
+
+def _from_elements(html: Column, pick, names: list[str]) -> Column:
+    """``pick(elements, pieces)`` on a page that is taken apart once, tags without any of the names left whole."""
+    return H.with_page(html, lambda p: pick(p["elements"], p["pieces"]), attrs=True, names=names)
 
 
 def microdata_items(pages: DataFrame) -> DataFrame:
     """One row per item property: (page_id, item_no, type, prop, values in document order)."""
     items = pages.select(
-        "page_id", F.posexplode(_from_elements(F.col("html"), _microdata_array)).alias("item_no", "i")
+        "page_id", F.posexplode(_from_elements(F.col("html"), _microdata_array, _MICRODATA_NAMES)).alias("item_no", "i")
     )
     return items.select("page_id", "item_no", "i.type", F.explode("i.properties").alias("p")).select(
         "page_id", "item_no", "type", F.col("p.name").alias("prop"), F.col("p.values").alias("values")
@@ -298,7 +304,7 @@ def fallback_products(pages: DataFrame) -> DataFrame:
 
     An element that several selectors match gives one row per selector; blocks without a name give none.
     """
-    rows = pages.select("page_id", F.explode(_from_elements(F.col("html"), _product_array)).alias("p"))
+    rows = pages.select("page_id", F.explode(_from_elements(F.col("html"), _product_array, _PRODUCT_NAMES)).alias("p"))
     return rows.select("page_id", "p.selector", "p.pos", "p.product.*")
 
 
@@ -341,7 +347,9 @@ def _organization(title: Column, elements: Column, pieces: Column) -> Column:
 def organization_info(pages: DataFrame) -> DataFrame:
     """(page_id, name, telephone, address) of every page that shows any of them."""
     title = F.nullif(page_title(F.col("html")), F.lit(""))
-    found = _from_elements(F.col("html"), lambda elements, pieces: _organization(title, elements, pieces))
+    found = _from_elements(
+        F.col("html"), lambda elements, pieces: _organization(title, elements, pieces), _ORGANIZATION_NAMES
+    )
     shown = let(found, lambda o: F.when(F.coalesce(o["name"], o["telephone"], o["address"]).isNotNull(), F.array(o)))
     return pages.select("page_id", F.explode(shown).alias("o")).select("page_id", "o.*")
 
@@ -392,5 +400,6 @@ def structured_data(pages: DataFrame) -> DataFrame:
             F.filter(methods, lambda m: m.isNotNull()).alias("extraction_methods"),
         )
 
-    found = let(H.with_page(F.col("html"), parts, attrs=True), assembled)
+    names = sorted({*_MICRODATA_NAMES, *_ORGANIZATION_NAMES, *_PRODUCT_NAMES})
+    found = let(H.with_page(F.col("html"), parts, attrs=True, names=names), assembled)
     return allow_repeated_keys(pages).select("page_id", F.explode(F.array(found)).alias("s")).select("page_id", "s.*")
