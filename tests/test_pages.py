@@ -442,3 +442,18 @@ def test_only_tags_with_a_wanted_name_are_taken_apart(page):
     found = H.with_page(F.col("html"), lambda p: p["elements"], attrs=True, names=["class"])
     elements = page(html).select(found.alias("e")).first()["e"]
     assert [[(a.name, a.value) for a in e.attrs] for e in elements] == [[("class", "a")], [], [("data-class", "d")]]
+
+
+def test_empty_containers_are_looked_for_on_pages_of_few_words_only(page):
+    few, many = "word " * 40, "word " * 120
+    hollow = '<div class="content"><i></i></div>'
+    full = '<div class="content"><i>x</i></div>'
+    shells = [f"<html><body>{words}{part}</body></html>" for words in (few, many) for part in (hollow, full)]
+    markup = "<html><body>" + "word " * 20 + '<p class="' + "x" * 3000 + '"></p></body></html>'
+    rows = jsdep.js_features(page(*shells, markup, "<p>no body")).orderBy("page_id").collect()
+    assert [r["minimal_content"] for r in rows] == [True, False, False, False, True, True]
+
+
+def test_size_and_ranks_are_worked_out_below_a_bound_of_words(page):
+    plan = jsdep.js_features(page("<body></body>"))._jdf.queryExecution().analyzed().toString()
+    assert "body_size, CASE WHEN" in plan and "empty_container, CASE WHEN" in plan

@@ -88,18 +88,41 @@ def _page_facts(p: Column, use) -> Column:
             & ~F.coalesce(t["tag"].isin("meta", "link"), F.lit(False))
             & ~is_hidden(t["pos"]),
         )
-        return let(seen, lambda s: let(H.text_between(s, body["pos"], body["end_pos"]), lambda body_text: let(F.struct(
-            p["elements"].alias("elements"), p["texts"].alias("texts"), p["pieces"].alias("pieces"), s.alias("seen"),
-            body.alias("body"), q["scripts"].alias("scripts"),
-            H.ranks(_places(p["elements"], lambda e: e["tag"] == "a"), n_tokens).alias("anchors"),
-            H.ranks(_places(p["elements"], lambda e: ~e["tag"].isin("meta", "link", "title", "noscript")), n_tokens).alias("shown"),
-            H.ranks(F.filter(F.transform(s, lambda x, i: F.when(x != "", i)), lambda i: i.isNotNull()), n_tokens).alias("telling"),
-            body_text.alias("body_text"),
-            F.reduce(markup, F.lit(0), lambda n, t: n + t["n"]).alias("body_size"),
-            F.array_join(F.transform(q["scripts"], lambda c: c["body"]), " ").alias("code"),
-            F.size(F.array_remove(F.split(body_text, WORD_BREAK), "")).alias("words"),
-            F.flatten(p["elements"]["attrs"]).alias("attrs"),
-        ), use)))
+
+        def emptiness(s: Column, containers: Column) -> Column:
+            """Does any of the containers hold no text and fewer than three elements? Texts are ranked only where there are some."""
+            shown = _places(p["elements"], lambda e: ~e["tag"].isin("meta", "link", "title", "noscript"))
+            telling = F.filter(F.transform(s, lambda x, i: F.when(x != "", i)), lambda i: i.isNotNull())
+            ranked = F.struct(H.ranks(shown, n_tokens).alias("shown"), H.ranks(telling, n_tokens).alias("telling"))
+            return F.when(F.size(containers) > 0, let(ranked, lambda r: F.exists(
+                containers,
+                lambda e: (H.between(r["telling"], e["pos"], e["end_pos"]) == 0)
+                & (H.between(r["shown"], e["pos"], e["end_pos"]) < 3),
+            ))).otherwise(False)
+
+        containers = F.filter(
+            p["elements"],
+            lambda e: e["tag"].isin("div", "main", "section")
+            & _inside(body, e["pos"])
+            & F.regexp_like(_attr(e, "class"), F.lit(EMPTY_CONTAINER_CLASS)),
+        )
+
+        def with_words(s: Column, b: Column) -> Column:
+            # the size and the containers matter on pages of few words
+            return let(F.struct(
+                p["elements"].alias("elements"), p["texts"].alias("texts"), p["pieces"].alias("pieces"),
+                body.alias("body"), q["scripts"].alias("scripts"),
+                H.ranks(_places(p["elements"], lambda e: e["tag"] == "a"), n_tokens).alias("anchors"),
+                b["text"].alias("body_text"), b["words"].alias("words"),
+                F.when(b["words"] < 30, F.reduce(markup, F.lit(0), lambda n, t: n + t["n"])).alias("body_size"),
+                F.when(b["words"] < 100, let(containers, lambda c: emptiness(s, c))).alias("empty_container"),
+                F.array_join(F.transform(q["scripts"], lambda c: c["body"]), " ").alias("code"),
+                F.flatten(p["elements"]["attrs"]).alias("attrs"),
+            ), use)
+
+        return let(seen, lambda s: let(H.text_between(s, body["pos"], body["end_pos"]), lambda text: let(F.struct(
+            text.alias("text"), F.size(F.array_remove(F.split(text, WORD_BREAK), "")).alias("words")
+        ), lambda b: with_words(s, b))))
 
     first_body = F.get(F.filter(p["spans"], lambda e: e["tag"] == "body"), F.lit(0))
     return let(
@@ -118,19 +141,11 @@ def _features(q: Column) -> Column:
         lambda e: (e["tag"] == "noscript")
         & contains_any(F.lower(H.text_between(texts, e["pos"], e["end_pos"])), NOSCRIPT_PHRASES),
     )
-    empty_container = F.exists(
-        elements,
-        lambda e: e["tag"].isin("div", "main", "section")
-        & _inside(body, e["pos"])
-        & F.regexp_like(_attr(e, "class"), F.lit(EMPTY_CONTAINER_CLASS))
-        & (H.between(q["telling"], e["pos"], e["end_pos"]) == 0)
-        & (H.between(q["shown"], e["pos"], e["end_pos"]) < 3),
-    )
     minimal = (
         body.isNull()
         | (q["words"] < 10)
         | ((q["words"] < 30) & (F.length(q["body_text"]) / F.greatest(q["body_size"], F.lit(1)) < 0.05))
-        | ((q["words"] < 100) & empty_container)
+        | ((q["words"] < 100) & q["empty_container"])
     )
     framework = (
         F.exists(scripts, lambda s: contains_any(s["src"], FRAMEWORK_SCRIPT_NAMES))
