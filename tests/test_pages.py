@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from webcat.functions import html as H
-from webcat.functions.text import decode_entities
+from webcat.functions.text import decode_entities, squeeze_text
 from webcat.operators import content, jsdep, links, structured, tokens
 
 
@@ -444,6 +444,12 @@ def test_only_tags_with_a_wanted_name_are_taken_apart(page):
     assert [[(a.name, a.value) for a in e.attrs] for e in elements] == [[("class", "a")], [], [("data-class", "d")]]
 
 
+def test_squeezed_text_cuts_at_every_break_without_translating(value):
+    text = "a\x0bb   c  d \r\n    e  f\x85\x85g h\x1e "
+    assert value(squeeze_text(F.col("t")), t=text) == "a b c d e f g h"
+    assert "translate" not in str(squeeze_text(F.col("t")))
+
+
 def test_empty_containers_are_looked_for_on_pages_of_few_words_only(page):
     few, many = "word " * 40, "word " * 120
     hollow = '<div class="content"><i></i></div>'

@@ -90,6 +90,10 @@ def first_meta_content(elements: Column, key: str, name: str) -> Column:
     return F.nullif(H.attribute(F.get(metas, F.lit(0))["attrs"], "content"), F.lit(""))
 
 
+# only tags that hold these parts of names can have an attribute that the sections ask for
+_SECTION_NAMES = ["class", "id", "name", "property", "data-product-description"]
+
+
 def _sections(elements: Column, pieces: Column) -> Column:
     """array<struct<kind, text>> in reading priority."""
     def line(label: str, key: str, name: str) -> Column:
@@ -120,7 +124,9 @@ def description_sections(pages: DataFrame) -> DataFrame:
 
     An element matched by several selectors appears once per selector.
     """
-    sections = H.with_page(F.col("html"), lambda p: _sections(p["elements"], p["pieces"]), attrs=True)
+    sections = H.with_page(
+        F.col("html"), lambda p: _sections(p["elements"], p["pieces"]), attrs=True, names=_SECTION_NAMES
+    )
     return pages.select("page_id", F.posexplode(sections).alias("section", "s")).select(
         "page_id", "section", "s.kind", "s.text"
     )
@@ -150,7 +156,7 @@ def extraction_text_of(html: Column, limit: int = EXTRACTION_TEXT_LIMIT) -> Colu
             .otherwise(F.concat(p["sections"], F.lit("...")))
         )
 
-    return let(H.with_page(html, parts, attrs=True), whole)
+    return let(H.with_page(html, parts, attrs=True, names=_SECTION_NAMES), whole)
 
 
 def extraction_text(pages: DataFrame) -> DataFrame:
