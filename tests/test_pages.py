@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from webcat.functions import html as H
 from webcat.functions.text import decode_entities, squeeze_text
 from webcat.operators import content, jsdep, links, structured, tokens
+from webcat.plans import product_queries
 
 
 def rows(df):
@@ -196,6 +197,30 @@ def test_profiles(page):
     assert conservative == {("https://www.x.com/a?a=2&b=1", "anchor")}
 
 
+def test_profiles_together(page):
+    html = ("<a href='/a?x=1&a=2#f'>1</a><a href='/a?a=2&x=1'>2</a><a href='/pic.png'>3</a><a href='/clip.mp4'>4</a>"
+            "<a href='https://other.com/e'>5</a><style>.x{background:url('/bg/1/')}</style><script>fetch('/api/v1/list.php')</script>"
+            "<div itemscope itemid='/md/1'></div><!-- see /cmt/9 -->")
+    profiles = links.PROFILES | {
+        "abroad": links.with_options(links.PROFILES["site"], follow_external=True, normalize=True, blocked_extensions=(".php",))}
+    pages = page(html, html, "", None, response_headers={"Link": '</h/1>; rel="next"'})
+    together = links.extract_links_by_profile(pages, profiles)
+    for name, profile in profiles.items():
+        alone = sorted(links.extract_links(pages, profile).collect())
+        assert alone and sorted(together.filter(F.col("profile") == name).drop("profile").collect()) == alone
+    # a page is taken apart once, not once a profile
+    plan = together._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+
+
+def test_links_by_profile_reads_pages_once(spark, tmp_path):
+    spark.createDataFrame(
+        [(k, f"part {k}", "Brand#1", "TYPE", 900.5 + k) for k in range(1, 9)],
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_retailprice double",
+    ).write.parquet(str(tmp_path / "part.parquet"))
+    plan = product_queries.QUERIES["links_by_profile"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+
 def test_unique_links_and_stats(spark, page):
     df = page("<title>one</title><a href='/same'><a href='/b'>", "<a href='/same'>", "").withColumn(
         "url", F.concat(F.lit("https://www.x.com/"), F.col("page_id")))

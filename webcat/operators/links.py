@@ -288,6 +288,71 @@ def page_links(html: Column, url: Column, headers: Column | None, profile: LinkP
     return let(U.base_parts(url), of_base)
 
 
+def page_links_by_profile(html: Column, url: Column, headers: Column | None, profiles: list[LinkProfile]) -> Column:
+    """array<struct<profile, url, first_seen, host>>: what ``page_links`` gives for each profile, by its place in the list.
+
+    The page is taken apart once for all of them, and a reference is resolved, tested and normalised once.
+    """
+    methods = [m for m in DISCOVERY_METHODS if any(m in p.methods() for p in profiles)]
+    blocked = [x for x in profiles[0].blocked_extensions if all(x in p.blocked_extensions for p in profiles)]
+    nothing = ["\0"]  # an ending that no path has: an empty list would match every path
+    external = any(p.follow_external for p in profiles)
+
+    def of_base(base: Column) -> Column:
+        def found(pos: Column, refs: Column) -> Column:
+            resolved = F.transform(refs, lambda r: F.struct(
+                r["rank"].alias("rank"), U.resolve_url(r["raw"], base).alias("url")
+            ))
+            valid = F.filter(resolved, lambda r: U.is_valid_url(
+                r["url"], base["host"], follow_external=external, blocked_extensions=blocked or nothing
+            ))
+            return F.transform(valid, lambda r: F.struct(
+                r["rank"].alias("rank"), r["url"].alias("url"),
+                (F.shiftleft(r["rank"].cast("long"), _POS_BITS) + pos).alias("first_seen"),
+                (U.normalize_url(r["url"]) if any(p.normalize for p in profiles) else r["url"]).alias("normal"),
+            ))
+
+        def own(number: int, profile: LinkProfile, ordered: Column) -> Column:
+            ranks = [DISCOVERY_METHODS.index(m) for m in profile.methods()]
+            more = [x for x in profile.blocked_extensions if x not in blocked]
+            tests = []
+            if len(ranks) < len(methods):
+                tests.append(lambda r: r["rank"].isin(ranks))
+            if more:
+                tests.append(lambda r: ~U.ends_with_any(F.lower(U.path(r["url"])), more))
+            if external and not profile.follow_external:
+                tests.append(lambda r: U.host(r["url"]) == base["host"])
+            for test in tests:
+                ordered = F.filter(ordered, test)
+            return let(ordered, lambda s: F.transform(
+                F.filter(s, lambda x, i: (i == 0) | (x["key"] != F.get(s, i - 1)["key"])),
+                lambda x: F.struct(F.lit(number).alias("profile"), x["key"].alias("url"),
+                                   x["first_seen"].alias("first_seen"), base["host"].alias("host")),
+            ))
+
+        def in_order(seen: Column, normal: bool) -> Column:
+            return F.sort_array(F.transform(seen, lambda r: F.struct(
+                r["normal" if normal else "url"].alias("key"), r["first_seen"].alias("first_seen"),
+                r["rank"].alias("rank"), r["url"].alias("url"),
+            )))
+
+        def of_some(seen: Column, normal: bool) -> list[Column]:
+            some = [(i, p) for i, p in enumerate(profiles) if p.normalize == normal]
+            return [let(in_order(seen, normal), lambda s: F.concat(*[own(i, p, s) for i, p in some]))] if some else []
+
+        def of_profiles(seen: Column) -> Column:
+            return F.concat(*of_some(seen, False), *of_some(seen, True))
+
+        seen = F.flatten(F.transform(
+            _tokens_of_interest(html, methods), lambda t: found(t["pos"], _candidates(t, base["host"], methods))
+        ))
+        if headers is not None and "http_header" in methods:
+            seen = F.concat(F.coalesce(seen, found(F.lit(0), _no_refs())), found(F.lit(0), _header_refs(headers)))
+        return let(seen, of_profiles)
+
+    return let(U.base_parts(url), of_base)
+
+
 def resolved_candidates(pages: DataFrame, profile: LinkProfile, methods: list[str] | None = None) -> DataFrame:
     """The links of every row of ``pages``, each URL once: (page_id, source_page, host, url, first_seen).
 
@@ -317,6 +382,21 @@ def extract_links(
     )
 
 
+def extract_links_by_profile(pages: DataFrame, profiles: dict[str, LinkProfile] = PROFILES) -> DataFrame:
+    """The rows of ``extract_links`` for each profile, after its name in ``profile``; pages are read once for all."""
+    headers = F.col("response_headers") if "response_headers" in pages.columns else None
+    found = page_links_by_profile(F.col("html"), F.col("url"), headers, list(profiles.values()))
+    rows = allow_repeated_keys(pages).select("page_id", F.col("url").alias("source_page"), F.explode(found).alias("link"))
+    return rows.select(
+        F.element_at(F.array(*[F.lit(name) for name in profiles]), F.col("link.profile") + 1).alias("profile"),
+        "page_id", "source_page", "link.url",
+        method_of(F.col("link.first_seen")).alias("discovery_method"),
+        U.link_type(F.col("link.url"), F.col("link.host")).alias("link_type"),
+        F.lit("pending").alias("status"),
+        F.lit("").alias("notes"),
+    )
+
+
 def links_by_method(pages: DataFrame, method: str, profile: LinkProfile = PROFILES["default"]) -> DataFrame:
     """Links found by a single discovery method."""
     return extract_links(pages, profile, [method])

@@ -29,12 +29,7 @@ def product_links(spark, sf_dir):
 
 
 def links_by_profile(spark, sf_dir):
-    pages = product_pages(spark, sf_dir)
-    rows = None
-    for name, profile in PROFILES.items():
-        found = links.extract_links(pages, profile).select(F.lit(name).alias("profile"), "page_id", "url", "discovery_method")
-        rows = found if rows is None else rows.unionByName(found)
-    return rows.groupBy("profile", "discovery_method").agg(
+    return links.extract_links_by_profile(product_pages(spark, sf_dir), PROFILES).groupBy("profile", "discovery_method").agg(
         F.count("*").alias("n_links"), F.count_distinct("page_id").alias("n_pages"), F.min("url").alias("first_url")
     )
 
