@@ -200,6 +200,49 @@ def test_line_keys_of_odd_lines(spark):
     assert sizes[3] > 10_000 and sizes[2] < 10
 
 
+def test_line_dedup_compares_open_pairs_without_making_them(spark, tmp_path, monkeypatch):
+    """Many unlike lines of one key: pairs are tried in the join, none is written, and the near ones are found all the same."""
+    rng = np.random.default_rng(5)
+    made = ["".join(rng.choice(list("abcdefghij"), 24)) for _ in range(60)]
+    near = [x[:11] + "zz" + x[13:] for x in made[:5]]
+    rows = [(i, x) for i, x in enumerate([*made, *near])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(lines, "line_keys", lambda line: F.array(F.lit(7).cast("long")))  # every line shares the key
+    monkeypatch.setattr(lines, "SIDE", 16)
+    written = {}
+    real = lines.saved
+
+    def saved(df, name):
+        out = real(df, name)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(lines, "saved", saved)
+    got = {r["doc_id"]: r["text"] for r in lines.deduplicate_lines(docs).collect()}
+    assert got == dict(enumerate(made)) | {60 + i: "" for i in range(5)}
+    assert max(written.values()) <= len(rows)
+
+
+def test_line_dedup_letters_rule_out_no_near_pair(spark):
+    """What lengths and letters leave holds every pair of the edit similarity."""
+    rng = np.random.default_rng(6)
+    texts = []
+    for n in (4, 9, 30, 100, 900):
+        for _ in range(12):
+            x = rng.choice(list("aaaabcdeeexyz 019\u00e9\u4e2d"), n)
+            y = x.copy()
+            for j in rng.choice(n, max(1, int(n * rng.choice([0.05, 0.19, 0.25]))), replace=False):
+                y[j] = rng.choice(list("eq1 \u00e9"))
+            texts += ["".join(x).strip(), "".join(np.delete(y, rng.integers(n))).strip()]
+    table = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "h long, line string").select(
+        "h", "line", *lines._counted(F.col("line")))
+    pairs = table.select(F.col("h").alias("a")).crossJoin(table.select(F.col("h").alias("b"))).filter("a < b")
+    both = lines._paired(pairs, table).select(
+        lines._possible(lines._side).alias("possible"), lines._alike(lines._side).alias("alike")).groupBy("possible", "alike").count()
+    found = {(r["possible"], r["alike"]): r["count"] for r in both.collect()}
+    assert found[True, True] > 20 and found[False, False] > 100 and (False, True) not in found
+
+
 def test_line_dedup_odd_rows_and_plan(odd, empty):
     got = lines.deduplicate_lines(odd)
     assert got.columns == odd.columns
